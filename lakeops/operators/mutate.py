@@ -18,18 +18,19 @@ def update_where(df: DataFrame, set: Mapping[str, Column | str],
                  where: Column | str | None = None) -> DataFrame:
     """Set columns where the condition is true; every expression sees the old values.
 
-    New column names are added, NULL on rows the condition leaves out.
+    Values are cast to the type of the column they replace. New column names are added, NULL on
+    rows the condition leaves out.
     """
     condition = None if where is None else _expr(where)
 
     def new(column: str) -> Column:
         value = _expr(set[column])
+        if column in df.columns:
+            value = value.cast(df.schema[column].dataType)
         if condition is None:
             return value
-        if column not in df.columns:
-            return F.when(condition, value)
-        kind = df.schema[column].dataType
-        return F.when(condition, value.cast(kind)).otherwise(F.col(column))
+        old = F.col(f"`{column}`") if column in df.columns else F.lit(None)
+        return F.when(condition, value).otherwise(old)
 
     names = [*df.columns, *[c for c in set if c not in df.columns]]
     return df.select(*[(new(c) if c in set else F.col(f"`{c}`")).alias(c) for c in names])
