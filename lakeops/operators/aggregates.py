@@ -72,15 +72,12 @@ def column_summary(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000
 
     One pass: every statistic is an aggregate of a single job. Quartiles are approximate.
     """
-    stats = [("count", F.count), ("mean", F.avg), ("stddev", F.stddev), ("min", F.min),
-             ("max", F.max)]
-    quartiles = [("q25", 0.25), ("q50", 0.5), ("q75", 0.75)]
-    per_column = [
-        F.struct(
-            F.lit(c).alias("column"),
-            *[f(c).cast("double").alias(n) for n, f in stats],
-            *[F.percentile_approx(c, q, accuracy).cast("double").alias(n) for n, q in quartiles],
-        )
+    stats = [("count", F.count), ("mean", F.avg), ("stddev", F.stddev), ("min", F.min), ("max", F.max)]
+    one_pass = df.agg(*[
+        F.struct(F.lit(c).alias("column"), *[f(c).cast("double").alias(n) for n, f in stats],
+                 F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).cast("array<double>").alias("_q")).alias(c)
         for c in columns
-    ]
-    return df.agg(F.array(*per_column).alias("_s")).select(F.inline("_s"))
+    ])
+    rows = one_pass.select(F.inline(F.array(*columns)))
+    return rows.select("column", *[n for n, _ in stats],
+                       *[F.col("_q")[i].alias(f"q{25 * (i + 1)}") for i in range(3)])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions import struct_of
 from lakeops.operators.mutate import latest_per_key, pair_up, update_where
-from lakeops.operators.skew import group_extent, range_slices
+from lakeops.operators.skew import BROADCAST_ROWS, broadcast_if_small, group_extent, range_slices
 
 META = ("_change_type", "_commit_version", "_commit_timestamp")
 
@@ -98,14 +98,17 @@ def latest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
                           ["_commit_version"])
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
+                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Bring a target up to date: only the newest change of a key counts.
 
-    Touched keys leave the target by an anti join, where the changes are the side Spark may
-    broadcast, and come back from the changes unless deleted.
+    Touched keys leave the target by an anti join and come back from the changes unless deleted.
+    At most `broadcast_rows` touched keys (they are counted first) are broadcast, so that the
+    target is not shuffled.
     """
     newest = latest_changes(changes, keys)
-    kept = target.join(newest.select(*keys), list(keys), "left_anti")
+    touched = broadcast_if_small(changes.select(*keys).distinct(), broadcast_rows)
+    kept = target.join(touched, list(keys), "left_anti")
     return kept.unionByName(newest.where(F.col("_change_type") != "delete").select(*target.columns))
 
 

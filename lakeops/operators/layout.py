@@ -8,15 +8,9 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-TARGET_BYTES = 256 * 1024 * 1024
-
+from lakeops.session import path_bytes
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Size of all files under a path, from the file system's own summary."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return where.getFileSystem(conf).getContentSummary(where).getLength()
+TARGET_BYTES = 256 * 1024 * 1024
 
 
 def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = TARGET_BYTES) -> DataFrame:

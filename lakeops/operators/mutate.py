@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.functions import struct_of
+from lakeops.operators.skew import BROADCAST_ROWS, broadcast_if_small
 
 
 def _expr(value: Column | str) -> Column:
@@ -54,7 +55,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           set: Mapping[str, Column | str] | None = None, insert: bool = True,
-          delete_when: Column | str | None = None) -> DataFrame:
+          delete_when: Column | str | None = None,
+          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Upsert `source` into `target` on equal keys; NULL keys never match.
 
     Matched rows: dropped where `delete_when` is true, else the columns in `set` change. The
@@ -62,8 +64,9 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     all columns from the source. Source rows without a match are inserted, absent columns as NULL.
     Several source rows for one matched key raise, when the result is computed.
 
-    The target is only ever the streamed side of its joins: with a small source Spark broadcasts
-    the source and the target is not shuffled; with a large one, a skewed target key can be split.
+    The target is only ever the streamed side of its joins: a source of at most `broadcast_rows`
+    rows (it is counted first) is broadcast and the target not shuffled; with a larger one both
+    sides are shuffled by key and Spark can split a skewed target key.
     """
     others = [c for c in target.columns if c not in keys]
     if set is None:
@@ -72,6 +75,7 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     one = source.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_n"),
         F.first(struct_of(source.columns)).alias("source"))
+    one = broadcast_if_small(one, broadcast_rows)
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
     joined = target.join(one, same, "left")
     matched = F.col("_n").isNotNull()
@@ -86,7 +90,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     ])
     if not insert:
         return updated
-    met = (target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct())
+    source_keys = one.select(*[F.col(f"_k_{k}").alias(k) for k in keys])
+    met = target.select(*keys).join(source_keys, list(keys), "left_semi").distinct()
     fresh = source.join(met, list(keys), "left_anti")
     fresh = fresh.select(*[
         (F.col(f"`{c}`") if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)

@@ -42,3 +42,18 @@ def range_slices(df: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
             .withColumn("_slice", F.shiftright("_at", 33))
             .withColumn("_pos", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
             .drop("_at"))
+
+
+# Sides of up to this many rows may be broadcast, once they have been counted.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast if the frame, counted up to the limit, has no more than `max_rows` rows.
+
+    Spark estimates a derived frame by the files below it and would shuffle the other, huge side
+    of its joins. Beyond the limit, or with `max_rows` 0, the choice stays with Spark.
+    """
+    if max_rows and df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

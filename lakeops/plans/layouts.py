@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from lakeops.operators import layout
 from lakeops.plans.bindings import Tables
 from lakeops.plans.registry import query
+from lakeops.session import path_bytes
 from lakeops.sources import files
 
 _LINE = "l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_shipdate"
@@ -18,7 +19,7 @@ def _lines(t: Tables) -> DataFrame:
 
 def file_count(t: Tables) -> int:
     """Files for a rewrite: one per `TARGET_BYTES` of the table, at least as many as cores to use."""
-    size = layout.path_bytes(t.spark, f"{t.dir}/lineitem.parquet")
+    size = path_bytes(t.spark, f"{t.dir}/lineitem.parquet")
     return max(t.spark.sparkContext.defaultParallelism, -(-size // layout.TARGET_BYTES))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.plans.bindings import Tables
-from lakeops.session import tune
+from lakeops.session import path_bytes, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +21,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(Tables(tune(spark), sf_dir))
+            return build(Tables(tune(spark, path_bytes(spark, sf_dir)), sf_dir))
 
         QUERIES[name] = run
         if sql is not None:

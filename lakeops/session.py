@@ -32,15 +32,36 @@ def build_session(master: str | None = None, app: str = "lakeops", **conf: str)
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply `SETTINGS` to a running session, leaving what its owner has set explicitly."""
+# One initial shuffle partition for this much input; adaptive execution merges the small ones.
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+MAX_PARTITIONS = 100_000
+
+
+def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply `SETTINGS` to a running session, leaving what its owner has set explicitly.
+
+    `input_bytes` sizes shuffles: they begin with a partition per 64 MB of input (but never fewer
+    than `spark.sql.shuffle.partitions`), since adaptive execution merges partitions but adds none.
+    """
     owned = spark.sparkContext.getConf()
     for key, value in SETTINGS.items():
         if key == "spark.sql.session.timeZone" or not owned.contains(key):
             spark.conf.set(key, value)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not owned.contains(initial):
+        wanted = min(MAX_PARTITIONS, input_bytes // BYTES_PER_PARTITION)
+        spark.conf.set(initial, str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)))
     return spark
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under a path, from the file system's own summary."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return where.getFileSystem(conf).getContentSummary(where).getLength()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder name in the folder all executors share (`spark.checkpoint.dir`).
 
