@@ -25,14 +25,17 @@ def image_columns(changes: DataFrame) -> list[str]:
 
 
 def change_rows(before: Column, after: Column) -> Column:
-    """The change rows of one key as an array of (`_change_type`, image), from its two images."""
+    """The change rows of one key as an array of (`_change_type`, image), from its two images.
+
+    NULL, so no rows once exploded, where the images are the same or both absent.
+    """
     def row(kind: str, image: Column) -> Column:
         return F.struct(F.lit(kind).alias("_change_type"), image.alias("_image"))
 
-    return (F.when(before.isNull(), F.array(row("insert", after)))
-            .when(after.isNull(), F.array(row("delete", before)))
-            .when(~before.eqNullSafe(after),
-                  F.array(row("update_preimage", before), row("update_postimage", after))))
+    return F.when(~before.eqNullSafe(after),
+                  F.when(before.isNull(), F.array(row("insert", after)))
+                  .when(after.isNull(), F.array(row("delete", before)))
+                  .otherwise(F.array(row("update_preimage", before), row("update_postimage", after))))
 
 
 def _unpacked(df: DataFrame, rows: Column) -> DataFrame:

@@ -33,7 +33,16 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str],
 def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], aggs: Sequence[Column],
              delay: str | None = None) -> DataFrame:
     """Aggregates per key and session: events at most `gap` apart belong together."""
-    return _grouped(df, ts, F.session_window(ts, gap), keys, aggs, delay)
+    window = F.session_window(ts, gap)
+    if df.isStreaming:
+        return _grouped(df, ts, window, keys, aggs, delay)
+    # A filter on a grouped session window would be pushed below the grouping and remove events
+    # before they are merged, so the window of a static frame is made from aggregates.
+    ends = [F.min(ts).alias("_first"), F.max(ts).alias("_last")]
+    out = _grouped(df, ts, window, keys, [*ends, *aggs], delay)
+    return out.withColumn("window", F.struct(
+        F.col("_first").alias("start"), (F.col("_last") + F.expr(f"INTERVAL '{gap}'")).alias("end"))
+    ).drop("_first", "_last")
 
 
 def flatten_window(df: DataFrame) -> DataFrame:
