@@ -16,7 +16,8 @@ def null_profile(df: DataFrame) -> DataFrame:
     share = F.col("null_count") * F.lit(100).cast("decimal(5,0)") / F.col("_rows")
     return (counts.unpivot("_rows", df.columns, "column", "null_count")
             .select("column", "null_count",
-                    F.when(F.col("_rows") > 0, F.round(share, 2)).alias("null_percentage")))
+                    F.when(F.col("_rows") > 0, F.round(share, 2)).alias("null_percentage"))
+            .orderBy(F.desc("null_count"), "column"))
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:

@@ -117,7 +117,7 @@ def expect(df: DataFrame, rules: Expectations, metrics: str | None = None) -> Da
 
 
 def expectation_metrics(df: DataFrame, rules: Expectations) -> DataFrame:
-    """Passed and failed records and failure rate of every expectation, from one pass."""
+    """Passed and failed records and failure rate of every expectation, worst first, from one pass."""
     names = list(rules)
     counts = df.agg(*expectation_counts(rules))
     rate = F.col("failed_records") * F.lit(100).cast("decimal(5,0)") / F.col("_records")
@@ -125,4 +125,5 @@ def expectation_metrics(df: DataFrame, rules: Expectations) -> DataFrame:
             .select("expectation_name",
                     (F.col("_records") - F.col("failed_records")).alias("passed_records"),
                     "failed_records",
-                    F.when(F.col("_records") > 0, F.round(rate, 2)).alias("failure_rate")))
+                    F.when(F.col("_records") > 0, F.round(rate, 2)).alias("failure_rate"))
+            .orderBy(F.desc("failure_rate"), "expectation_name"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeops.operators.orders import nest_lines
 from lakeops.session import scratch_dir
+from lakeops.streaming.io import read_stream
 
 MONEY = "decimal(12,2)"
 
@@ -131,12 +132,18 @@ class Tables:
         """The event stream as a batch: event_id, event_time, user_id, state, line_total."""
         return order_events(self.read("events"))
 
-    def event_stream(self, max_files: int = 1) -> DataFrame:
-        from lakeops.streaming.io import read_stream
+    def stream_path(self, name: str) -> str:
+        """A pattern that a file stream takes, be the table one file or a directory of files."""
+        return f"{self.dir}/{name}.parque[t]"
 
+    def event_stream(self) -> DataFrame:
+        """The events as a stream.
+
+        All that is there makes one micro-batch: files need not be in time order, so in several
+        batches rows could come later than the watermark allows.
+        """
         schema = self.read("events").schema
-        return order_events(read_stream(self.spark, self.dir, schema, max_files, "parquet",
-                                        glob="events.parquet"))
+        return order_events(read_stream(self.spark, self.stream_path("events"), schema, fmt="parquet"))
 
 
 def order_events(events: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from lakeops.plans.registry import query
 from lakeops.plans.shaping import LOW, MEDIUM, SILVER_COLUMNS, SILVER_SQL, paired_events
 from lakeops.plans.sql import EVENTS, LOANS, avg2, total
 from lakeops.plans.summaries import GOLD_STATE_SQL, rounded_gold
+from lakeops.session import path_bytes
 from lakeops.streaming import medallion, merge, windows
 from lakeops.streaming.io import finish, read_stream, write_stream
 
@@ -89,8 +90,8 @@ def stream_interval_join(t: Tables) -> DataFrame:
 @query("bronze_ingest", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, true AS stamped FROM orders")
 def bronze_ingest(t: Tables) -> DataFrame:
     path = t.scratch("bronze")
-    medallion.bronze(t.spark, t.dir, path, t.scratch("bronze-checkpoint"), t.read("orders").schema,
-                     glob="orders.parquet")
+    medallion.bronze(t.spark, t.stream_path("orders"), path, t.scratch("bronze-checkpoint"),
+                     t.read("orders").schema)
     return t.spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
                                              F.col("ingestion_timestamp").isNotNull().alias("stamped"))
 
@@ -151,7 +152,8 @@ def stream_cdc_merge(t: Tables) -> DataFrame:
 
     signups = latest_per_key(keyed(t.read("events")).where("state = 'signup'"), _MERGE_KEYS, _MERGE_SEQ)
     merge.start_table(signups, table, _MERGE_KEYS, _MERGE_SEQ)
-    arrivals = keyed(read_stream(t.spark, landing, schema, max_files=8, fmt="parquet")).where("state <> 'signup'")
+    third = path_bytes(t.spark, landing) // 3 + 1  # a few micro-batches, whatever the size
+    arrivals = keyed(read_stream(t.spark, landing, schema, fmt="parquet", max_bytes=third)).where("state <> 'signup'")
     finish(merge.stream_merge(arrivals, table, _MERGE_KEYS, _MERGE_SEQ, t.scratch("merge-checkpoint")))
     state = merge.merged_state(t.spark, table, _MERGE_KEYS, ["user_id", "day", "event_id", "state", "line_total"],
                                {"line_total": "updated_line_total"})

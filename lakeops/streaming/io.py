@@ -12,16 +12,16 @@ from lakeops.operators.layout import cluster_by
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None,
-                fmt: str = "json", glob: str | None = None) -> DataFrame:
-    """Stream the files that arrive under a directory, sub-directories included.
+                fmt: str = "json", max_bytes: int | None = None) -> DataFrame:
+    """Stream the files that arrive under a directory (or path pattern), sub-directories included.
 
-    `max_files` bounds a micro-batch; without it a batch takes all files that are new.
+    `max_files` or `max_bytes` bound a micro-batch; without either it takes all files that are new.
     """
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 
@@ -76,10 +76,10 @@ def finish(query: StreamingQuery) -> StreamingQuery:
 
 
 def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: StructType,
-                     fmt: str = "parquet", glob: str | None = None,
-                     add: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
+                     fmt: str = "parquet", add: Callable[[DataFrame], DataFrame] = lambda df: df,
+                     ) -> StreamingQuery:
     """Append all files that have arrived since the last run to `dst`.
 
     The checkpoint remembers which files are done: a second run takes only new ones.
     """
-    return finish(write_stream(add(read_stream(spark, src, schema, fmt=fmt, glob=glob)), dst, checkpoint))
+    return finish(write_stream(add(read_stream(spark, src, schema, fmt=fmt)), dst, checkpoint))

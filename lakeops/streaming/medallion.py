@@ -25,9 +25,9 @@ def risk_category(grade: str = "loan_grade", low: tuple[str, ...] = LOW_RISK,
 
 
 def bronze(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: StructType,
-           fmt: str = "parquet", glob: str | None = None) -> StreamingQuery:
+           fmt: str = "parquet") -> StreamingQuery:
     """Append new raw files, as they are, with the time of ingestion."""
-    return ingest_new_files(spark, src, dst, checkpoint, schema, fmt, glob,
+    return ingest_new_files(spark, src, dst, checkpoint, schema, fmt,
                             add=lambda df: df.withColumn("ingestion_timestamp", F.current_timestamp()))
 
 
@@ -53,12 +53,12 @@ def silver(bronze_rows: DataFrame, rules: Expectations, low: tuple[str, ...] = L
 
 
 def gold_by_state(silver_rows: DataFrame) -> DataFrame:
-    """Loans, amounts and rates per state."""
+    """Loans, amounts and rates per state, largest first."""
     return silver_rows.groupBy("state").agg(
         F.count(F.lit(1)).alias("total_loans"),
         F.sum("loan_amount").alias("total_loan_amount"),
         F.avg("loan_amount").alias("avg_loan_amount"),
-        F.avg("interest_rate").alias("avg_interest_rate"))
+        F.avg("interest_rate").alias("avg_interest_rate")).orderBy(F.desc("total_loan_amount"))
 
 
 def gold_by_grade(silver_rows: DataFrame) -> DataFrame:
@@ -66,7 +66,7 @@ def gold_by_grade(silver_rows: DataFrame) -> DataFrame:
     return silver_rows.groupBy("loan_grade", "loan_term").agg(
         F.count(F.lit(1)).alias("total_loans"),
         F.avg("loan_amount").alias("avg_loan_amount"),
-        F.avg("interest_rate").alias("avg_interest_rate"))
+        F.avg("interest_rate").alias("avg_interest_rate")).orderBy("loan_grade", "loan_term")
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ class Medallion:
 
 
 def run_medallion(spark: SparkSession, src: str, root: str, schema: StructType, rules: Expectations,
-                  fmt: str = "parquet", glob: str | None = None, low: tuple[str, ...] = LOW_RISK,
+                  fmt: str = "parquet", low: tuple[str, ...] = LOW_RISK,
                   medium: tuple[str, ...] = MEDIUM_RISK) -> tuple[DataFrame, DataFrame, StreamingQuery]:
     """Bring all layers up to date with the files in `src`; a second run handles only new files.
 
@@ -91,7 +91,7 @@ def run_medallion(spark: SparkSession, src: str, root: str, schema: StructType,
     expectation counts).
     """
     flow = Medallion(root)
-    bronze(spark, src, flow.path("bronze"), flow.checkpoint("bronze"), schema, fmt, glob)
+    bronze(spark, src, flow.path("bronze"), flow.checkpoint("bronze"), schema, fmt)
     bronze_schema = StructType([*schema.fields, StructField("ingestion_timestamp", TimestampType())])
     raw = read_stream(spark, flow.path("bronze"), bronze_schema, fmt="parquet")
     query = finish(write_stream(silver(raw, rules, low, medium), flow.path("silver"),
