@@ -108,13 +108,12 @@ class Tables:
 
     def loans(self) -> DataFrame:
         """Loan-like rows from orders; NULLs where an order has no lines, violations as the data has them."""
-        money_sum = "decimal(22,2)"
+        price = F.col("l_extendedprice")
         lines = self.read("lineitem").groupBy("l_orderkey").agg(
-            F.sum(money("l_extendedprice")).cast(money_sum).alias("funded_amnt"),
-            F.sum(F.when(F.col("l_returnflag") == "R", money("l_extendedprice"))
-                  .otherwise(F.lit(0))).cast(money_sum).alias("paid_amnt"),
-            F.max(F.col("l_discount").cast("decimal(12,4)") * 500).cast("decimal(5,2)").alias("int_rate"),
-            F.sum(F.col("l_tax").cast("decimal(12,4)")).cast("decimal(12,2)").alias("dti"),
+            money(F.max(price)).alias("funded_amnt"),
+            money(F.max(F.when(F.col("l_returnflag") == "R", price).otherwise(0.0))).alias("paid_amnt"),
+            (F.max("l_discount").cast("decimal(12,4)") * 500).cast("decimal(12,2)").alias("int_rate"),
+            (F.max("l_tax").cast("decimal(12,4)") * 100).cast("decimal(12,2)").alias("dti"),
         )
         people = (self.read("customer").join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
                   .select("c_custkey", F.col("n_name").alias("addr_state"),

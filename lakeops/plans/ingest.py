@@ -18,11 +18,13 @@ def scratch_db(t: Tables) -> str:
 
 
 def _order_values(orders: DataFrame, *more: Column) -> DataFrame:
-    """Items and value of each order record, folded within the row."""
+    """Items and value of each order: folded within the row, then over the records of an order."""
     value = F.aggregate("ordered_products", F.lit(0).cast("decimal(20,2)"),
                         lambda acc, p: (acc + p["price"].cast(MONEY) * p["qty"].cast("int")).cast("decimal(20,2)"))
-    return orders.select("order_number", "order_datetime", "customer_id", "customer_name",
-                         F.size("ordered_products").alias("num_products"), value.alias("order_value"), *more)
+    head = ["order_number", "order_datetime", "customer_id", "customer_name"]
+    folded = orders.select(*head, F.size("ordered_products").cast("bigint").alias("_n"), value.alias("_v"), *more)
+    return folded.groupBy(*[c for c in folded.columns if c not in ("_n", "_v")]).agg(
+        F.sum("_n").alias("num_products"), F.sum("_v").alias("order_value"))
 
 
 _ORDER_VALUES = f"""WITH {FLAT}
@@ -30,7 +32,7 @@ SELECT o_orderkey AS order_number, CAST(CAST(epoch(o_orderdate) AS BIGINT) AS VA
        o_custkey AS customer_id, c_name AS customer_name, coalesce(n, 0) AS num_products,
        CAST(coalesce(v, 0) AS DOUBLE) AS order_value
 FROM orders JOIN customer ON o_custkey = c_custkey
-LEFT JOIN (SELECT order_number, CAST(count(*) AS INTEGER) AS n, sum(line_total) AS v FROM flat GROUP BY order_number)
+LEFT JOIN (SELECT order_number, count(*) AS n, sum(line_total) AS v FROM flat GROUP BY order_number)
   ON order_number = o_orderkey"""
 
 

@@ -21,10 +21,10 @@ keyed AS (
   FROM orders JOIN customers ON o_custkey = customer_id)"""
 
 LOANS = """loan_lines AS (
-  SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS funded_amnt,
-         sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(12,2)) ELSE 0 END) AS paid_amnt,
-         CAST(max(CAST(l_discount AS DECIMAL(12,4)) * 500) AS DECIMAL(5,2)) AS int_rate,
-         CAST(sum(CAST(l_tax AS DECIMAL(12,4))) AS DECIMAL(12,2)) AS dti
+  SELECT l_orderkey, CAST(max(l_extendedprice) AS DECIMAL(12,2)) AS funded_amnt,
+         CAST(max(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END) AS DECIMAL(12,2)) AS paid_amnt,
+         CAST(CAST(max(l_discount) AS DECIMAL(12,4)) * 500 AS DECIMAL(12,2)) AS int_rate,
+         CAST(CAST(max(l_tax) AS DECIMAL(12,4)) * 100 AS DECIMAL(12,2)) AS dti
   FROM lineitem GROUP BY l_orderkey),
 loans AS (
   SELECT o_orderkey AS loan_id, CAST(o_totalprice AS DECIMAL(12,2)) AS loan_amnt, funded_amnt, paid_amnt,
