@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from lakeops.functions import random_int
 
-# An odd multiplier spreads neighbouring integers, and a prime takes the remainder.
-_SPREAD, _PRIME = 7919, 1_000_003
+# A prime, and a multiplier near its golden section, which spreads neighbouring keys.
+_SPREAD, _PRIME = 618_034, 1_000_003
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:

@@ -194,6 +194,6 @@ def sample_rows(t: Tables) -> DataFrame:
 
 
 @query("sample_hash", """SELECT o_orderkey, o_custkey FROM orders
-WHERE ((o_orderkey % 1000003) * 7919) % 1000003 * 1000 < CAST(100 AS BIGINT) * 1000003""")
+WHERE ((o_orderkey % 1000003) * 618034) % 1000003 * 1000 < CAST(100 AS BIGINT) * 1000003""")
 def sample_hash(t: Tables) -> DataFrame:
     return sampling.sample_hash(t.read("orders"), "o_orderkey", 100).select("o_orderkey", "o_custkey")
