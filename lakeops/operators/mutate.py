@@ -119,6 +119,24 @@ def pair_up(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFra
     return paired.where(unique).drop("_n0", "_n1")
 
 
+def differences(paired: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Keys whose `_before` and `_after` images differ, how, and in which of the columns."""
+    before, after = F.col("_before"), F.col("_after")
+    change = F.when(before.isNull(), "added").when(after.isNull(), "removed").otherwise("changed")
+    differ = F.array_compact(F.array(*[
+        F.when(~F.col(f"_before.`{c}`").eqNullSafe(F.col(f"_after.`{c}`")), F.lit(c))
+        for c in columns if c not in keys]))
+    return paired.where(~before.eqNullSafe(after)).select(
+        *[F.coalesce(F.col(f"_before.`{k}`"), F.col(f"_after.`{k}`")).alias(k) for k in keys],
+        change.alias("change"),
+        F.when(before.isNotNull() & after.isNotNull(), differ).alias("columns"))
+
+
+def diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What differs between two snapshots: keys, `change` (added, removed, changed), changed `columns`."""
+    return differences(pair_up(before, after, keys), keys, before.columns)
+
+
 def change_counts(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows before and after, and how many were inserted, updated and deleted."""
     b, a = F.col("_before"), F.col("_after")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -50,6 +50,18 @@ def enforce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df
 
 
+def guard(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The same rows, failing the job that reads them at the first row that breaks a rule.
+
+    No extra pass: a write of guarded rows either commits all of them or nothing.
+    """
+    out = df
+    for r in rules:
+        failed = F.raise_error(F.lit(f"constraint violated: {r.name}")).cast("boolean")
+        out = out.where(F.when(r.broken(), failed).otherwise(F.lit(True)))
+    return out
+
+
 def with_violations(df: DataFrame, rules: Sequence[Rule], name: str = "violations") -> DataFrame:
     """Add the array of names of the rules a row breaks."""
     marks = F.array(*[F.when(r.broken(), F.lit(r.name)) for r in rules])
@@ -98,12 +110,11 @@ def expectation_counts(rules: Expectations) -> list[Column]:
             *[F.count_if(~passed).alias(name) for name, passed, _ in _parsed(rules)]]
 
 
-def expect(df: DataFrame, rules: Expectations, metrics: str | None = None) -> DataFrame:
+def expect(df: DataFrame, rules: Expectations, metrics: str | Observation | None = None) -> DataFrame:
     """Apply expectations: `warn` keeps failing rows, `drop` removes them, `fail` aborts the query.
 
-    With `metrics`, failures are counted while the rows flow by (no second pass), as an observed
-    metric of that name: `StreamingQueryProgress.observedMetrics`, or a query-execution listener.
-    Works on static and streaming frames.
+    With `metrics`, failures are counted while the rows flow by (no second pass): under that name
+    in `StreamingQueryProgress.observedMetrics`, or for a static frame in the given Observation.
     """
     out = df.observe(metrics, *expectation_counts(rules)) if metrics else df
     for name, passed, action in _parsed(rules):

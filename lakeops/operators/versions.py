@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lakeops.functions import struct_of
 from lakeops.operators.cdc import META, change_rows, image_columns, latest_changes
+from lakeops.operators.mutate import differences
 
 
 class VersionNotAvailable(LookupError):
@@ -64,7 +65,7 @@ def as_of_timestamp(log: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
 
 
 def history(log: DataFrame) -> DataFrame:
-    """Version, time, kind of operation and row counts of every commit."""
+    """Version, time, kind of operation and row counts of every commit, newest first."""
     kinds = {"inserted_rows": "insert", "updated_rows": "update_postimage", "deleted_rows": "delete"}
     counts = log.groupBy(F.col("_commit_version").alias("version"),
                          F.col("_commit_timestamp").alias("timestamp")).agg(
@@ -74,7 +75,7 @@ def history(log: DataFrame) -> DataFrame:
                  .when(some["updated_rows"] & ~some["inserted_rows"] & ~some["deleted_rows"], "UPDATE")
                  .when(some["deleted_rows"] & ~some["inserted_rows"] & ~some["updated_rows"], "DELETE")
                  .otherwise("MERGE"))
-    return counts.withColumn("operation", operation)
+    return counts.withColumn("operation", operation).orderBy(F.desc("version"))
 
 
 def version_counts(log: DataFrame) -> DataFrame:
@@ -107,15 +108,7 @@ def diff_versions(log: DataFrame, keys: Sequence[str], a: int, b: int) -> DataFr
 
     Keys, `change` (added, removed, changed) and the names of the columns that changed.
     """
-    before, after = F.col("_before"), F.col("_after")
-    change = (F.when(before.isNull(), "added").when(after.isNull(), "removed").otherwise("changed"))
-    differ = F.array_compact(F.array(*[
-        F.when(~F.col(f"_before.{c}").eqNullSafe(F.col(f"_after.{c}")), F.lit(c))
-        for c in image_columns(log) if c not in keys]))
-    both = before.isNotNull() & after.isNotNull()
-    return (_two_states(log, keys, a, b).where(~before.eqNullSafe(after))
-            .select(*[F.coalesce(F.col(f"_before.{k}"), F.col(f"_after.{k}")).alias(k) for k in keys],
-                    change.alias("change"), F.when(both, differ).alias("columns")))
+    return differences(_two_states(log, keys, a, b), keys, image_columns(log))
 
 
 def restore(log: DataFrame, keys: Sequence[str], version: int, as_version: int,

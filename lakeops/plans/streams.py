@@ -83,7 +83,7 @@ SELECT c.user_id, c.event_id AS click_id, c.event_time AS clicked_at, p.event_id
 FROM ev c JOIN ev p ON c.user_id = p.user_id AND c.state = 'click' AND p.state = 'purchase'
  AND p.event_time BETWEEN c.event_time - INTERVAL 5 MINUTE AND c.event_time + INTERVAL 5 MINUTE""")
 def stream_interval_join(t: Tables) -> DataFrame:
-    pairs = paired_events(t.event_stream(), t.event_stream(), splits=4, delay=DELAY)
+    pairs = paired_events(t.event_stream(), t.event_stream(), splits=1, delay=DELAY)
     return run(t, pairs, "pairs")
 
 

@@ -14,9 +14,16 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort a shuffled join where every partition of one side is at most this big.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Rows are larger in memory than in compressed files: keeps broadcasts within their limit.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # State may outgrow executor memory: RocksDB, uploading changes only, without row counting.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 

@@ -81,6 +81,13 @@ def test_change_counts_and_feed_round_trip(spark):
     assert rows(cdc.apply_changes(before, stamped, ["order_number"])) == rows(after)
 
 
+def test_diff_of_snapshots(spark):
+    after = table(spark, (1, "NY", "Gold", 10.0), (2, "CA", None, 25.0), (7, "OR", None, 70.0))
+    out = mutate.diff(base(spark), after, ["order_number"])
+    assert rows(out.select("order_number", "change", F.array_join("columns", ","))) == [
+        (2, "changed", "segment,total"), (3, "removed", None), (7, "added", None)]
+
+
 def test_pairing_raises_on_a_repeated_key(spark):
     twice = base(spark).unionByName(base(spark))
     with pytest.raises(PySparkException, match="not unique"):
@@ -112,8 +119,8 @@ def test_feed_of_the_standard_workload(spark, log):
         ("delete", 1), ("insert", 3), ("update_postimage", 2), ("update_preimage", 2)]
     assert changes.where("_change_type LIKE 'update%'").count() == 4
     assert rows(versions.version_counts(log[0])) == [(0, 3), (1, 6), (2, 6), (3, 5)]
-    assert [r.operation for r in versions.history(log[0]).orderBy("version").collect()] == [
-        "WRITE", "WRITE", "UPDATE", "DELETE"]
+    assert [r.operation for r in versions.history(log[0]).collect()] == [
+        "DELETE", "UPDATE", "WRITE", "WRITE"]
 
 
 def test_repeating_a_commit_changes_nothing(spark, log):

@@ -1,6 +1,6 @@
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from conftest import rows
 from lakeops.operators import privacy, profile, rules, sampling, schema
@@ -29,6 +29,21 @@ def test_enforce_raises_on_null_and_on_failed_check(spark):
         rules.enforce(loans(spark, *GOOD, (100000, 10000, "CA")), RULES)
 
 
+def test_guard_fails_the_write_and_leaves_nothing(spark, tmp_path):
+    rules.guard(loans(spark, *GOOD), RULES).write.parquet(str(tmp_path / "good"))
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 3
+    with pytest.raises(PySparkException, match="constraint violated: valid_amount"):
+        rules.guard(loans(spark, *GOOD, (100000, 1, "CA")), RULES).write.parquet(str(tmp_path / "bad"))
+    assert not [f for f in (tmp_path / "bad").glob("*.parquet")]
+
+
+def test_observed_expectations_of_a_batch(spark):
+    seen = Observation("checks")
+    kept = rules.expect(loans(spark, *GOOD, (None, 1, "CA")), {"positive": ("loan_amnt > 0", "drop")}, seen)
+    assert kept.count() == 3
+    assert seen.get == {"_records": 4, "positive": 1}
+
+
 def test_null_passes_check_but_fails_expectation(spark):
     df = loans(spark, (15000, None, "CA"))
     assert rules.enforce(df, RULES).count() == 1
