@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.operators import cdc, mutate
 from lakeops.plans.bindings import MONEY, Tables, as_double, ntz
@@ -22,7 +22,7 @@ def order_log(t: Tables) -> DataFrame:
     cut = F.when(F.col("state") == "NATION_7", F.round(F.col("line_total") * F.lit("0.9").cast("decimal(3,2)"), 2)
                  .cast(MONEY)).otherwise(F.col("line_total"))
 
-    def row(kind: str, version, total) -> F.Column:
+    def row(kind: str, version: Column, total: Column) -> Column:
         return F.struct(F.lit(kind).alias("_change_type"), version.cast("bigint").alias("_commit_version"),
                         total.alias("_total"))
 

@@ -43,7 +43,7 @@ def commit_log(t: Tables) -> DataFrame:
 
 @query("as_of_version", f"WITH {LOG} {STATE_2}")
 def as_of_version(t: Tables) -> DataFrame:
-    return as_double(versions.as_of_version(order_log(t), KEY, 2))
+    return as_double(versions.as_of_version(order_log(t), KEY, 2, oldest=0))
 
 
 @query("as_of_timestamp", f"WITH {LOG} {STATE_0}")

@@ -28,7 +28,7 @@ EXPECTATIONS = {
 }
 
 _BROKEN = {r.name: f"coalesce(NOT ({r.condition.replace('`', '')}), false)" for r in RULES}
-_PASSED = {n: f"coalesce({c}, false)" for n, (c, _) in EXPECTATIONS.items()}
+PASSED = {n: f"coalesce({c}, false)" for n, (c, _) in EXPECTATIONS.items()}
 
 
 def _long(pairs: dict[str, str], name: str, value: str, source: str) -> str:
@@ -156,7 +156,7 @@ def rejected_rows(t: Tables) -> DataFrame:
 
 @query("expect_drop", f"""WITH {LOANS}
 SELECT {_KEPT} FROM loans
-WHERE {' AND '.join(_PASSED[n] for n, (_, action) in EXPECTATIONS.items() if action == 'drop')}""")
+WHERE {' AND '.join(PASSED[n] for n, (_, action) in EXPECTATIONS.items() if action == 'drop')}""")
 def expect_drop(t: Tables) -> DataFrame:
     kept = rl.expect(t.loans(), EXPECTATIONS)
     return as_double(kept.select("loan_id", "loan_amnt", "funded_amnt", "addr_state"))
@@ -169,7 +169,7 @@ def _metric_row(name: str, passed: str) -> str:
             f"CAST((2 * {failed} * 10000 + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS failure_rate FROM loans")
 
 
-@query("expectation_metrics", f"WITH {LOANS} " + "\nUNION ALL\n".join(_metric_row(n, c) for n, c in _PASSED.items()))
+@query("expectation_metrics", f"WITH {LOANS} " + "\nUNION ALL\n".join(_metric_row(n, c) for n, c in PASSED.items()))
 def expectation_metrics(t: Tables) -> DataFrame:
     return as_double(rl.expectation_metrics(t.loans(), EXPECTATIONS))
 

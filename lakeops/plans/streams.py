@@ -8,7 +8,7 @@ from lakeops.operators.mutate import latest_per_key
 from lakeops.operators.sampling import split_into_batches
 from lakeops.plans.bindings import Tables, as_double, ntz, order_events
 from lakeops.plans.changes import day_operations
-from lakeops.plans.quality import EXPECTATIONS, _PASSED
+from lakeops.plans.quality import EXPECTATIONS, PASSED
 from lakeops.plans.registry import query
 from lakeops.plans.shaping import LOW, MEDIUM, SILVER_COLUMNS, SILVER_SQL, paired_events
 from lakeops.plans.sql import EVENTS, LOANS, avg2, total
@@ -96,7 +96,7 @@ def bronze_ingest(t: Tables) -> DataFrame:
                                              F.col("ingestion_timestamp").isNotNull().alias("stamped"))
 
 
-_DROPS = " AND ".join(_PASSED[n] for n, (_, action) in EXPECTATIONS.items() if action == "drop")
+_DROPS = " AND ".join(PASSED[n] for n, (_, action) in EXPECTATIONS.items() if action == "drop")
 _KEPT_LOANS = LOANS.replace("loans AS (", "all_loans AS (") + f",\nloans AS (SELECT * FROM all_loans WHERE {_DROPS})"
 
 
