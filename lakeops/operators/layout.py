@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from lakeops.operators.skew import range_partitioned
 from lakeops.session import path_bytes
 
 TARGET_BYTES = 256 * 1024 * 1024
@@ -70,12 +71,6 @@ def z_value(cols: Sequence[str], bits: int) -> Column:
     return reduce(lambda a, b: a.bitwiseOR(b), parts)
 
 
-def _ranged(df: DataFrame, by: Sequence[str], files: int) -> DataFrame:
-    """Range partitions of `by`; rows of one hot value are spread by their place in the scan."""
-    return (df.withColumn("_tie", F.monotonically_increasing_id())
-            .repartitionByRange(files, *by, "_tie").sortWithinPartitions(*by).drop("_tie"))
-
-
 def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) -> DataFrame:
     """Rows in Z-order of several columns, one partition per future file.
 
@@ -85,12 +80,13 @@ def zorder(df: DataFrame, cols: Sequence[str], files: int, bits: int = 6) -> Dat
         raise ValueError("too many bits for the Z-value")
     ranked = _ranked(df, cols, bits)
     names = [f"_z{i}" for i in range(len(cols))]
-    return _ranged(ranked.withColumn("_z", z_value(names, bits)).drop(*names), ["_z"], files).drop("_z")
+    keyed = ranked.withColumn("_z", z_value(names, bits)).drop(*names)
+    return range_partitioned(keyed, ["_z"], files).drop("_z")
 
 
 def cluster_by(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     """Rows clustered by one column (range order) or several (Z-order)."""
-    return _ranged(df, cols, files) if len(cols) == 1 else zorder(df, cols, files)
+    return range_partitioned(df, cols, files) if len(cols) == 1 else zorder(df, cols, files)
 
 
 def layout_report(spark: SparkSession, path: str, col: str) -> DataFrame:

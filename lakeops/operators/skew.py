@@ -25,17 +25,28 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return group_extent(df, keys)[0]
 
 
+def range_partitioned(df: DataFrame, by: Sequence[str], partitions: int) -> DataFrame:
+    """Range partitions of `by`, each sorted, none overfilled by a hot value.
+
+    Rows of equal `by` are spread by a hash of their content, so that a repeated task deals them out
+    the same way; only exact copies are spread by their place in the input. (Give a frame with big
+    groups of copies as a table, whose scan order is fixed.)
+    """
+    hashed = [f"`{f.name}`" for f in df.schema.fields if f.dataType.typeName() != "map"]
+    ties = ["_content", "_place"]
+    return (df.withColumn("_content", F.xxhash64(*hashed))
+            .withColumn("_place", F.monotonically_increasing_id())
+            .repartitionByRange(partitions, *by, *ties).sortWithinPartitions(*by).drop(*ties))
+
+
 def range_slices(df: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
     """The rows cut into `slices` ranges of `by` of about equal size, with `_slice` and `_pos`.
 
-    A range partition is a slice; `_pos` numbers its rows in the order of `by` from 0. Ties are
-    spread over slices by their place in the scan. The slices are written to the shared scratch
-    folder, so that they stay put when a task is repeated.
+    A range partition is a slice; `_pos` numbers its rows in the order of `by` from 0. The slices
+    are written to the shared scratch folder, so that they stay put when a task is repeated.
     """
     path = scratch_dir(df.sparkSession, "slices")
-    (df.withColumn("_tie", F.monotonically_increasing_id())
-     .repartitionByRange(slices, *by, "_tie").sortWithinPartitions(*by, "_tie").drop("_tie")
-     .withColumn("_at", F.monotonically_increasing_id())
+    (range_partitioned(df, by, slices).withColumn("_at", F.monotonically_increasing_id())
      .write.parquet(path))
     # monotonically_increasing_id: number of the partition from bit 33 up, position below.
     return (df.sparkSession.read.parquet(path)
