@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lakeops.plans import ORACLES, QUERIES
 from check import compare, connect
 from conftest import SF
 
@@ -14,13 +15,14 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     assert compare(spark, con, name, SF) is None
 
 
 def test_only_queries_without_sql_lack_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry_has_rows(spark):
