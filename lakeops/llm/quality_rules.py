@@ -23,7 +23,7 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_r
 RULES: dict[str, str] = {
     "few_words": "n_words < 20",
     "repeated_words": "100 * n_repeat_words > 30 * n_words",
-    "symbols": "100 * n_symbols > 40 * n_words",
+    "symbols": "100 * n_symbols > 30 * n_words",
     "repeated_lines": "100 * n_dup_lines > 50 * n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 25 * n_words",
@@ -139,7 +139,7 @@ m AS (
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN c ON w.doc_id = c.doc_id),
 f AS (
-  SELECT *, n_words < 20 AS f0, 100 * n_repeat_words > 30 * n_words AS f1, 100 * n_symbols > 40 * n_words AS f2,
+  SELECT *, n_words < 20 AS f0, 100 * n_repeat_words > 30 * n_words AS f1, 100 * n_symbols > 30 * n_words AS f2,
          100 * n_dup_lines > 50 * n_lines AS f3, word_chars < 2 * n_words AS f4, word_chars > 25 * n_words AS f5 FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT)::BIGINT AS failures,
