@@ -2,10 +2,13 @@
 
 from lakeops.llm.registry import ORACLES, QUERIES
 from lakeops.llm import (  # noqa: F401  (each module registers its query)
+    embedding_dedup,
+    mixing,
     packing,
     quality_rules,
     token_output,
     url_filter,
+    warc,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
