@@ -2,7 +2,9 @@
 
 from lakeops.llm.registry import ORACLES, QUERIES
 from lakeops.llm import (  # noqa: F401  (each module registers its query)
+    classifier,
     embedding_dedup,
+    minhash,
     mixing,
     packing,
     quality_rules,
