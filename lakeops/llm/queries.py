@@ -9,6 +9,7 @@ from lakeops.llm import (  # noqa: F401  (each module registers its query)
     packing,
     quality_rules,
     token_output,
+    suffix_dedup,
     url_filter,
     warc,
 )
