@@ -190,14 +190,8 @@ def similar_size(x: str, y: str) -> Column:
     return F.expr(f"4 * least({x}, {y}) >= 3 * greatest({x}, {y})")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row per row of `docs`: id, n_shingles, component_id and kept.
-
-    Documents link if their sets of five-word shingles (hashed to 64 bits) have a similarity of at
-    least 0.75. Null texts and texts without words have no shingles and link with nothing. Rows that
-    repeat an id are documents of their own; null ids link, but name a component (as null) only where
-    it has no other. An empty table gives no rows; other columns aren't read.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, block_rows: int) -> DataFrame:
+    """id, text_hash and n of each row, and `top`: the least (id, text_hash) of its component; null without shingles."""
     key = F.col(f"`{id_col}`").cast("bigint").alias("id")
     texts = docs.select(key, F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
     rows = saved(texts.mapInArrow(_sketched, SKETCHED), "sketches")
@@ -229,14 +223,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .applyInArrow(_block_pairs, "a bigint, b bigint, likely double"))
     search.test(search.between(saved(more, "more")))
     roots = search.rooted(classes.select("class", "rep"), "class", "root")
-    least = roots.groupBy("root").agg(F.min("rep").alias("top")).select(F.col("root").alias("r"), F.col("top.id").alias("component"))
-    named = roots.join(least, F.col("root") == F.col("r")).select(F.col("class").alias("c"), "component")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return (rows.select("id", "n", "class").join(named, F.col("class") == F.col("c"), "left")
+    least = roots.groupBy("root").agg(F.min("rep").alias("top")).withColumnRenamed("root", "r")
+    named = roots.join(least, F.col("root") == F.col("r")).select(F.col("class").alias("c"), "top")
+    return rows.select("id", "text_hash", "n", "class").join(named, F.col("class") == F.col("c"), "left").select("id", "text_hash", "n", "top")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row per row of `docs`: id, n_shingles, component_id and kept.
+
+    Documents link if their sets of five-word shingles (hashed to 64 bits) have a similarity of at
+    least 0.75. Null texts and texts without words have no shingles and link with nothing. Rows that
+    repeat an id are documents of their own; null ids link, but name a component (as null) only where
+    it has no other. An empty table gives no rows; other columns aren't read.
+    """
+    component = F.when(F.col("n") > 0, F.col("top.id")).otherwise(F.col("id"))
+    return (_grouped(docs, id_col, text_col, block_rows)
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                     component.eqNullSafe(F.col("id")).alias("kept")))
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row of each component, that with the least id (of its repeats, any), and all rows without words.
+
+    Rows keep all their columns. What goes is joined away by id and text, so that texts move only if
+    the list of what goes is too long to send to every task.
+    """
+    rows = saved(_grouped(docs, id_col, text_col, block_rows), "grouped")
+    gone = rows.where("n > 0 AND NOT (id <=> top.id AND text_hash = top.text_hash)").select("id", "text_hash").distinct()
+    text_hash = F.xxhash64(F.col(f"`{text_col}`"))
+    key = F.col(f"`{id_col}`").cast("bigint")
+    left = docs.join(gone, key.eqNullSafe(gone["id"]) & (text_hash == gone["text_hash"]), "left_anti")
+    repeated = rows.where("n > 0").groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    if repeated.isEmpty():
+        return left
+    # Repeats of a row: one stays. Only their rows meet by key, without their other columns' help.
+    marked = left.join(repeated.select(F.col("id").alias("_repeated"), F.col("text_hash").alias("_repeated_text")),
+                       key.eqNullSafe(F.col("_repeated")) & (text_hash == F.col("_repeated_text")), "left")
+    alone = marked.where("_repeated_text IS NULL").select(*[left[c] for c in left.columns])
+    firsts = (marked.where("_repeated_text IS NOT NULL").groupBy("_repeated", "_repeated_text")
+              .agg(F.first(F.struct(*[left[c] for c in left.columns])).alias("row")))
+    return alone.unionAll(firsts.select("row.*"))
+
+
 @query("op1_minhash_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

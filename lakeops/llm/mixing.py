@@ -49,12 +49,12 @@ def sample_key(id_col: Column, quality: Column, seed: int) -> Column:
     return -F.log(u) / quality
 
 
-def sized(docs: DataFrame, quality: Column, seed: int, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """id, source, size (words; null has none) and sample key of each row, without the text."""
+def sized(docs: DataFrame, quality: Column, seed: int, id_col: str, source_col: str, text_col: str, *more: Column) -> DataFrame:
+    """id, source, size (words; null has none) and sample key of each row, without the text; and `more` columns."""
     key = F.col(f"`{id_col}`").cast("bigint")
     return docs.select(key.alias("id"), F.col(f"`{source_col}`").alias("source"),
                        F.size(words_of(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))).cast("bigint").alias("size"),
-                       sample_key(key, quality, seed).alias("key"))
+                       sample_key(key, quality, seed).alias("key"), *more)
 
 
 def mix_plan(rows: DataFrame, weights: Sequence[int], share: float, cap: float, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -119,6 +119,22 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     return mix(rows, mix_plan(rows, weights, share, cap)).select("id", "source", "size", "source_size", "target", "times")
 
 
+def mixture(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+            quality: Column | None = None, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: float = CAP,
+            seed: int = SEED) -> DataFrame:
+    """The mix itself: each row of `docs` with all its columns as often as it is taken (see `mixed`).
+
+    Only the plan, one row per source, meets the texts.
+    """
+    spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "sizes")
+    quality = cleanness() if quality is None else quality
+    sized(docs, quality, seed, id_col, source_col, text_col).write.parquet(path)
+    plan = mix_plan(spark.read.parquet(path), weights, share, cap)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    taken = mix(sized(docs, quality, seed, id_col, source_col, text_col, row), plan).where("times > 0")
+    return taken.select(F.explode(F.array_repeat("row", F.col("times").cast("int"))).alias("row")).select("row.*")
+
+
 SQL = r"""
 WITH n AS (
   SELECT doc_id, source, coalesce(text, '') AS text,

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakeops.llm.hashing import mix, powers
 from lakeops.llm.registry import query, table
@@ -342,8 +342,11 @@ def repeated_spans(sources: DataFrame, total_bytes: int) -> DataFrame:
     return found.where("window is null").select("doc", "text_hash", "begin", "end").unionAll(across)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of `docs`: id, n_bytes, `spans` (removed stretches, in order) and `kept`, the other bytes.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """One row per row of `docs`: id, n_bytes, `spans` (removed stretches, in order), `kept`, the other
+    bytes, and `kept_text`, the whole characters among them.
+
+    With `carry`, `row` holds all columns of `docs`.
 
     A byte is removed if a string of 50 bytes that covers it starts in a document with a smaller id,
     too; strings are taken from whole texts before any removal. Null texts are empty. A null id is
@@ -353,7 +356,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(LAST)).alias("doc"),
-                       F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(1), text).alias("text_hash2"), text.alias("text"))
+                       F.xxhash64(text).alias("text_hash"), F.xxhash64(F.lit(1), text).alias("text_hash2"), text.alias("text"),
+                       *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
+    more = ["row"] if carry else []
     sizes = _saved(rows.groupBy("text_hash", "text_hash2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"),
                                                               F.max(F.octet_length("text")).cast("bigint").alias("bytes")), "texts")
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
@@ -368,22 +373,35 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     span_type = "array<struct<begin:bigint,end:bigint>>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()),
-                            ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())])
+        kinds = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()),
+                           ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), ("kept_text", pa.string())])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                out = []
-                for key, copy, content, found in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns)):
+                out, part = [], batch.slice(at, 256)
+                for key, copy, content, found in zip(*(c.to_pylist() for c in part.columns[:4])):
                     data = _bytes_of(content)
                     gone = merged([(0, len(data))] if copy else [(s["begin"], s["end"]) for s in found or ()])
                     edges = [0, *(x for s in gone for x in s), len(data)]
                     kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                    out.append((key, len(data), [{"begin": a, "end": b} for a, b in gone], kept))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+                    out.append((key, len(data), [{"begin": a, "end": b} for a, b in gone], kept, kept.decode("utf-8", "ignore")))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*out), kinds.types)), *part.columns[4:]],
+                                                 names=[*kinds.names, *more])
+
+    joined = marked.select("id", "copy", "text", "doc", "text_hash", *more).join(spans, ["doc", "text_hash"], "left")
+    schema = f"id bigint, n_bytes bigint, spans {span_type}, kept binary, kept_text string"
+    if carry:
+        schema = T._parse_datatype_string(schema).add("row", joined.schema["row"].dataType)
+    return (joined.select("id", "copy", "text", "found", *more).mapInArrow(cut, schema)
+            .select(F.col("id").alias(id_col), "n_bytes", "spans", "kept", "kept_text", *more))
+
 
-    joined = marked.select("id", "copy", "text", "doc", "text_hash").join(spans, ["doc", "text_hash"], "left")
-    return (joined.select("id", "copy", "text", "found").mapInArrow(cut, f"id bigint, n_bytes bigint, spans {span_type}, kept binary")
-            .select(F.col("id").alias(id_col), "n_bytes", "spans", "kept"))
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with what remains of their texts.
+
+    Where a cut leaves part of a character, that part goes, too. A null text becomes an empty one.
+    """
+    rows = remove_repeats(docs, id_col, text_col, carry=True)
+    return rows.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 @query("op5_suffix_dedup")
