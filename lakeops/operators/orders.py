@@ -7,29 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.functions import epoch_to_timestamp
-from lakeops.operators.skew import group_sizes, largest_group
+from lakeops.operators.skew import group_sizes
 
-# An order with more items than this arrives as several records (see nest_lines).
-MAX_ITEMS = 100_000
+# Items of an order that are kept together in one record (see nest_lines).
+ITEMS_PER_RECORD = 100_000
 
 
-def nest_lines(lines: DataFrame, key: str, item: Column, name: str, place: str,
-               max_items: int = MAX_ITEMS) -> DataFrame:
+def nest_lines(lines: DataFrame, key: str, item: Column, name: str, place: str, keys: DataFrame | None = None,
+               items_per_record: int = ITEMS_PER_RECORD) -> DataFrame:
     """Gather `item` of all rows of a key into array records `(key, record_no, name)`.
 
-    A key of at most `max_items` rows is one record with `record_no` 0. A larger key is spread
-    over `ceil(n / max_items)` records, so that no array, and no task, holds a whole hot key; no
-    row is lost. Key sizes are measured first (key column only); the paged plan is used only when
-    some key needs it. `place` is a column numbering the rows, set where they are scanned, so that
-    a retried task deals a row to the same record.
+    A key of n rows is spread over `ceil(n / items_per_record)` records of about equal size by a
+    hash of `place`, a column that numbers the rows where they are scanned: no array, and no task,
+    holds a whole hot key, and no row is lost. Most keys have one record, number 0; readers take an
+    order's records together. The plan is the same for all sizes and runs with the result:
+    `keys`, a frame of the key column alone, says cheaply how many rows a key has where `lines`
+    is itself a join.
     """
-    if largest_group(lines, [key]) <= max_items:
-        return (lines.groupBy(key).agg(F.collect_list(item).alias(name))
-                .select(key, F.lit(0).cast("bigint").alias("record_no"), name))
-    hot = (group_sizes(lines, [key]).where(F.col("_n") > max_items)
-           .select(key, F.ceil(F.col("_n") / max_items).alias("_pages")))
-    paged = (lines.select(key, place, item.alias("_item")).join(hot, key, "left")
-             .withColumn("record_no", F.expr(f"pmod({place}, coalesce(_pages, 1))")))
+    counted = group_sizes(lines.select(key) if keys is None else keys, [key])
+    hot = counted.where(F.col("_n") > items_per_record).select(
+        F.col(key).alias("_hot"), F.ceil(F.col("_n") / items_per_record).alias("_pages"))
+    dealt = F.expr(f"pmod(xxhash64({place}), coalesce(_pages, 1))")
+    paged = (lines.select(key, place, item.alias("_item")).join(hot, F.col(key) == F.col("_hot"), "left")
+             .withColumn("record_no", dealt))
+    # By key and record, so that a hot key's records go to different tasks.
     return (paged.repartition(key, "record_no").groupBy(key, "record_no")
             .agg(F.collect_list("_item").alias(name)))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakeops.operators.orders import nest_lines
-from lakeops.session import scratch_dir
+from lakeops.session import path_bytes, scratch_dir, tune
 from lakeops.streaming.io import read_stream
 
 MONEY = "decimal(12,2)"
@@ -38,8 +38,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self.sizes: dict[str, int] = {}
 
     def read(self, name: str) -> DataFrame:
+        """A table; shuffles are sized for all tables read so far."""
+        if name not in self.sizes:
+            self.sizes[name] = path_bytes(self.spark, f"{self.dir}/{name}.parquet")
+            tune(self.spark, sum(self.sizes.values()))
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def scratch(self, name: str) -> str:
@@ -78,8 +83,9 @@ class Tables:
     def sales_orders(self) -> DataFrame:
         """Nested orders; an order without lines has an empty array."""
         item = F.struct(F.col("product_name").alias("name"), "price", F.col("quantity").alias("qty"))
+        keys = self.read("lineitem").select(F.col("l_orderkey").alias("order_number"))
         nested = nest_lines(self.priced_lines(), "order_number", item, "ordered_products",
-                            place="line_place")
+                            place="line_place", keys=keys)
         empty = F.array().cast(nested.schema["ordered_products"].dataType)
         return (self.order_heads().join(nested, "order_number", "left")
                 .select("order_number", F.coalesce("record_no", F.lit(0)).alias("record_no"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -41,22 +43,27 @@ def build_session(master: str | None = None, app: str = "lakeops", **conf: str)
 
 # One initial shuffle partition for this much input; adaptive execution merges the small ones.
 BYTES_PER_PARTITION = 64 * 1024 * 1024
-MAX_PARTITIONS = 100_000
+UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
-def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+def tune(spark: SparkSession, input_bytes: int = 0, bytes_per_partition: int = BYTES_PER_PARTITION) -> SparkSession:
     """Apply `SETTINGS` to a running session, leaving what its owner has set explicitly.
 
-    `input_bytes` sizes shuffles: they begin with a partition per 64 MB of input (but never fewer
-    than `spark.sql.shuffle.partitions`), since adaptive execution merges partitions but adds none.
+    `input_bytes`, the size of the tables to be read, sizes shuffles: they begin with a partition per
+    `bytes_per_partition` of input (but never fewer than `spark.sql.shuffle.partitions`), since
+    adaptive execution merges partitions but adds none. The zone-less times of the tables need UTC:
+    a session whose owner has set another time zone raises.
     """
     owned = spark.sparkContext.getConf()
+    zone = "spark.sql.session.timeZone"
+    if owned.contains(zone) and owned.get(zone) not in UTC:
+        raise ValueError(f"the session's time zone is {owned.get(zone)}; these queries need UTC")
     for key, value in SETTINGS.items():
-        if key == "spark.sql.session.timeZone" or not owned.contains(key):
+        if not owned.contains(key):
             spark.conf.set(key, value)
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if not owned.contains(initial):
-        wanted = min(MAX_PARTITIONS, input_bytes // BYTES_PER_PARTITION)
+        wanted = input_bytes // bytes_per_partition
         spark.conf.set(initial, str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)))
     return spark
 
@@ -69,16 +76,20 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return where.getFileSystem(conf).getContentSummary(where).getLength()
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"lakeops-{application}-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder name in the folder all executors share (`spark.checkpoint.dir`).
 
-    Only a local-mode session without that setting falls back to a temporary folder, since there
-    driver and executors are one process.
+    Without that setting, only a session whose driver and executors are one process (`local[n]`)
+    gets a folder of its own, next to its tables; others raise.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="lakeops-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder(spark.sparkContext.applicationId)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

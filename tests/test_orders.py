@@ -1,10 +1,12 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import SF_SMALL, rows
 from lakeops.functions import band, bin_width
 from lakeops.operators import aggregates, orders
+from lakeops.plans.bindings import Tables
 
 SCHEMA = ("order_number long, record_no long, order_datetime string, customer_id long, customer_name string, "
           "ordered_products array<struct<name:string,price:decimal(12,2),qty:int>>")
@@ -63,16 +65,29 @@ def test_hot_order_is_spread_over_records_and_loses_nothing(spark):
     cold = spark.range(50).select((F.col("id") + 100).alias("order_number"), F.lit(1).alias("qty"))
     lines = hot.unionByName(cold).withColumn("place", F.monotonically_increasing_id())
     item = F.struct(F.lit("x").alias("name"), F.lit(Decimal("1.00")).cast("decimal(12,2)").alias("price"), "qty")
-    nested = orders.nest_lines(lines, "order_number", item, "ordered_products", "place", max_items=100)
+    nested = orders.nest_lines(lines, "order_number", item, "ordered_products", "place", items_per_record=100)
     sizes = nested.select("order_number", F.size("ordered_products").alias("n"))
     hot_sizes = [r.n for r in sizes.where("order_number = 7").collect()]
     assert len(hot_sizes) == 10 and sum(hot_sizes) == 1000 and max(hot_sizes) <= 200
     flat = orders.explode_orders(nested, ["order_number"])
     assert rows(flat.where("order_number = 7").agg(F.sum("quantity"))) == [(999 * 500,)]
     # Order counts and sizes per customer are the same as with one record per order.
-    records = nested.withColumn("customer_id", F.lit(1)).withColumn("customer_name", F.lit("Ann"))
-    stats = aggregates.customer_stats(records).first()
-    assert stats.num_orders == 51 and float(stats.avg_products_per_order) == round(1050 / 51, 2)
+    items = aggregates.nested_sizes(nested, ["order_number"], "ordered_products", "items")
+    stats = aggregates.report(items, [], {"orders": "count(*)", "items": "sum(items)"}).first()
+    assert (stats.orders, stats.items) == (51, 1050)
+
+
+@pytest.mark.parametrize("stride", [2, 3, 10])
+def test_a_hot_order_at_regular_places_is_spread_too(spark, stride):
+    lines = spark.range(400 * stride).where(F.col("id") % stride == 1).select(F.lit(7).alias("order_number"), F.col("id").alias("place"))
+    nested = orders.nest_lines(lines, "order_number", F.col("place"), "items", "place", items_per_record=40)
+    sizes = [r.n for r in nested.select(F.size("items").alias("n")).collect()]
+    assert len(sizes) == 10 and sum(sizes) == 400 and max(sizes) <= 80
+
+
+def test_nesting_counts_keys_without_the_join(spark):
+    plan = Tables(spark, SF_SMALL).sales_orders()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("part.parquet") == 1
 
 
 def test_top_k_breaks_ties_by_key(spark):
