@@ -7,12 +7,13 @@ delete), `_commit_version` and `_commit_timestamp`.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions import struct_of
 from lakeops.operators.mutate import latest_per_key, pair_up, update_where
-from lakeops.operators.skew import BROADCAST_ROWS, broadcast_if_small, group_extent, range_slices
+from lakeops.operators.skew import BROADCAST_BYTES, broadcast_if_small, group_extent, range_slices
 
 META = ("_change_type", "_commit_version", "_commit_timestamp")
 
@@ -102,16 +103,17 @@ def latest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str],
-                  broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Bring a target up to date: only the newest change of a key counts.
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Bring a target up to date: only the newest change of a key counts. NULL keys compare equal.
 
     Touched keys leave the target by an anti join and come back from the changes unless deleted.
-    At most `broadcast_rows` touched keys (they are counted first) are broadcast, so that the
+    Touched keys of at most `broadcast_bytes` (they are measured first) are broadcast, so that the
     target is not shuffled.
     """
     newest = latest_changes(changes, keys)
-    touched = broadcast_if_small(changes.select(*keys).distinct(), broadcast_rows)
-    kept = target.join(touched, list(keys), "left_anti")
+    touched = broadcast_if_small(changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct(), broadcast_bytes)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    kept = target.join(touched, same, "left_anti")
     return kept.unionByName(newest.where(F.col("_change_type") != "delete").select(*target.columns))
 
 
@@ -191,3 +193,32 @@ def scd2(feed: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequ
     return spans.where(~F.col("_gone")).select(
         *keys, *columns, F.col(seq[0]).alias("_start_at"), "_end_at",
         F.col("_end_at").isNull().alias("_is_current"))
+
+
+def scd1_state(feed: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """The newest row of each key, deletes included: what later batches are compared with."""
+    return latest_per_key(feed, keys, seq)
+
+
+def scd1_apply(state: DataFrame, batch: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """The state after a batch. Rows that come late, by `seq`, lose; keys the batch doesn't name pass by.
+
+    Rows of deleted keys stay in the state; filter them for the current table. State and touched keys
+    meet in one aggregation, which combines before its shuffle.
+    """
+    return latest_per_key(state.unionByName(batch), keys, seq)
+
+
+def scd2_apply(current: DataFrame, batch: DataFrame, feed: DataFrame, keys: Sequence[str], seq: Sequence[str],
+               columns: Sequence[str], delete_when: Column | str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The history after a batch: keys it names are derived again from the whole `feed` (batch included), others stay.
+
+    So rows that come late fall into their place, and a span they cut is cut as in a full run.
+    """
+    touched = broadcast_if_small(batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct(), broadcast_bytes)
+
+    def same(df: DataFrame) -> Column:
+        return reduce(lambda a, b: a & b, [df[k].eqNullSafe(touched[f"_k_{k}"]) for k in keys])
+
+    again = scd2(feed.join(touched, same(feed), "left_semi"), keys, seq, columns, delete_when)
+    return current.join(touched, same(current), "left_anti").unionByName(again)

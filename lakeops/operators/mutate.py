@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lakeops.functions import struct_of
-from lakeops.operators.skew import BROADCAST_ROWS, broadcast_if_small
+from lakeops.operators.skew import BROADCAST_BYTES, broadcast_if_small
 
 
 def _expr(value: Column | str) -> Column:
@@ -56,7 +57,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           set: Mapping[str, Column | str] | None = None, insert: bool = True,
           delete_when: Column | str | None = None,
-          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Upsert `source` into `target` on equal keys; NULL keys never match.
 
     Matched rows: dropped where `delete_when` is true, else the columns in `set` change. The
@@ -64,40 +65,58 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     all columns from the source. Source rows without a match are inserted, absent columns as NULL.
     Several source rows for one matched key raise, when the result is computed.
 
-    The target is only ever the streamed side of its joins: a source of at most `broadcast_rows`
-    rows (it is counted first) is broadcast and the target not shuffled; with a larger one both
-    sides are shuffled by key and Spark can split a skewed target key.
+    A source of at most `broadcast_bytes` (it is measured first) is broadcast, and the target not
+    shuffled: its rows stream by once for the updates, its keys once more for the inserts. A
+    larger one meets the target in one full outer join: both are read and shuffled once. The source
+    rows of one key are gathered in a row; those with a NULL key are spread.
     """
     others = [c for c in target.columns if c not in keys]
     if set is None:
         set = {c: f"source.`{c}`" for c in others if c in source.columns}
-    # One row per source key, with its number of rows; copies are combined before the shuffle.
-    one = source.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.first(struct_of(source.columns)).alias("source"))
-    one = broadcast_if_small(one, broadcast_rows)
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
-    joined = target.join(one, same, "left")
-    matched = F.col("_n").isNotNull()
+    some_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    hashed = [f"`{f.name}`" for f in source.schema.fields if f.dataType.typeName() != "map"]
+    spread = F.when(some_null, F.xxhash64(*hashed)).otherwise(F.lit(0)).alias("_spread")
+    one = source.groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys], spread).agg(
+        F.collect_list(struct_of(source.columns)).alias("_rows")).drop("_spread")
+    measured = broadcast_if_small(one, broadcast_bytes)
+    small = measured is not one
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`") == F.col(f"`_k_{k}`") for k in keys])
+    marked = target.withColumn("_met", F.lit(True))
+    joined = marked.join(measured, same, "left" if small or not insert else "full_outer")
+
+    hit = F.col("_met").isNotNull() & F.col("_rows").isNotNull()
     ambiguous = F.raise_error(F.lit("merge: several source rows match one target row"))
-    hit = F.when(F.col("_n") > 1, ambiguous.cast("boolean")).otherwise(matched)
-    updated = joined.where(~F.coalesce(_expr(delete_when), F.lit(False)) | ~matched) \
-        if delete_when is not None else joined
-    updated = updated.select(*[
-        (F.when(hit, _expr(set[c]).cast(target.schema[c].dataType)).otherwise(F.col(f"`{c}`"))
-         if c in set else F.col(f"`{c}`")).alias(c)
-        for c in target.columns
-    ])
+    source_row = F.when(hit & (F.size("_rows") > 1), ambiguous.cast(source_type(source))).otherwise(F.get("_rows", F.lit(0)))
+    joined = joined.withColumn("source", source_row)
+    if delete_when is not None:
+        joined = joined.where(~(hit & F.coalesce(_expr(delete_when), F.lit(False))))
+    updated = struct_of_columns({
+        c: F.when(hit, _expr(set[c]).cast(target.schema[c].dataType)).otherwise(F.col(f"`{c}`")) if c in set else F.col(f"`{c}`")
+        for c in target.columns})
+
+    def new(row: Column) -> Column:
+        return struct_of_columns({c: (row[c] if c in source.columns else F.lit(None)).cast(target.schema[c].dataType)
+                                  for c in target.columns})
+
     if not insert:
-        return updated
-    source_keys = one.select(*[F.col(f"_k_{k}").alias(k) for k in keys])
-    met = target.select(*keys).join(source_keys, list(keys), "left_semi").distinct()
-    fresh = source.join(met, list(keys), "left_anti")
-    fresh = fresh.select(*[
-        (F.col(f"`{c}`") if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
-        for c in target.columns
-    ])
-    return updated.unionByName(fresh)
+        return joined.select(updated.alias("_row")).select("_row.*")
+    if not small:
+        rows = F.when(F.col("_met").isNotNull(), F.array(updated)).otherwise(F.transform("_rows", new))
+        return joined.select(F.explode(rows).alias("_row")).select("_row.*")
+    key_columns = [F.col(f"`_k_{k}`").alias(k) for k in keys]
+    met = target.select(*keys).join(F.broadcast(one.select(*key_columns)), list(keys), "left_semi").distinct()
+    fresh = one.join(met, same, "left_anti")
+    return joined.select(updated.alias("_row")).select("_row.*").unionByName(
+        fresh.select(F.explode(F.transform("_rows", new)).alias("_row")).select("_row.*"))
+
+
+def source_type(df: DataFrame) -> StructType:
+    """A frame's row as a type whose fields may all be NULL."""
+    return StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+
+
+def struct_of_columns(columns: Mapping[str, Column]) -> Column:
+    return F.struct(*[value.alias(name) for name, value in columns.items()])
 
 
 def pair_up(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -107,6 +126,8 @@ def pair_up(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFra
     join of a hot key blowing up; a key that is not unique on a side raises.
     """
     columns = before.columns
+    if sorted(columns) != sorted(after.columns):
+        raise ValueError(f"the two sides differ in columns: {sorted({*columns} ^ {*after.columns})}")
     both = (before.select(*keys, F.lit(0).alias("_side"), struct_of(columns).alias("_row"))
             .unionByName(after.select(*keys, F.lit(1).alias("_side"), struct_of(columns).alias("_row"))))
     paired = both.groupBy(*keys).agg(

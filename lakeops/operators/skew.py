@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from lakeops.session import scratch_dir
 
@@ -20,11 +22,6 @@ def group_extent(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return row["largest"] or 0, row["total"] or 0
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group."""
-    return group_extent(df, keys)[0]
-
-
 def range_partitioned(df: DataFrame, by: Sequence[str], partitions: int) -> DataFrame:
     """Range partitions of `by`, each sorted, none overfilled by a hot value.
 
@@ -55,16 +52,30 @@ def range_slices(df: DataFrame, by: Sequence[str], slices: int) -> DataFrame:
             .drop("_at"))
 
 
-# Sides of up to this many rows may be broadcast, once they have been counted.
-BROADCAST_ROWS = 100_000
+# Sides of up to this many bytes may be broadcast, once they have been measured.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts and binaries as they are, nested values as JSON, others 8."""
+
+    def size(name: str, kind: DataType) -> Column:
+        if kind.typeName() in ("string", "binary", "varchar", "char"):
+            return F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)) + 16
+        if kind.typeName() in ("array", "map", "struct"):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0)) + 16
+        return F.lit(8)
+
+    return reduce(lambda a, b: a + b, [size(f.name, f.dataType) for f in df.schema.fields], F.lit(16))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the frame, counted up to the limit, has no more than `max_rows` rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if the frame measures no more than `max_bytes`.
 
     Spark estimates a derived frame by the files below it and would shuffle the other, huge side
-    of its joins. Beyond the limit, or with `max_rows` 0, the choice stays with Spark.
+    of its joins. Measuring sums in every task; one number per task moves. Beyond the limit, or
+    with `max_bytes` 0, the choice stays with Spark.
     """
-    if max_rows and df.limit(max_rows + 1).count() <= max_rows:
+    if max_bytes and (df.agg(F.sum(row_bytes(df).cast("bigint")).alias("n")).first()["n"] or 0) <= max_bytes:
         return F.broadcast(df)
     return df

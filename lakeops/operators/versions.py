@@ -11,6 +11,10 @@ from lakeops.operators.cdc import META, change_rows, image_columns, latest_chang
 from lakeops.operators.mutate import differences
 
 
+# The folder of a log that lists its commits; readers of the log skip names of this kind.
+COMMITS = "_commits"
+
+
 class VersionNotAvailable(LookupError):
     """The log holds no such version any more, or not yet."""
 
@@ -23,13 +27,15 @@ def stamp(changes: DataFrame, version: int, ts: str | Column) -> DataFrame:
 
 
 def commit(path: str, changes: DataFrame, version: int, ts: str | Column) -> None:
-    """Write change rows as one version folder of a log.
+    """Write change rows as one version folder of a log, and a row in its list of commits.
 
-    Only that folder is replaced, so a commit that is repeated after a failure leaves the log as
-    one commit would.
+    The folder is replaced as a whole, so a commit that is repeated after a failure leaves the log
+    as one commit would, even if it has no change rows any more.
     """
-    (stamp(changes, version, ts).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("_commit_version").parquet(path))
+    stamped = stamp(changes, version, ts)
+    stamped.drop("_commit_version").write.mode("overwrite").parquet(f"{path}/_commit_version={version}")
+    one = stamp(changes.sparkSession.range(1), version, ts).select("_commit_version", "_commit_timestamp")
+    one.write.mode("overwrite").parquet(f"{path}/{COMMITS}/{version}")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -38,6 +44,20 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("_commit_version", F.col("_commit_version").cast("bigint")))
 
 
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """Version and time of every commit, also of empty ones: a row each."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/{COMMITS}")
+
+
+def version_at(commits: DataFrame, ts: str) -> int:
+    """The newest version committed up to a time; reads a row per commit, not the log."""
+    at = F.lit(ts).cast("timestamp_ntz")
+    version = commits.where(F.col("_commit_timestamp") <= at).agg(F.max("_commit_version").alias("v")).first()["v"]
+    if version is None:
+        raise VersionNotAvailable(f"no commit up to {ts}")
+    return version
+
+
 def oldest_version(log: DataFrame) -> int | None:
     return log.agg(F.min("_commit_version").alias("v")).first()["v"]
 
@@ -55,8 +75,14 @@ def as_of_version(log: DataFrame, keys: Sequence[str], version: int,
     return newest.where(F.col("_change_type") != "delete").select(*image_columns(log))
 
 
-def as_of_timestamp(log: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The table as it was at a time; raises if the first commit is later."""
+def as_of_timestamp(log: DataFrame, keys: Sequence[str], ts: str, commits: DataFrame | None = None) -> DataFrame:
+    """The table as it was at a time; raises if the first commit is later.
+
+    With the list of `commits` the time becomes a version, and only its folders are read.
+    """
+    if commits is not None:
+        first = commits.agg(F.min("_commit_version").alias("v")).first()["v"]
+        return as_of_version(log, keys, version_at(commits, ts), oldest=first)
     at = F.lit(ts).cast("timestamp_ntz")
     if log.agg((F.min("_commit_timestamp") <= at).alias("ok")).first()["ok"] is not True:
         raise VersionNotAvailable(f"no commit up to {ts}")
@@ -64,17 +90,24 @@ def as_of_timestamp(log: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return newest.where(F.col("_change_type") != "delete").select(*image_columns(log))
 
 
-def history(log: DataFrame) -> DataFrame:
-    """Version, time, kind of operation and row counts of every commit, newest first."""
+def history(log: DataFrame, commits: DataFrame | None = None) -> DataFrame:
+    """Version, time, kind of operation and row counts of every commit, newest first.
+
+    Commits without change rows are only known from the list of `commits`; their kind is EMPTY.
+    """
     kinds = {"inserted_rows": "insert", "updated_rows": "update_postimage", "deleted_rows": "delete"}
     counts = log.groupBy(F.col("_commit_version").alias("version"),
                          F.col("_commit_timestamp").alias("timestamp")).agg(
         *[F.count_if(F.col("_change_type") == kind).alias(name) for name, kind in kinds.items()])
+    if commits is not None:
+        listed = commits.select(F.col("_commit_version").alias("version"), F.col("_commit_timestamp").alias("timestamp"))
+        counts = listed.join(counts.drop("timestamp"), "version", "left").na.fill(0, list(kinds))
     some = {name: F.col(name) > 0 for name in kinds}
     operation = (F.when(some["inserted_rows"] & ~some["updated_rows"] & ~some["deleted_rows"], "WRITE")
                  .when(some["updated_rows"] & ~some["inserted_rows"] & ~some["deleted_rows"], "UPDATE")
                  .when(some["deleted_rows"] & ~some["inserted_rows"] & ~some["updated_rows"], "DELETE")
-                 .otherwise("MERGE"))
+                 .when(some["inserted_rows"] | some["updated_rows"] | some["deleted_rows"], "MERGE")
+                 .otherwise("EMPTY"))
     return counts.withColumn("operation", operation).orderBy(F.desc("version"))
 
 
@@ -152,5 +185,5 @@ def clone_view(log: DataFrame, keys: Sequence[str], name: str, version: int) ->
 
 
 __all__ = ["META", "VersionNotAvailable", "as_of_timestamp", "as_of_version", "clone", "clone_view",
-           "commit", "compact_log", "diff_versions", "history", "oldest_version", "read_log",
-           "restore", "stamp", "version_counts"]
+           "commit", "commits", "compact_log", "diff_versions", "history", "oldest_version", "read_log",
+           "restore", "stamp", "version_at", "version_counts"]

@@ -27,11 +27,11 @@ def order_log(t: Tables) -> DataFrame:
                         total.alias("_total"))
 
     early = F.col("order_datetime_ts") < F.lit("2000-01-01").cast("timestamp_ntz")
-    total, china = F.col("line_total"), F.col("state") == "NATION_7"
+    total, cheaper = F.col("line_total"), F.col("state") == "NATION_7"
     rows = F.array_compact(F.array(
         row("insert", F.when(early, 0).otherwise(1), total),
-        F.when(china, row("update_preimage", F.lit(2), total)),
-        F.when(china, row("update_postimage", F.lit(2), cut)),
+        F.when(cheaper, row("update_preimage", F.lit(2), total)),
+        F.when(cheaper, row("update_postimage", F.lit(2), cut)),
         F.when(cut < 20000, row("delete", F.lit(3), cut))))
     at = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.col("_r._commit_version").cast("int"))
     return t.keyed_orders().select(*LOG_COLUMNS, F.explode(rows).alias("_r")).select(
@@ -177,6 +177,21 @@ def apply_changes(t: Tables) -> DataFrame:
     return as_double(cdc.apply_changes(target, cdc.read_changes(order_log(t), from_version=2), KEY))
 
 
+@query("apply_feed", f"""WITH {_SNAPSHOTS}, both_sides AS (SELECT min(b.order_number) AS k FROM b JOIN a ON a.order_number = b.order_number)
+SELECT nullif(order_number, k) AS order_number, customer_name, state, CAST(line_total AS DOUBLE) AS line_total FROM a, both_sides""")
+def apply_feed(t: Tables) -> DataFrame:
+    """The feed between two snapshots, applied to the first, gives the second, with a NULL key among them."""
+    before, after = _snapshots(t)
+    first = before.join(after, "order_number", "left_semi").agg(F.min("order_number").alias("k")).first()["k"]
+
+    def keyless(orders: DataFrame) -> DataFrame:
+        return orders.withColumn("order_number", F.nullif("order_number", F.lit(first)))
+
+    a, b = keyless(before), keyless(after)
+    feed = cdc.change_feed(a, b, KEY).withColumn("_commit_version", F.lit(1))
+    return as_double(cdc.apply_changes(a, feed, KEY))
+
+
 @query("audit_log", f"""WITH {LOG}
 SELECT order_number, _change_type, {AT}, 'auditor' AS changed_by FROM log WHERE _commit_version >= 2""")
 def audit_log(t: Tables) -> DataFrame:
@@ -197,20 +212,51 @@ def day_operations(events: DataFrame) -> DataFrame:
     return cdc.derive_operations(events, F.dayofmonth("event_time") % 2 == 0, "line_total", "0.95")
 
 
-@query("scd1", f"""WITH {EVENTS}
+_SCD1 = f"""WITH {EVENTS}
 SELECT user_id, event_id, event_time, state, CAST(line_total AS DOUBLE) AS line_total
 FROM (SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_time DESC, event_id DESC) = 1)
-WHERE state <> 'error'""")
+WHERE state <> 'error'"""
+
+
+@query("scd1", _SCD1)
 def scd1(t: Tables) -> DataFrame:
     current = cdc.scd1(t.events(), ["user_id"], ["event_time", "event_id"], "state = 'error'")
     return as_double(current.withColumn("event_time", ntz("event_time")))
 
 
-@query("scd2", f"""WITH {EVENTS},
+_SCD2 = f"""WITH {EVENTS},
 seen AS (SELECT *, state = 'error' AS gone, lag(state) OVER (PARTITION BY user_id ORDER BY event_time, event_id) AS prev FROM ev),
 turns AS (SELECT * FROM seen WHERE prev IS NULL OR prev <> state),
 spans AS (SELECT *, lead(event_time) OVER (PARTITION BY user_id ORDER BY event_time, event_id) AS _end_at FROM turns)
-SELECT user_id, state, event_time AS _start_at, _end_at, _end_at IS NULL AS _is_current FROM spans WHERE NOT gone""")
+SELECT user_id, state, event_time AS _start_at, _end_at, _end_at IS NULL AS _is_current FROM spans WHERE NOT gone"""
+
+
+@query("scd2", _SCD2)
 def scd2(t: Tables) -> DataFrame:
     out = cdc.scd2(t.events(), ["user_id"], ["event_time", "event_id"], ["state"], "state = 'error'")
     return out.withColumns({c: ntz(c) for c in ("_start_at", "_end_at")})
+
+
+def _arrivals(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The events as two batches, the second with many rows older than the first one's."""
+    return t.events().where("event_id % 3 <> 1"), t.events().where("event_id % 3 = 1")
+
+
+@query("scd1_incremental", _SCD1)
+def scd1_incremental(t: Tables) -> DataFrame:
+    first, second = _arrivals(t)
+    keys, seq = ["user_id"], ["event_time", "event_id"]
+    path = t.scratch("scd1")
+    cdc.scd1_state(first, keys, seq).write.parquet(path)
+    state = cdc.scd1_apply(t.spark.read.parquet(path), second, keys, seq)
+    return as_double(state.where("state <> 'error'").withColumn("event_time", ntz("event_time")))
+
+
+@query("scd2_incremental", _SCD2)
+def scd2_incremental(t: Tables) -> DataFrame:
+    first, second = _arrivals(t)
+    how = {"keys": ["user_id"], "seq": ["event_time", "event_id"], "columns": ["state"], "delete_when": "state = 'error'"}
+    path = t.scratch("scd2")
+    cdc.scd2(first, **how).write.parquet(path)
+    out = cdc.scd2_apply(t.spark.read.parquet(path), second, first.unionByName(second), **how)
+    return out.withColumns({c: ntz(c) for c in ("_start_at", "_end_at")})

@@ -1,7 +1,7 @@
 """Merging a change stream into a table without rewriting the table per micro-batch.
 
-A micro-batch appends one small folder: for every key it met, the first row, the last row and the
-number of rows. Readers fold these over the base rows (merge on read); `compact_merged` writes the
+A micro-batch appends one small folder: for every key it met, the first row and, if there are more,
+the last row. Readers fold these over the base rows (merge on read); `compact_merged` writes the
 folded state as a new base now and then. A replayed batch replaces its own folder.
 """
 
@@ -19,17 +19,23 @@ BASE = -1
 
 
 def _folded(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """First and last row (by `_seq`) and number of rows per key; combines on the map side."""
-    return rows.groupBy(*keys).agg(
+    """First and last row (by `_seq`) per key; combines on the map side.
+
+    `_last` is NULL where the key has one row only. Rows of one sequence are the same row, so a batch
+    that comes again, even after its rows were folded into the base, changes nothing.
+    """
+    last = F.coalesce("_last", "_first")
+    both = rows.groupBy(*keys).agg(
         F.min_by("_first", "_first._seq").alias("_first"),
-        F.max_by("_last", "_last._seq").alias("_last"),
-        F.sum("_n").alias("_n"))
+        F.max_by(last, F.coalesce("_last._seq", "_first._seq")).alias("_last"))
+    several = ~F.col("_last._seq").eqNullSafe(F.col("_first._seq"))
+    return both.withColumn("_last", F.when(several, F.col("_last")))
 
 
 def _single(rows: DataFrame, keys: Sequence[str], seq: Column) -> DataFrame:
     row = F.struct(seq.alias("_seq"), struct_of([c for c in rows.columns if c not in keys]).alias("row"))
-    return rows.select(*keys, row.alias("_first"), row.alias("_last"),
-                       F.lit(1).cast("bigint").alias("_n"))
+    out = rows.select(*keys, row.alias("_first"))
+    return out.withColumn("_last", F.lit(None).cast(out.schema["_first"].dataType))
 
 
 def _write(folded: DataFrame, path: str, batch_id: int) -> None:
@@ -63,7 +69,7 @@ def merged_state(spark: SparkSession, path: str, keys: Sequence[str], columns: S
     row, or else an insert and taken as it came; the update columns count from the second row on.
     """
     folded = _folded(spark.read.parquet(path).drop("_batch_id"), keys)
-    changed = F.col("_n") > 1
+    changed = F.col("_last").isNotNull()
     return folded.select(*keys, *[
         (F.when(changed, F.col(f"_last.row.{set[c]}")).otherwise(F.col(f"_first.row.{c}"))
          if c in set else F.col(f"_first.row.{c}")).alias(c)

@@ -30,14 +30,14 @@ def test_delete_keeps_rows_of_null_condition(spark):
     assert rows(mutate.delete_where(base(spark), "state = 'NY'").select("order_number")) == [(2,), (3,)]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
+@pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_merge_updates_inserts_and_never_matches_null_keys(spark, limit):
     source = table(spark, (1, "NY", "Platinum", 11.0), (3, None, "Bronze", 33.0), (5, "WA", "Gold", 50.0))
-    out = mutate.merge(base(spark), source, KEYS, {"total": "source.total"}, broadcast_rows=limit)
+    out = mutate.merge(base(spark), source, KEYS, {"total": "source.total"}, broadcast_bytes=limit)
     assert rows(out) == [(1, "NY", "Gold", 11.0), (2, "CA", "Silver", 20.0), (3, None, "Bronze", 33.0),
                          (3, None, "Gold", 30.0), (5, "WA", "Gold", 50.0)]
     again = mutate.merge(out.where("state IS NOT NULL"), source.where("state IS NOT NULL"), KEYS,
-                         {"total": "source.total"}, broadcast_rows=limit)
+                         {"total": "source.total"}, broadcast_bytes=limit)
     assert rows(again) == rows(out.where("state IS NOT NULL"))
 
 
@@ -132,6 +132,73 @@ def test_repeating_a_commit_changes_nothing(spark, log):
     assert versions.read_log(spark, path).count() == 11
 
 
+def test_an_empty_commit_replaces_the_rows_of_its_version_and_is_listed(spark, log):
+    df, path = log
+    nothing = df.drop("_commit_version", "_commit_timestamp").limit(0)
+    versions.commit(path, nothing, 3, "2024-01-04")
+    versions.commit(path, nothing, 4, "2024-01-05")
+    after, commits = versions.read_log(spark, path), versions.commits(spark, path)
+    assert after.where("_commit_version = 3").count() == 0 and after.count() == 10
+    assert [(r.version, r.operation) for r in versions.history(after, commits).collect()] == [
+        (4, "EMPTY"), (3, "EMPTY"), (2, "UPDATE"), (1, "WRITE"), (0, "WRITE")]
+    key = ["order_number"]
+    assert versions.version_at(commits, "2024-01-05 12:00:00") == 4
+    late = versions.as_of_timestamp(after, key, "2024-01-03 12:00:00", commits)
+    assert rows(late) == rows(versions.as_of_version(after, key, 2))
+    with pytest.raises(VersionNotAvailable):
+        versions.as_of_timestamp(after, key, "2023-12-31", commits)
+
+
+def test_applying_a_feed_gives_the_other_snapshot_with_null_keys(spark):
+    a = spark.createDataFrame([(None, "a"), (1, "a"), (2, "x")], "k int, v string")
+    b = spark.createDataFrame([(None, "A"), (1, "b"), (3, "y")], "k int, v string")
+    feed = cdc.change_feed(a, b, ["k"]).withColumn("_commit_version", F.lit(1))
+    for limit in (0, 1 << 20):
+        assert rows(cdc.apply_changes(a, feed, ["k"], broadcast_bytes=limit)) == rows(b)
+
+
+def test_pairing_snapshots_of_different_columns_raises(spark):
+    a = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError, match="columns"):
+        mutate.diff(a, a.withColumn("more", F.lit(1)), ["k"])
+
+
+def test_a_merge_reads_each_side_once_or_leaves_the_target_unshuffled(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("target", "source")]
+    for p in paths:
+        base(spark).write.parquet(p)
+    target, source = (spark.read.parquet(p) for p in paths)
+
+    def plan(limit):
+        out = mutate.merge(target, source, ["order_number"], {"total": "source.total"}, broadcast_bytes=limit)
+        return out._jdf.queryExecution().executedPlan().toString()
+
+    shuffled = plan(0)
+    assert shuffled.count("FileScan") == 2 and "FullOuter" in shuffled
+    small = plan(1 << 20)
+    assert "FullOuter" not in small and "SortMergeJoin" not in small
+
+
+def test_broadcast_limit_counts_bytes(spark):
+    from lakeops.operators.skew import broadcast_if_small
+    wide = spark.range(4).withColumn("t", F.repeat(F.lit("x"), 1000))
+    assert broadcast_if_small(wide, 3000) is wide and broadcast_if_small(wide, 6000) is not wide
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_scd_by_batches_is_a_full_run(spark, seed):
+    import random
+    rng = random.Random(seed)
+    events = [(rng.choice([1, 1, 1, 2, 3, None]), i, rng.choice("ab"), rng.choice(["U", "U", "U", "D"])) for i in range(60)]
+    rng.shuffle(events)
+    kind = "k int, seq int, v string, op string"
+    feed, (first, second) = spark.createDataFrame(events, kind), (spark.createDataFrame(x, kind) for x in (events[:40], events[40:]))
+    how = {"keys": ["k"], "seq": ["seq"], "columns": ["v"], "delete_when": "op = 'D'"}
+    assert rows(cdc.scd2_apply(cdc.scd2(first, **how), second, feed, **how)) == rows(cdc.scd2(feed, **how))
+    state = cdc.scd1_apply(cdc.scd1_state(first, ["k"], ["seq"]), second, ["k"], ["seq"])
+    assert rows(state.where("op <> 'D'")) == rows(cdc.scd1(feed, ["k"], ["seq"], "op = 'D'"))
+
+
 def test_time_travel_by_version_and_time(spark, log):
     key = ["order_number"]
     for version, n in enumerate([3, 6, 6, 5]):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from lakeops.operators import cdc, mutate, rules, versions
-from lakeops.streaming.medallion import risk_category
+from lakeops.plans.shaping import risk
 
 SCHEMA = "k int, state string, total int"
 KEY = ["k"]
@@ -56,7 +56,7 @@ def test_log_against_states_kept_in_python(spark, tmp_path, seed):
 
     since = cdc.read_changes(log, from_version=2)
     assert rows(cdc.apply_changes(frame(spark, states[1]), since, KEY)) == rows(frame(spark, states[3]))
-    assert rows(cdc.apply_changes(frame(spark, states[1]), since, KEY, broadcast_rows=0)) == rows(frame(spark, states[3]))
+    assert rows(cdc.apply_changes(frame(spark, states[1]), since, KEY, broadcast_bytes=0)) == rows(frame(spark, states[3]))
 
 
 @pytest.mark.parametrize("seed", [5, 6])
@@ -80,8 +80,8 @@ def test_merge_updates_every_copy_of_a_hot_target_key(spark):
     target = spark.range(300).select(F.when(F.col("id") < 100, 1).otherwise(F.col("id")).cast("int").alias("k"),
                                      F.lit("x").alias("state"), F.lit(0).alias("total"))
     source = spark.createDataFrame([(1, "y", 9), (1000, "z", 9)], SCHEMA)
-    for limit in (0, 100):
-        out = mutate.merge(target, source, KEY, {"total": "source.total"}, broadcast_rows=limit)
+    for limit in (0, 1 << 20):
+        out = mutate.merge(target, source, KEY, {"total": "source.total"}, broadcast_bytes=limit)
         assert out.where("k = 1 AND total = 9").count() == 100 and out.count() == 301
 
 
@@ -98,5 +98,5 @@ def test_valid_and_rejected_rows_make_up_the_table(spark, seed):
 
 def test_risk_categories(spark):
     df = spark.createDataFrame([(g,) for g in ("A", "B", "C", "D", "E", None)], "loan_grade string")
-    assert [r.r for r in df.select(risk_category().alias("r")).collect()] == [
+    assert [r.r for r in df.select(risk("loan_grade", ("A", "B"), ("C", "D")).alias("r")).collect()] == [
         "Low", "Low", "Medium", "Medium", "High", "High"]
