@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lakeops.operators.skew import range_partitioned
-from lakeops.session import path_bytes
+from lakeops.operators.skew import range_partitioned, range_slices
+from lakeops.session import path_bytes, scratch_dir
 
 TARGET_BYTES = 256 * 1024 * 1024
 
@@ -31,10 +30,6 @@ def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = TARGET_
 def _ordinal(df: DataFrame, col: str) -> Column:
     """The column as a double of the same order: for placing rows only, never for their values."""
     kind = df.schema[col].dataType.typeName()
-    if kind == "string":
-        # Six leading bytes as a number: an order-preserving hint that fits a double.
-        head = F.rpad(F.hex(F.substring(F.col(col), 1, 6).cast("binary")), 12, "0")
-        return F.conv(F.substring(head, 1, 12), 16, 10).cast("double")
     if kind == "date":
         return F.unix_date(col).cast("double")
     if kind.startswith("timestamp"):
@@ -42,22 +37,40 @@ def _ordinal(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
+# Texts of a column that are drawn to find the bounds of its buckets, at most about.
+SAMPLED_TEXTS = 20_000
+
+
+def _text_bounds(df: DataFrame, col: str, buckets: int) -> list[str]:
+    """Whole values that cut a text column into buckets of about equal size, from a bounded sample."""
+    rows = df.where(F.col(col).isNotNull()).select(F.col(col).alias("t"))
+    share = min(1.0, SAMPLED_TEXTS / max(1, rows.count()))
+    drawn = sorted(r["t"] for r in rows.sample(share, seed=1).limit(2 * SAMPLED_TEXTS).collect())
+    return sorted({drawn[len(drawn) * i // buckets] for i in range(1, buckets)}) if drawn else []
+
+
+def _reaches(value: Column) -> Callable[[Column], Column]:
+    return lambda bound: bound <= value
+
+
 def _ranked(df: DataFrame, cols: Sequence[str], bits: int) -> DataFrame:
-    """Add `_z0..`: the quantile bucket of each column, 2**bits buckets."""
-    ranks = [i / (1 << bits) for i in range(1, 1 << bits)]
-    out = df.withColumns({f"_o{i}": _ordinal(df, c) for i, c in enumerate(cols)})
-    edges = out.approxQuantile([f"_o{i}" for i in range(len(cols))], ranks, 1 / (1 << (bits + 2)))
-    for i, e in enumerate(edges):
-        splits = [float("-inf"), *sorted(set(e)), float("inf")]
-        if len(splits) < 3:
+    """Add `_z0..`: the quantile bucket of each column, 2**bits buckets; NULLs go first."""
+    out, buckets = df, 1 << bits
+    texts = [c for c in cols if df.schema[c].dataType.typeName() == "string"]
+    others = [c for c in cols if c not in texts]
+    out = out.withColumns({f"_o{cols.index(c)}": _ordinal(df, c) for c in others})
+    ranks = [i / buckets for i in range(1, buckets)]
+    edges = dict(zip(others, out.approxQuantile([f"_o{cols.index(c)}" for c in others], ranks, 1 / (4 * buckets)))) if others else {}
+    for i, c in enumerate(cols):
+        bounds = _text_bounds(df, c, buckets) if c in texts else sorted(set(edges[c]))
+        value = F.col(c) if c in texts else F.col(f"_o{i}")
+        if not bounds:
             out = out.withColumn(f"_z{i}", F.lit(0).cast("bigint"))
             continue
-        out = Bucketizer(splits=splits, inputCol=f"_o{i}", outputCol=f"_b{i}",
-                         handleInvalid="keep").transform(out)
-        # NULLs come as one bucket more than there are; they go first.
-        last = len(splits) - 1
-        out = out.withColumn(f"_z{i}", F.when(F.col(f"_b{i}") == last, 0)
-                             .otherwise(F.coalesce(F.col(f"_b{i}"), F.lit(0))).cast("bigint")).drop(f"_b{i}")
+        # How many bounds the value reaches.
+        listed = F.array(*[F.lit(b) for b in bounds])
+        rank = F.size(F.filter(listed, _reaches(value)))
+        out = out.withColumn(f"_z{i}", F.when(value.isNull(), 0).otherwise(rank).cast("bigint"))
     return out.drop(*[f"_o{i}" for i in range(len(cols))])
 
 
@@ -89,48 +102,37 @@ def cluster_by(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
     return range_partitioned(df, cols, files) if len(cols) == 1 else zorder(df, cols, files)
 
 
-def layout_report(spark: SparkSession, path: str, col: str) -> DataFrame:
+def layout_report(spark: SparkSession, path: str, col: str, slices: int = 64) -> DataFrame:
     """Per file: bytes, rows, least and greatest `col`, and how many other files overlap that range.
 
-    File names are compared by sorting the range ends of all files (two rows per file), not pairwise.
+    Files are compared by sorting the range ends of all files (two rows per file), not pairwise. The
+    ends are counted in `slices` ranges, so that no task sorts them all.
     """
-    files = (spark.read.parquet(path)
-             .groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
-             .agg(F.count(F.lit(1)).alias("rows"), F.min(col).alias("min"), F.max(col).alias("max")))
-    ends = files.select("file", "bytes", "rows", "min", "max", F.explode(F.array(
+    stored = (spark.read.parquet(path)
+              .groupBy(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+              .agg(F.count(F.lit(1)).alias("rows"), F.min(col).alias("min"), F.max(col).alias("max")))
+    scratch = scratch_dir(spark, "files")
+    stored.write.parquet(scratch)
+    files = spark.read.parquet(scratch)
+    ends = files.select("file", F.explode(F.array(
         F.struct(F.col("min").alias("at"), F.lit(0).alias("end")),
-        F.struct(F.col("max").alias("at"), F.lit(1).alias("end")))).alias("e"))
-    # One summary row per file end: small enough for an unpartitioned window at any table size.
+        F.struct(F.col("max").alias("at"), F.lit(1).alias("end")))).alias("e")).select("file", "e.at", "e.end")
     # At equal values the starts come first, so ranges that touch overlap.
-    order = Window.orderBy("e.at", "e.end").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    strictly = Window.orderBy("e.at", "e.end").rowsBetween(Window.unboundedPreceding, -1)
-    seen = ends.select(
-        "*",
-        F.sum(F.when(F.col("e.end") == 0, 1).otherwise(0)).over(order).alias("_started"),
-        F.coalesce(F.sum(F.when(F.col("e.end") == 1, 1).otherwise(0)).over(strictly), F.lit(0)).alias("_ended"))
+    cut = range_slices(ends, ["at", "end"], slices)
+    starts, stops = (F.sum(F.when(F.col("end") == k, 1).otherwise(0)) for k in (0, 1))
+    sums = cut.groupBy("_slice").agg(starts.alias("s"), stops.alias("t"))
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)  # a row per slice
+    before = sums.select("_slice", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("s"),
+                         F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("t"))
+    within = Window.partitionBy("_slice").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    seen = cut.join(F.broadcast(before), "_slice").select(
+        "file", "at", "end", (F.col("s") + starts.over(within)).alias("started"),
+        (F.col("t") + stops.over(within)).alias("ended"))
+    # Of equal ends all count: a range that starts where mine ends has started, whichever came first.
+    per_end = seen.groupBy("at", "end").agg(F.max("started").alias("started"), (F.min("ended")).alias("ended"))
+    up_to = per_end.where("end = 1").select(F.col("at").alias("max"), "started")
+    under = per_end.where("end = 0").select(F.col("at").alias("min"), "ended")
     # Overlapping files: those started by my end, less those ended before my start, less myself.
-    return seen.groupBy("file", "bytes", "rows", "min", "max").agg(
-        (F.max(F.when(F.col("e.end") == 1, F.col("_started")))
-         - F.max(F.when(F.col("e.end") == 0, F.col("_ended"))) - 1).alias("overlaps"))
-
-
-def recluster(spark: SparkSession, src: str, dst: str, col: str, max_overlaps: int,
-              files: int) -> tuple[list[str], list[str]]:
-    """Rewrite only the files whose `col` range overlaps more than `max_overlaps` others.
-
-    The rewritten rows go to `dst` as `files` ranges; the other files stay where they are. Returns
-    the names of the rewritten and of the kept files: the table is now `dst` plus the kept files.
-    Only file names come to the driver.
-    """
-    overlaps = {r["file"]: r["overlaps"]
-                for r in layout_report(spark, src, col).select("file", "overlaps").collect()}
-    wide = [f for f, n in overlaps.items() if n > max_overlaps]
-    if wide:
-        cluster_by(spark.read.parquet(*wide), [col], files).write.mode("errorifexists").parquet(dst)
-    return wide, [f for f, n in overlaps.items() if n <= max_overlaps]
-
-
-def files_touched(spark: SparkSession, path: str, condition: Column) -> int:
-    """How many files hold rows that meet a condition: what a reader with perfect skipping opens."""
-    return (spark.read.parquet(path).where(condition)
-            .select(F.col("_metadata.file_path").alias("file")).distinct().count())
+    return (files.join(up_to, "max", "left").join(under, "min", "left")
+            .select("file", "bytes", "rows", "min", "max",
+                    F.coalesce(F.col("started") - F.col("ended") - 1, F.lit(0)).alias("overlaps")))

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lakeops.operators.skew import group_sizes, range_slices
 
 
+SLICE_ROWS = 1_000_000
+
+
 def append_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of both; columns one side lacks are NULL there."""
     return old.unionByName(new, allowMissingColumns=True)
@@ -21,6 +24,19 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     })
 
 
+def with_generated(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add generated columns. Where one is present already, it must hold the generated value, or NULL; else this raises."""
+
+    def value(name: str, expr: Column) -> Column:
+        if name not in df.columns:
+            return expr
+        expr = expr.cast(df.schema[name].dataType)
+        wrong = F.raise_error(F.lit(f"{name} differs from its generated value")).cast(df.schema[name].dataType)
+        return F.when(F.col(name).isNull() | F.col(name).eqNullSafe(expr), expr).otherwise(wrong)
+
+    return df.withColumns({name: value(name, expr) for name, expr in columns.items()})
+
+
 def with_audit(df: DataFrame, source: str, at: Column | None = None) -> DataFrame:
     """Add `data_source`, `last_updated` and `ingestion_date`; `at` fixes the time."""
     now = at if at is not None else F.current_timestamp()
@@ -29,13 +45,15 @@ def with_audit(df: DataFrame, source: str, at: Column | None = None) -> DataFram
 
 
 def assign_identity(df: DataFrame, by: Sequence[str], name: str = "id", start: int = 1,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Number all rows `start, start+1, ...` in the order of `by`, with no gaps.
 
+    The rows are cut into `partitions` slices, or as many as make about `slice_rows` each.
+
     Rows are range-partitioned, so no task sorts the whole table: the number is the position
     within the partition plus the sizes of the partitions before it.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // slice_rows))
     ranged = range_slices(df, by, n)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice: n rows at most, hence the unpartitioned window and the broadcast.

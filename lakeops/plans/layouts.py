@@ -10,11 +10,8 @@ from lakeops.plans.registry import query
 from lakeops.session import path_bytes
 from lakeops.sources import files
 
-_LINE = "l_orderkey, l_partkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, l_shipdate"
-
-
 def _lines(t: Tables) -> DataFrame:
-    return t.read("lineitem").select(*_LINE.split(", "))
+    return t.read("lineitem")
 
 
 def file_count(t: Tables) -> int:
@@ -23,25 +20,24 @@ def file_count(t: Tables) -> int:
     return max(t.spark.sparkContext.defaultParallelism, -(-size // layout.TARGET_BYTES))
 
 
-@query("compact_rows", f"SELECT {_LINE} FROM lineitem")
+@query("compact_rows", "SELECT * FROM lineitem")
 def compact_rows(t: Tables) -> DataFrame:
     small, big = t.scratch("small"), t.scratch("compacted")
     _lines(t).repartition(4 * file_count(t)).write.parquet(small)
     return layout.compact(t.spark, small, big)
 
 
-@query("zorder_rows", f"SELECT {_LINE} FROM lineitem")
+@query("zorder_rows", "SELECT * FROM lineitem")
 def zorder_rows(t: Tables) -> DataFrame:
     path = t.scratch("zorder")
     layout.zorder(_lines(t), ["l_partkey", "l_shipdate"], file_count(t)).write.parquet(path)
     return files.read_parquet(t.spark, path)
 
 
-@query("cluster_rows", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+@query("cluster_rows", "SELECT * FROM orders")
 def cluster_rows(t: Tables) -> DataFrame:
     path = t.scratch("clustered")
-    orders = t.read("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    layout.cluster_by(orders, ["o_custkey"], file_count(t)).write.parquet(path)
+    layout.cluster_by(t.read("orders"), ["o_custkey"], file_count(t)).write.parquet(path)
     return files.read_parquet(t.spark, path)
 
 
@@ -52,7 +48,27 @@ def layout_report(t: Tables) -> DataFrame:
     return layout.layout_report(t.spark, path, "l_shipdate")
 
 
-@query("partition_prune", f"SELECT {_LINE} FROM lineitem WHERE l_returnflag = 'R'")
+@query("zorder_files", "SELECT count(*) AS rows, true AS by_name, true AS by_date FROM orders")
+def zorder_files(t: Tables) -> DataFrame:
+    """Whether Z-order by a text and a time lets a filter on either skip most of 64 files."""
+    path, orders = t.scratch("zorder"), t.read("orders").join(
+        t.read("customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+    layout.zorder(orders, ["c_name", "o_orderdate"], 64).write.parquet(path)
+    stored = t.spark.read.parquet(path).select("c_name", "o_orderdate", F.col("_metadata.file_path").alias("file"))
+    files_of = lambda hit: F.count_distinct(F.when(hit, F.col("file"))) <= F.count_distinct("file") * 0.4
+    return stored.agg(F.count(F.lit(1)).alias("rows"), files_of(F.col("c_name") == "Customer#000000007").alias("by_name"),
+                      files_of(F.date_trunc("month", "o_orderdate") == F.lit("1997-03-01").cast("timestamp")).alias("by_date"))
+
+
+@query("layout_check", """SELECT count(*) AS rows, min(l_shipdate) AS least, max(l_shipdate) AS greatest, true AS narrow
+FROM lineitem""")
+def layout_check(t: Tables) -> DataFrame:
+    """The report's rows and range are those of the table, and clustered files overlap with few others."""
+    return layout_report(t).agg(F.sum("rows").alias("rows"), F.min("min").alias("least"), F.max("max").alias("greatest"),
+                                (F.max("overlaps") <= 2).alias("narrow"))
+
+
+@query("partition_prune", "SELECT * FROM lineitem WHERE l_returnflag = 'R'")
 def partition_prune(t: Tables) -> DataFrame:
     path = t.scratch("partitioned")
     files.write_table(_lines(t), path, partition_by=["l_returnflag"])

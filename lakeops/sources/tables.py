@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from lakeops.operators import mutate
 from lakeops.operators.rules import check_schema
 
 
@@ -18,13 +21,57 @@ def database(spark: SparkSession, name: str, location: str) -> str:
 
 
 def save_table(df: DataFrame, table: str) -> DataFrame:
-    """Create or replace a managed table."""
+    """Create a managed table, or publish `df` as its new content (see `publish`)."""
     spark = df.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.mode("overwrite").saveAsTable(table)
+    if spark.catalog.tableExists(table):
+        if source_names(spark.table(table)) == source_names(df):
+            return publish(df, table)
+        spark.sql(f"DROP TABLE {table}")  # other columns: another table
+    df.write.saveAsTable(table)
     return spark.table(table)
 
 
+def source_names(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+
+
+def location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def publish(df: DataFrame, table: str) -> DataFrame:
+    """Make `df`, which may read the table itself, its new content.
+
+    The rows go to a new folder beside the present one, and the name is switched to it when all are
+    written: a failure before that leaves the table as it was, and readers of the old folder go on.
+    Old folders are left for the owner to expire. `df` has the table's columns.
+    """
+    spark = df.sparkSession
+    check_schema(df, spark.table(table).schema)
+    base = re.sub("-snapshot-[0-9a-f]{12}$", "", location(spark, table))
+    path = f"{base}-snapshot-{uuid.uuid4().hex[:12]}"
+    df.select(*spark.table(table).columns).write.parquet(path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def update_table(spark: SparkSession, table: str, set: Mapping[str, Column | str], where: Column | str | None = None) -> DataFrame:
+    """UPDATE: `mutate.update_where`, published."""
+    return publish(mutate.update_where(spark.table(table), set, where), table)
+
+
+def delete_table(spark: SparkSession, table: str, where: Column | str) -> DataFrame:
+    """DELETE: `mutate.delete_where`, published."""
+    return publish(mutate.delete_where(spark.table(table), where), table)
+
+
+def merge_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], **how) -> DataFrame:
+    """MERGE: `mutate.merge`, published."""
+    return publish(mutate.merge(spark.table(table), source, keys, **how), table)
+
+
 def append(df: DataFrame, table: str) -> DataFrame:
     """Append rows, matching columns by name; raises if names or types do not fit the table."""
     spark = df.sparkSession
