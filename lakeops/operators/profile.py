@@ -50,34 +50,9 @@ def violation_examples(df: DataFrame, bad: Column, n: int = 5) -> DataFrame:
     return df.where(bad).limit(n)
 
 
-def quality_metrics(df: DataFrame, amount: str, paid: str, funded: str, group: str) -> DataFrame:
-    """One row of counts, extremes and conditional averages of a loan-like table."""
-    repaid = F.when(F.col(paid) > 0, (F.col(paid) / F.col(funded) * 100).cast("decimal(18,6)"))
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_distinct(group).alias("unique_groups"),
-        F.round(F.avg(amount), 2).alias("avg_amount"),
-        F.min(amount).alias("min_amount"),
-        F.max(amount).alias("max_amount"),
-        F.sum(F.when(F.col(paid) == 0, 1).otherwise(0)).alias("unpaid"),
-        F.sum(F.when(F.col(paid) >= F.col(funded), 1).otherwise(0)).alias("fully_paid"),
-        F.round(F.avg(repaid), 2).alias("avg_repayment_pct"),
-    )
-
-
-def monitor(df: DataFrame, name: str, updated: str, group: str, amount: str, paid: str) -> DataFrame:
-    """The monitoring row of a table: size, freshness, variety, average, unpaid share."""
-    unpaid = F.sum(F.when(F.col(paid) == 0, 1).otherwise(0))
-    rows = F.count(F.lit(1))
-    return df.agg(
-        F.lit(name).alias("table_name"),
-        rows.alias("record_count"),
-        F.max(updated).alias("last_updated"),
-        F.count_distinct(group).alias("unique_states"),
-        F.round(F.avg(amount), 2).alias("avg_amount"),
-        unpaid.alias("unpaid_count"),
-        F.round(unpaid * F.lit(100).cast("decimal(5,0)") / rows, 2).alias("unpaid_pct"),
-    )
+def monitoring_view(metrics: DataFrame, name: str) -> None:
+    """Name a report of one row as a view that is computed anew, with the time, whenever it is queried."""
+    metrics.withColumn("metrics_timestamp", F.current_timestamp()).createOrReplaceTempView(name)
 
 
 def daily_metrics(df: DataFrame, ts: str, violation: Column | None = None) -> DataFrame:

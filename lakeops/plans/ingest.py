@@ -60,10 +60,9 @@ def src_csv_header(t: Tables) -> DataFrame:
     return files.read_csv(t.spark, path)
 
 
-@query("src_parquet", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem")
+@query("src_parquet", "SELECT * FROM lineitem")
 def src_parquet(t: Tables) -> DataFrame:
-    return files.read_parquet(t.spark, f"{t.dir}/lineitem.parquet").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    return files.read_parquet(t.spark, f"{t.dir}/lineitem.parquet")
 
 
 @query("src_table", f"""WITH {CUSTOMERS}
@@ -141,3 +140,75 @@ def schema_merge(t: Tables) -> DataFrame:
     files.write_table(new, path, "append")
     stored = files.read_parquet(t.spark, path, merge_schema=True)
     return as_double(stored)
+
+
+_WRITTEN = f"WITH {KEYED} SELECT order_number, state, status, CAST(%s AS DOUBLE) AS line_total FROM keyed"
+
+
+def _orders_table(t: Tables) -> str:
+    table = f"{scratch_db(t)}.orders"
+    tables.save_table(t.keyed_orders().select("order_number", "state", "status", "line_total"), table)
+    return table
+
+
+@query("update_table", _WRITTEN % "CASE WHEN state = 'NATION_7' THEN CAST(line_total * 0.9 AS DECIMAL(12,2)) ELSE line_total END")
+def update_table(t: Tables) -> DataFrame:
+    return as_double(tables.update_table(t.spark, _orders_table(t), {"line_total": "line_total * 0.9"}, "state = 'NATION_7'"))
+
+
+@query("delete_table", _WRITTEN % "line_total" + " WHERE NOT (line_total < 10000)")
+def delete_table(t: Tables) -> DataFrame:
+    return as_double(tables.delete_table(t.spark, _orders_table(t), "line_total < 10000"))
+
+
+@query("merge_table", f"""WITH {KEYED}
+SELECT order_number, state, CASE WHEN status = 'O' OR order_number = 0 AND status = 'F' THEN 'M' ELSE status END AS status,
+       CAST(CASE WHEN status = 'O' OR order_number = 0 AND status = 'F' THEN CAST(line_total * 1.1 AS DECIMAL(12,2)) ELSE line_total END AS DOUBLE) AS line_total FROM keyed
+UNION ALL SELECT -order_number, state, 'M', CAST(CAST(line_total * 1.1 AS DECIMAL(12,2)) AS DOUBLE) FROM keyed WHERE status = 'F' AND order_number <> 0""")
+def merge_table(t: Tables) -> DataFrame:
+    """Open orders are updated; copies of the finished ones under new numbers are inserted."""
+    number = F.when(F.col("status") == "F", -F.col("order_number")).otherwise(F.col("order_number"))
+    changed = t.keyed_orders().where("status IN ('O', 'F')").select(
+        number.alias("order_number"), "state", F.lit("M").alias("status"),
+        F.expr("CAST(line_total * 1.1 AS DECIMAL(12,2))").alias("line_total"))
+    return as_double(tables.merge_table(t.spark, _orders_table(t), changed, ["order_number"]))
+
+
+@query("external_to_managed", f"""WITH {CUSTOMERS} SELECT kind, customer_id, customer_name, state
+FROM customers CROSS JOIN (VALUES ('external'), ('managed')) k(kind)""")
+def external_to_managed(t: Tables) -> DataFrame:
+    db = scratch_db(t)
+    people = t.customers().select("customer_id", "customer_name", "state")
+    external = tables.external_table(people, f"{db}.outside", t.scratch("outside"))
+    managed = tables.to_managed(t.spark, f"{db}.outside", f"{db}.inside")
+    return external.withColumn("kind", F.lit("external")).unionByName(managed.withColumn("kind", F.lit("managed")))
+
+
+@query("add_columns", f"""WITH {CUSTOMERS} SELECT customer_id, state, CAST(NULL AS VARCHAR) AS tier, CAST(NULL AS BIGINT) AS points FROM customers
+UNION ALL SELECT -customer_id, state, 'new', 5 FROM customers""")
+def add_columns(t: Tables) -> DataFrame:
+    """Rows written before the columns were added read NULL."""
+    table = f"{scratch_db(t)}.customers"
+    people = t.customers().select("customer_id", "state")
+    tables.save_table(people, table)
+    tables.add_columns(t.spark, table, {"tier": ("string", "loyalty tier"), "points": ("bigint", "points so far")})
+    return tables.append(people.select((-F.col("customer_id")).alias("customer_id"), "state", F.lit("new").alias("tier"),
+                                       F.lit(5).cast("bigint").alias("points")), table)
+
+
+@query("analyze_rows", "SELECT count(*) AS rows FROM orders")
+def analyze_rows(t: Tables) -> DataFrame:
+    """The row count that the statistics of an analysed table hold."""
+    table = _orders_table(t)
+    tables.analyze(t.spark, table)
+    stats = t.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'")
+    return stats.select(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("rows"))
+
+
+@query("cached_counts", f"WITH {KEYED} SELECT state, count(*) AS orders FROM keyed GROUP BY state")
+def cached_counts(t: Tables) -> DataFrame:
+    """Counts read from a cached table; the cache is dropped when the block ends."""
+    table, path = _orders_table(t), t.scratch("counts")
+    with tables.cached(t.spark, table) as orders:
+        files.write_table(orders.groupBy("state").agg(F.count(F.lit(1)).alias("orders")), path)
+    return files.read_parquet(t.spark, path)

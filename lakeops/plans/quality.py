@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.operators import orders as ops, profile, rules as rl, schema
+from lakeops.operators import aggregates as agg, orders as ops, profile, rules as rl, schema
 from lakeops.plans.bindings import Tables, as_double
 from lakeops.plans.registry import query
 from lakeops.plans.sql import FLAT, LOANS, avg2
@@ -87,6 +89,15 @@ def range_violations(t: Tables) -> DataFrame:
     return profile.range_violations(t.flat_orders(), {n: F.expr(c) for n, c in _RANGES.items()})
 
 
+# The names and figures of the reports.
+_UNPAID = "sum(CASE WHEN paid_amnt = 0 THEN 1 ELSE 0 END)"
+QUALITY = {"total_records": "count(*)", "unique_groups": "count(DISTINCT addr_state)", "avg_amount": "round(avg(loan_amnt), 2)",
+           "min_amount": "min(loan_amnt)", "max_amount": "max(loan_amnt)", "unpaid": _UNPAID,
+           "fully_paid": "sum(CASE WHEN paid_amnt >= funded_amnt THEN 1 ELSE 0 END)",
+           "avg_repayment_pct": "round(avg(CASE WHEN paid_amnt > 0 THEN CAST(paid_amnt / funded_amnt * 100 AS DECIMAL(18,6)) END), 2)"}
+MONITOR = {"table_name": "'loans'", "record_count": "count(*)", "last_updated": "max(created_at)",
+           "unique_states": "count(DISTINCT addr_state)", "avg_amount": "round(avg(loan_amnt), 2)", "unpaid_count": _UNPAID,
+           "unpaid_pct": f"round({_UNPAID} * CAST(100 AS DECIMAL(5,0)) / count(*), 2)"}
 _PCT = "CAST(round(CAST(paid_amnt * 100 AS DOUBLE) / funded_amnt, 6) AS DECIMAL(18,6))"
 
 
@@ -98,7 +109,7 @@ SELECT count(*) AS total_records, count(DISTINCT addr_state) AS unique_groups, {
        round(avg(CASE WHEN paid_amnt > 0 THEN {_PCT} END), 2) AS avg_repayment_pct
 FROM loans""")
 def quality_metrics(t: Tables) -> DataFrame:
-    return as_double(profile.quality_metrics(t.loans(), "loan_amnt", "paid_amnt", "funded_amnt", "addr_state"))
+    return as_double(agg.report(t.loans(), [], QUALITY))
 
 
 @query("monitor_view", f"""WITH {LOANS}
@@ -109,7 +120,9 @@ SELECT 'loans' AS table_name, count(*) AS record_count, max(created_at) AS last_
             AS DOUBLE) / 100 AS unpaid_pct
 FROM loans""")
 def monitor_view(t: Tables) -> DataFrame:
-    return as_double(profile.monitor(t.loans(), "loans", "created_at", "addr_state", "loan_amnt", "paid_amnt"))
+    view = f"monitor_{uuid.uuid4().hex[:12]}"
+    profile.monitoring_view(agg.report(t.loans(), [], MONITOR), view)
+    return as_double(t.spark.table(view).drop("metrics_timestamp"))
 
 
 @query("alert_daily_count", """WITH days AS (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.functions import band, bin_width
 from lakeops.operators import joins, orders as ops, privacy, sampling, schema
@@ -10,7 +10,7 @@ from lakeops.operators.aggregates import count_by, order_totals
 from lakeops.plans.bindings import Tables, as_double, ntz
 from lakeops.plans.registry import query
 from lakeops.plans.sql import CUSTOMERS, EVENTS, FLAT, KEYED, LOANS
-from lakeops.streaming.medallion import clean_silver
+from lakeops.streaming.medallion import renamed
 
 ORDER_KEYS = ["order_number", "customer_id", "customer_name"]
 
@@ -100,6 +100,21 @@ def order_histogram(t: Tables) -> DataFrame:
 # The order statuses of the test tables as grades of low and medium risk.
 LOW, MEDIUM = ("F",), ("O",)
 
+# The names and types of the cleaned loan columns.
+SILVER = {"loan_id": ("loan_id", None), "loan_amount": ("loan_amnt", "decimal(10,2)"),
+          "funded_amount": ("funded_amnt", "decimal(10,2)"), "interest_rate": ("int_rate", "decimal(5,2)"),
+          "debt_to_income_ratio": ("dti", "decimal(5,2)"), "loan_term": ("term", None), "loan_grade": ("grade", None),
+          "state": ("addr_state", None), "ingestion_timestamp": ("ingestion_timestamp", None)}
+
+
+def risk(grade: str, low: tuple[str, ...] = LOW, medium: tuple[str, ...] = MEDIUM) -> Column:
+    return (F.when(F.col(grade).isin(*low), "Low").when(F.col(grade).isin(*medium), "Medium").otherwise("High"))
+
+
+def clean_loans(loans: DataFrame) -> DataFrame:
+    return renamed(loans, SILVER).withColumn("risk_category", risk("loan_grade"))
+
+
 SILVER_SQL = """silver AS (
   SELECT loan_id, CAST(loan_amnt AS DECIMAL(10,2)) AS loan_amount, CAST(funded_amnt AS DECIMAL(10,2)) AS funded_amount,
          CAST(int_rate AS DECIMAL(5,2)) AS interest_rate, CAST(dti AS DECIMAL(5,2)) AS debt_to_income_ratio, term AS loan_term,
@@ -115,7 +130,7 @@ SILVER_COLUMNS = """loan_id, CAST(loan_amount AS DOUBLE) AS loan_amount, CAST(fu
 
 @query("silver_clean", f"WITH {LOANS}, {SILVER_SQL} SELECT {SILVER_COLUMNS} FROM silver")
 def silver_clean(t: Tables) -> DataFrame:
-    return as_double(clean_silver(t.loans(), LOW, MEDIUM))
+    return as_double(clean_loans(t.loans()))
 
 
 @query("audit_columns", f"""WITH {KEYED}
@@ -134,6 +149,15 @@ def random_int(t: Tables) -> DataFrame:
     return sampling.with_random_int(reviews, "rating", 1, 4, seed=42)
 
 
+@query("random_int_report", f"""WITH {FLAT} SELECT count(*) AS rows, 1 AS least, 4 AS greatest, true AS even FROM flat""")
+def random_int_report(t: Tables) -> DataFrame:
+    """Range and evenness of the random numbers: each has a quarter of the rows, within five deviations."""
+    rows, n = random_int(t), F.count(F.lit(1))
+    off = [F.abs(F.count_if(F.col("rating") == k) - n / 4) <= 5 * F.sqrt(n * 3 / 16) + 1 for k in (1, 2, 3, 4)]
+    return rows.agg(n.alias("rows"), F.min("rating").cast("int").alias("least"), F.max("rating").cast("int").alias("greatest"),
+                    (off[0] & off[1] & off[2] & off[3]).alias("even"))
+
+
 @query("mask_rows", f"""WITH {CUSTOMERS}
 SELECT customer_id, sha256(customer_name) AS customer_name,
        regexp_replace(regexp_replace(regexp_replace(loyalty_segment, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'),
@@ -148,14 +172,15 @@ def mask_rows(t: Tables) -> DataFrame:
 
 
 @query("enrich_orders", f"""WITH {CUSTOMERS}
-SELECT o_orderkey AS order_number, o.o_custkey AS customer_id, c.c_name AS customer_name, state, city, loyalty_segment
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN (SELECT * FROM customers WHERE city <> 'AFRICA') k
-  ON k.customer_id = o.o_custkey AND k.customer_name = c.c_name""")
+SELECT o_orderkey AS order_number, o.id AS customer_id, c.c_name AS customer_name, state, city, loyalty_segment
+FROM (SELECT *, CASE WHEN o_orderkey % 10 = 3 THEN -o_custkey ELSE o_custkey END AS id FROM orders) o
+JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN customers k ON k.customer_id = o.id AND k.customer_name = c.c_name""")
 def enrich_orders(t: Tables) -> DataFrame:
-    # A customer list that lacks one region, so that the left join has rows to leave unmatched.
-    customers = t.customers().where(F.col("city") != "AFRICA")
-    return ops.enrich_orders(t.order_heads(), customers).select(
+    # A tenth of the orders with an id that no customer has, so that the left join leaves rows unmatched.
+    unknown = F.when(F.col("order_number") % 10 == 3, -F.col("customer_id")).otherwise(F.col("customer_id"))
+    orders = t.order_heads().withColumn("customer_id", unknown)
+    return ops.enrich_orders(orders, t.customers()).select(
         "order_number", "customer_id", "customer_name", "state", "city", "loyalty_segment")
 
 
@@ -165,7 +190,7 @@ SELECT c.user_id, c.event_id AS click_id, c.event_time AS clicked_at, p.event_id
 FROM ev c JOIN ev p ON c.user_id = p.user_id AND c.state = 'click' AND p.state = 'purchase'
  AND p.event_time BETWEEN c.event_time - INTERVAL 5 MINUTE AND c.event_time + INTERVAL 5 MINUTE""")
 def interval_join(t: Tables) -> DataFrame:
-    return paired_events(t.events(), t.events(), splits=1)
+    return paired_events(t.events(), t.events(), splits=2)
 
 
 def paired_events(clicks: DataFrame, purchases: DataFrame, splits: int, delay: str | None = None) -> DataFrame:
@@ -193,6 +218,17 @@ def sample_rows(t: Tables) -> DataFrame:
     return sampling.sample_rows(t.keyed_orders().select("order_number", "state"), 0.1, seed=42)
 
 
+@query("sample_report", f"""WITH {KEYED} SELECT true AS distinct, true AS subset, true AS near_share, count(*) AS rows FROM keyed""")
+def sample_report(t: Tables) -> DataFrame:
+    """Whether the sample is part of the table, without copies, and about a tenth of it."""
+    whole = t.keyed_orders().select("order_number", "state").withColumn("picked", F.lit(0))
+    both = whole.unionByName(sample_rows(t).withColumn("picked", F.lit(1))).groupBy("order_number", "state").agg(
+        F.sum("picked").alias("picked"), F.count_if(F.col("picked") == 0).alias("there"))
+    rows, picked = F.sum("there"), F.sum("picked")
+    return both.agg((F.max("picked") <= 1).alias("distinct"), (F.min("there") >= 1).alias("subset"),
+                    (F.abs(picked - rows * 0.1) <= 5 * F.sqrt(rows * 0.09) + 1).alias("near_share"), rows.alias("rows"))
+
+
 @query("sample_hash", """SELECT o_orderkey, o_custkey FROM orders
 WHERE ((o_orderkey % 1000003) * 618034) % 1000003 * 1000 < CAST(100 AS BIGINT) * 1000003""")
 def sample_hash(t: Tables) -> DataFrame:

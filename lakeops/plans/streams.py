@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from lakeops.operators.mutate import latest_per_key
@@ -10,12 +12,13 @@ from lakeops.plans.bindings import Tables, as_double, ntz, order_events
 from lakeops.plans.changes import day_operations
 from lakeops.plans.quality import EXPECTATIONS, PASSED
 from lakeops.plans.registry import query
-from lakeops.plans.shaping import LOW, MEDIUM, SILVER_COLUMNS, SILVER_SQL, paired_events
+from lakeops.plans.shaping import SILVER_COLUMNS, SILVER_SQL, clean_loans, paired_events
 from lakeops.plans.sql import EVENTS, LOANS, avg2, total
-from lakeops.plans.summaries import GOLD_STATE_SQL, rounded_gold
+from lakeops.plans.summaries import GOLD_STATE_SQL, by_grade, by_state, rounded_gold
 from lakeops.session import path_bytes
+from lakeops.sources import tables
 from lakeops.streaming import medallion, merge, windows
-from lakeops.streaming.io import finish, read_stream, write_stream
+from lakeops.streaming.io import finish, read_stream, write_stream, write_stream_clustered, write_stream_table
 
 DELAY = "10 minutes"
 
@@ -83,17 +86,17 @@ SELECT c.user_id, c.event_id AS click_id, c.event_time AS clicked_at, p.event_id
 FROM ev c JOIN ev p ON c.user_id = p.user_id AND c.state = 'click' AND p.state = 'purchase'
  AND p.event_time BETWEEN c.event_time - INTERVAL 5 MINUTE AND c.event_time + INTERVAL 5 MINUTE""")
 def stream_interval_join(t: Tables) -> DataFrame:
-    pairs = paired_events(t.event_stream(), t.event_stream(), splits=1, delay=DELAY)
+    pairs = paired_events(t.event_stream(), t.event_stream(), splits=4, delay=DELAY)
     return run(t, pairs, "pairs")
 
 
-@query("bronze_ingest", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, true AS stamped FROM orders")
+@query("bronze_ingest", "SELECT *, true AS stamped FROM orders")
 def bronze_ingest(t: Tables) -> DataFrame:
     path = t.scratch("bronze")
     medallion.bronze(t.spark, t.stream_path("orders"), path, t.scratch("bronze-checkpoint"),
                      t.read("orders").schema)
-    return t.spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
-                                             F.col("ingestion_timestamp").isNotNull().alias("stamped"))
+    return (t.spark.read.parquet(path).withColumn("stamped", F.col("ingestion_timestamp").isNotNull())
+            .drop("ingestion_timestamp"))
 
 
 _DROPS = " AND ".join(PASSED[n] for n, (_, action) in EXPECTATIONS.items() if action == "drop")
@@ -110,16 +113,16 @@ def _landing(t: Tables) -> tuple[str, DataFrame]:
 def silver_stream(t: Tables) -> DataFrame:
     path, landed = _landing(t)
     raw = read_stream(t.spark, path, landed.schema, fmt="parquet")
-    clean = run(t, medallion.silver(raw, EXPECTATIONS, LOW, MEDIUM), "silver")
+    clean = run(t, medallion.silver(raw, EXPECTATIONS, clean_loans), "silver")
     return as_double(clean.drop("processing_timestamp"))
 
 
 @query("medallion_gold", f"WITH {_KEPT_LOANS}, {SILVER_SQL} {GOLD_STATE_SQL}")
 def medallion_gold(t: Tables) -> DataFrame:
     path, landed = _landing(t)
-    by_state, _, _ = medallion.run_medallion(t.spark, path, t.scratch("medallion"), landed.schema, EXPECTATIONS,
-                                             low=LOW, medium=MEDIUM)
-    return rounded_gold(by_state)
+    gold, _ = medallion.run_medallion(t.spark, path, t.scratch("medallion"), landed.schema, EXPECTATIONS, clean_loans,
+                                      {"gold_by_state": by_state, "gold_by_grade": by_grade})
+    return rounded_gold(gold["gold_by_state"])
 
 
 _MERGE_KEYS = ["user_id", "day"]
@@ -158,3 +161,53 @@ def stream_cdc_merge(t: Tables) -> DataFrame:
     state = merge.merged_state(t.spark, table, _MERGE_KEYS, ["user_id", "day", "event_id", "state", "line_total"],
                                {"line_total": "updated_line_total"})
     return as_double(state)
+
+
+@query("stream_table", f"""WITH {EVENTS} SELECT event_id, user_id, state, CAST(line_total AS DOUBLE) AS line_total FROM ev""")
+def stream_table(t: Tables) -> DataFrame:
+    """A stream appended to a named table, which is then read as a stream itself."""
+    db = tables.database(t.spark, f"lakeops_{uuid.uuid4().hex[:12]}", t.scratch("db"))
+    columns = ["event_id", "user_id", "state", "line_total"]
+    finish(write_stream_table(t.event_stream().select(*columns), f"{db}.events", t.scratch("table-checkpoint")))
+    return as_double(run(t, t.spark.readStream.table(f"{db}.events"), "from-table"))
+
+
+@query("stream_clustered", f"""WITH {EVENTS} SELECT event_id, user_id, state, CAST(line_total AS DOUBLE) AS line_total FROM ev""")
+def stream_clustered(t: Tables) -> DataFrame:
+    path = t.scratch("clustered")
+    rows = t.event_stream().select("event_id", "user_id", "state", "line_total")
+    finish(write_stream_clustered(rows, path, ["state"], 8, t.scratch("clustered-checkpoint")))
+    return as_double(t.spark.read.parquet(path).drop("_batch_id"))
+
+
+@query("stream_late_rows", f"""WITH {EVENTS},
+early AS (SELECT * FROM ev WHERE event_id % 2 = 0),
+w AS (SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS window_start, * FROM early)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, state, {_STATS}
+FROM w GROUP BY window_start, state HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM early) - INTERVAL 10 MINUTE""")
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Rows that come in a second batch, after the watermark of the first has passed them, are not counted.
+
+    The second batch holds the odd events up to two hours before the first one's latest.
+    """
+    landing, path, check = t.scratch("late"), t.scratch("late-out"), t.scratch("late-checkpoint")
+    events = t.read("events")
+    latest = events.where("event_id % 2 = 0").agg(F.max("ts").alias("latest"))
+    late = events.where("event_id % 2 = 1").join(F.broadcast(latest)).where("ts < latest - INTERVAL 2 HOURS").drop("latest")
+    for batch in (events.where("event_id % 2 = 0"), late):
+        batch.write.mode("append").parquet(landing)
+        hourly = windows.tumbling(order_events(read_stream(t.spark, landing, events.schema, fmt="parquet")), "event_time",
+                                  "1 hour", ["state"], windows.order_stats("line_total"), DELAY)
+        finish(write_stream(hourly, path, check))
+    return _flat(t.spark.read.schema(hourly.schema).parquet(path))
+
+
+@query("stream_metrics", f"WITH {LOANS} " + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS expectation, count(*) FILTER (WHERE NOT {c}) AS failed FROM loans" for n, c in PASSED.items()))
+def stream_metrics(t: Tables) -> DataFrame:
+    """The failures that the progress of a stream reports, summed over its batches."""
+    path, landed = _landing(t)
+    raw = read_stream(t.spark, path, landed.schema, fmt="parquet")
+    query = finish(write_stream(medallion.silver(raw, EXPECTATIONS, clean_loans), t.scratch("observed"), t.scratch("observed-checkpoint")))
+    seen = [p.observedMetrics[medallion.SILVER_METRICS] for p in query.recentProgress if medallion.SILVER_METRICS in p.observedMetrics]
+    return t.spark.createDataFrame([(n, sum(m[n] for m in seen)) for n in EXPECTATIONS], "expectation string, failed bigint")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.operators import aggregates as agg
 from lakeops.plans.bindings import Tables, as_double
 from lakeops.plans.registry import query
-from lakeops.plans.shaping import LOW, MEDIUM, SILVER_SQL
+from lakeops.plans.shaping import SILVER_SQL, clean_loans
 from lakeops.plans.sql import FLAT, KEYED, LOANS, avg2, total
-from lakeops.streaming.medallion import clean_silver, gold_by_grade as by_grade, gold_by_state as by_state
 
 
 @query("row_count", "SELECT count(*) AS total_records FROM lineitem")
@@ -34,14 +33,34 @@ _STATS = f"""stats AS (
   FROM flat GROUP BY product_name)"""
 
 
+# The names and statistics of the reports.
+PRODUCT_STATS = {"times_ordered": "count(*)", "avg_price": "round(avg(price), 2)", "total_revenue": "round(sum(line_total), 2)",
+                 "avg_qty": "round(avg(CAST(quantity AS DECIMAL(10,2))), 2)"}
+REVENUE = {"order_count": "count(*)", "avg_order_value": "round(avg(line_total), 2)", "total_revenue": "round(sum(line_total), 2)"}
+CUSTOMER_STATS = {"num_orders": "count(*)", "avg_products_per_order": "round(CAST(sum(items) AS DECIMAL(20,0)) / count(*), 2)"}
+GOLD_BY_STATE = {"total_loans": "count(*)", "total_loan_amount": "sum(loan_amount)", "avg_loan_amount": "avg(loan_amount)",
+                 "avg_interest_rate": "avg(interest_rate)"}
+GOLD_BY_GRADE = {"total_loans": "count(*)", "avg_loan_amount": "avg(loan_amount)", "avg_interest_rate": "avg(interest_rate)"}
+
+
+def products(t: Tables) -> DataFrame:
+    return agg.report(t.flat_orders(), ["product_name"], PRODUCT_STATS)
+
+
+def customers(t: Tables) -> DataFrame:
+    keys = ["customer_id", "customer_name"]
+    orders = agg.nested_sizes(t.sales_orders(), [*keys, "order_number"], "ordered_products", "items")
+    return agg.report(orders, keys, CUSTOMER_STATS)
+
+
 @query("product_stats", f"WITH {FLAT}, {_STATS} SELECT * FROM stats")
 def product_stats(t: Tables) -> DataFrame:
-    return as_double(agg.product_stats(t.flat_orders()))
+    return as_double(products(t))
 
 
 @query("top_products", f"WITH {FLAT}, {_STATS} SELECT * FROM stats ORDER BY total_revenue DESC, product_name LIMIT 10")
 def top_products(t: Tables) -> DataFrame:
-    return as_double(agg.top_k(agg.product_stats(t.flat_orders()), "total_revenue", 10, ["product_name"]))
+    return as_double(agg.top_k(products(t), "total_revenue", 10, ["product_name"]))
 
 
 @query("order_totals", f"""WITH {FLAT}
@@ -57,7 +76,7 @@ REVENUE_SQL = f"""SELECT state, count(*) AS order_count, {avg2('line_total')} AS
 
 @query("revenue_by_state", f"WITH {FLAT} {REVENUE_SQL} ORDER BY total_revenue DESC, state LIMIT 10")
 def revenue_by_state(t: Tables) -> DataFrame:
-    return as_double(agg.top_k(agg.revenue_by(t.flat_orders(), "state"), "total_revenue", 10, ["state"]))
+    return as_double(agg.top_k(agg.report(t.flat_orders(), ["state"], REVENUE), "total_revenue", 10, ["state"]))
 
 
 _CUSTOMER_STATS = """per_order AS (
@@ -72,12 +91,12 @@ stats AS (
 
 @query("customer_stats", f"WITH {_CUSTOMER_STATS} SELECT * FROM stats")
 def customer_stats(t: Tables) -> DataFrame:
-    return as_double(agg.customer_stats(t.sales_orders()))
+    return as_double(customers(t))
 
 
 @query("top_customers", f"WITH {_CUSTOMER_STATS} SELECT * FROM stats ORDER BY num_orders DESC, customer_id LIMIT 20")
 def top_customers(t: Tables) -> DataFrame:
-    return as_double(agg.top_k(agg.customer_stats(t.sales_orders()), "num_orders", 20, ["customer_id"]))
+    return as_double(agg.top_k(customers(t), "num_orders", 20, ["customer_id"]))
 
 
 @query("distinct_rows", f"WITH {FLAT} SELECT DISTINCT product_name, CAST(price AS DOUBLE) AS price, state FROM flat")
@@ -86,18 +105,62 @@ def distinct_rows(t: Tables) -> DataFrame:
 
 
 @query("column_summary", """WITH v AS (
-  SELECT 'o_totalprice' AS "column", o_totalprice AS x FROM orders
-  UNION ALL SELECT 'o_custkey', o_custkey FROM orders)
+  SELECT 'o_orderkey' AS "column", o_orderkey::DOUBLE AS x FROM orders
+  UNION ALL SELECT 'o_custkey', o_custkey FROM orders
+  UNION ALL SELECT 'o_totalprice', o_totalprice FROM orders)
 SELECT "column", CAST(count(x) AS DOUBLE) AS count, round(avg(x), 4) AS mean, round(stddev(x), 4) AS stddev,
        min(x) AS min, max(x) AS max FROM v GROUP BY "column" """)
 def column_summary(t: Tables) -> DataFrame:
-    # The quartiles are approximate, so only the exact figures are compared.
-    return agg.column_summary(t.read("orders"), ["o_totalprice", "o_custkey"]).select(
+    # The quartiles are approximate: column_quartiles checks their error.
+    return agg.column_summary(t.read("orders"), ["o_orderkey", "o_custkey", "o_totalprice"]).select(
         "column", "count", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev"), "min", "max")
 
 
+@query("column_quartiles", """SELECT 'o_totalprice' AS "column", count(*) AS rows, true AS close FROM orders
+UNION ALL SELECT 'o_custkey', count(*), true FROM orders""")
+def column_quartiles(t: Tables) -> DataFrame:
+    """Whether each approximate quartile has its share of the rows at or below it, within a thousandth."""
+    orders, columns = t.read("orders"), ["o_totalprice", "o_custkey"]
+    summary = agg.column_summary(orders, columns)
+    values = orders.select(F.explode(F.create_map(*[x for c in columns for x in (F.lit(c), F.col(c).cast("double"))])).alias("column", "x"))
+
+    def close(quartile: str, part: float) -> Column:
+        # Of equal values some lie on either side.
+        below, up_to = F.count_if(F.col("x") < F.col(quartile)), F.count_if(F.col("x") <= F.col(quartile))
+        rows = F.count(F.lit(1))
+        return (below <= rows * (part + 0.001) + 1) & (up_to >= rows * (part - 0.001) - 1)
+
+    return values.join(F.broadcast(summary), "column").groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"), (close("q25", 0.25) & close("q50", 0.5) & close("q75", 0.75)).alias("close"))
+
+
+@query("text_summary", """SELECT 'o_orderpriority' AS "column", count(o_orderpriority) AS count, min(o_orderpriority) AS min,
+       max(o_orderpriority) AS max FROM orders
+UNION ALL SELECT 'o_orderstatus', count(o_orderstatus), min(o_orderstatus), max(o_orderstatus) FROM orders
+UNION ALL SELECT 'o_orderdate', count(o_orderdate), strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S'),
+       strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM orders""")
+def text_summary(t: Tables) -> DataFrame:
+    return agg.text_summary(t.read("orders"), ["o_orderpriority", "o_orderstatus", "o_orderdate"])
+
+
+@query("ordered_report", """SELECT row_number() OVER (ORDER BY n DESC, o_orderpriority) - 1 AS position, o_orderpriority, n
+FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority)""")
+def ordered_report(t: Tables) -> DataFrame:
+    """A sorted report with the position of each row: the order itself is compared."""
+    counts = agg.count_by(t.read("orders"), ["o_orderpriority"], "n").orderBy(F.desc("n"), "o_orderpriority")
+    return counts.coalesce(1).select(F.monotonically_increasing_id().alias("position"), "o_orderpriority", "n")
+
+
 def silver(t: Tables) -> DataFrame:
-    return clean_silver(t.loans(), LOW, MEDIUM)
+    return clean_loans(t.loans())
+
+
+def by_state(silver_rows: DataFrame) -> DataFrame:
+    return agg.report(silver_rows, ["state"], GOLD_BY_STATE).orderBy(F.desc("total_loan_amount"))
+
+
+def by_grade(silver_rows: DataFrame) -> DataFrame:
+    return agg.report(silver_rows, ["loan_grade", "loan_term"], GOLD_BY_GRADE).orderBy("loan_grade", "loan_term")
 
 
 def rounded_gold(df: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql.types import StructType
 
 from lakeops.operators.layout import cluster_by
 
+# What a micro-batch of an ingest takes, about.
+BATCH_BYTES = 256 * 1024 * 1024 * 1024
+
 
 def read_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None,
                 fmt: str = "json", max_bytes: int | None = None) -> DataFrame:
@@ -76,10 +79,11 @@ def finish(query: StreamingQuery) -> StreamingQuery:
 
 
 def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: StructType,
-                     fmt: str = "parquet", add: Callable[[DataFrame], DataFrame] = lambda df: df,
+                     fmt: str = "parquet", max_bytes: int | None = BATCH_BYTES, add: Callable[[DataFrame], DataFrame] = lambda df: df,
                      ) -> StreamingQuery:
     """Append all files that have arrived since the last run to `dst`.
 
-    The checkpoint remembers which files are done: a second run takes only new ones.
+    The checkpoint remembers which files are done: a second run takes only new ones. A micro-batch
+    takes about `max_bytes`, so that a first run over a huge folder makes lasting progress.
     """
-    return finish(write_stream(add(read_stream(spark, src, schema, fmt=fmt)), dst, checkpoint))
+    return finish(write_stream(add(read_stream(spark, src, schema, fmt=fmt, max_bytes=max_bytes)), dst, checkpoint))

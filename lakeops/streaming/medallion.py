@@ -2,71 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from lakeops.operators.rules import Expectations, expect
-from lakeops.streaming.io import finish, ingest_new_files, read_stream, write_stream
-
-# Grades of low and medium risk; all others are high.
-LOW_RISK = ("A", "B")
-MEDIUM_RISK = ("C", "D")
+from lakeops.streaming.io import BATCH_BYTES, finish, ingest_new_files, read_stream, write_stream
 
 SILVER_METRICS = "silver_expectations"
 
 
-def risk_category(grade: str = "loan_grade", low: tuple[str, ...] = LOW_RISK,
-                  medium: tuple[str, ...] = MEDIUM_RISK) -> Column:
-    return (F.when(F.col(grade).isin(*low), "Low").when(F.col(grade).isin(*medium), "Medium")
-            .otherwise("High"))
-
-
 def bronze(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: StructType,
-           fmt: str = "parquet") -> StreamingQuery:
+           fmt: str = "parquet", max_bytes: int | None = BATCH_BYTES) -> StreamingQuery:
     """Append new raw files, as they are, with the time of ingestion."""
-    return ingest_new_files(spark, src, dst, checkpoint, schema, fmt,
+    return ingest_new_files(spark, src, dst, checkpoint, schema, fmt, max_bytes=max_bytes,
                             add=lambda df: df.withColumn("ingestion_timestamp", F.current_timestamp()))
 
 
-def clean_silver(df: DataFrame, low: tuple[str, ...] = LOW_RISK,
-                 medium: tuple[str, ...] = MEDIUM_RISK) -> DataFrame:
-    """Rename and cast raw loan columns and add the risk category."""
-    names = {"loan_amnt": ("loan_amount", "decimal(10,2)"),
-             "funded_amnt": ("funded_amount", "decimal(10,2)"),
-             "int_rate": ("interest_rate", "decimal(5,2)"),
-             "dti": ("debt_to_income_ratio", "decimal(5,2)")}
-    cast = [F.col(c).cast(kind).alias(new) for c, (new, kind) in names.items()]
-    return df.select("loan_id", *cast, F.col("term").alias("loan_term"),
-                     F.col("grade").alias("loan_grade"), F.col("addr_state").alias("state"),
-                     *[c for c in ("ingestion_timestamp",) if c in df.columns]
-                     ).withColumn("risk_category", risk_category("loan_grade", low, medium))
+def renamed(df: DataFrame, columns: Mapping[str, tuple[str, str | None]]) -> DataFrame:
+    """The columns under new names, cast where a type is given: `{new: (old, type)}`; absent ones are left out."""
+    return df.select(*[(F.col(old).cast(kind) if kind else F.col(old)).alias(new)
+                       for new, (old, kind) in columns.items() if old in df.columns])
 
 
-def silver(bronze_rows: DataFrame, rules: Expectations, low: tuple[str, ...] = LOW_RISK,
-           medium: tuple[str, ...] = MEDIUM_RISK, metrics: str | None = SILVER_METRICS) -> DataFrame:
+def silver(bronze_rows: DataFrame, rules: Expectations, clean: Callable[[DataFrame], DataFrame],
+           metrics: str | None = SILVER_METRICS) -> DataFrame:
     """Expectations, then cleaning; failures are counted on the way, in the same pass."""
-    return (clean_silver(expect(bronze_rows, rules, metrics), low, medium)
-            .withColumn("processing_timestamp", F.current_timestamp()))
-
-
-def gold_by_state(silver_rows: DataFrame) -> DataFrame:
-    """Loans, amounts and rates per state, largest first."""
-    return silver_rows.groupBy("state").agg(
-        F.count(F.lit(1)).alias("total_loans"),
-        F.sum("loan_amount").alias("total_loan_amount"),
-        F.avg("loan_amount").alias("avg_loan_amount"),
-        F.avg("interest_rate").alias("avg_interest_rate")).orderBy(F.desc("total_loan_amount"))
-
-
-def gold_by_grade(silver_rows: DataFrame) -> DataFrame:
-    """Loans, average amounts and rates per grade and term."""
-    return silver_rows.groupBy("loan_grade", "loan_term").agg(
-        F.count(F.lit(1)).alias("total_loans"),
-        F.avg("loan_amount").alias("avg_loan_amount"),
-        F.avg("interest_rate").alias("avg_interest_rate")).orderBy("loan_grade", "loan_term")
+    return clean(expect(bronze_rows, rules, metrics)).withColumn("processing_timestamp", F.current_timestamp())
 
 
 @dataclass(frozen=True)
@@ -83,22 +49,24 @@ class Medallion:
 
 
 def run_medallion(spark: SparkSession, src: str, root: str, schema: StructType, rules: Expectations,
-                  fmt: str = "parquet", low: tuple[str, ...] = LOW_RISK,
-                  medium: tuple[str, ...] = MEDIUM_RISK) -> tuple[DataFrame, DataFrame, StreamingQuery]:
+                  clean: Callable[[DataFrame], DataFrame], gold: Mapping[str, Callable[[DataFrame], DataFrame]],
+                  fmt: str = "parquet", max_bytes: int | None = BATCH_BYTES) -> tuple[dict[str, DataFrame], StreamingQuery]:
     """Bring all layers up to date with the files in `src`; a second run handles only new files.
 
-    Returns the two gold tables, as written, and the finished silver query (its progress holds the
-    expectation counts).
+    `clean` makes silver rows of bronze ones, `gold` names the reports over silver. A micro-batch
+    takes about `max_bytes`. Every run writes its gold reports to a new folder, so that readers of
+    the last ones are not disturbed. Returns the reports, as written, and the finished silver query
+    (its progress holds the expectation counts).
     """
     flow = Medallion(root)
-    bronze(spark, src, flow.path("bronze"), flow.checkpoint("bronze"), schema, fmt)
+    bronze(spark, src, flow.path("bronze"), flow.checkpoint("bronze"), schema, fmt, max_bytes)
     bronze_schema = StructType([*schema.fields, StructField("ingestion_timestamp", TimestampType())])
-    raw = read_stream(spark, flow.path("bronze"), bronze_schema, fmt="parquet")
-    query = finish(write_stream(silver(raw, rules, low, medium), flow.path("silver"),
-                                flow.checkpoint("silver")))
-    clean = spark.read.parquet(flow.path("silver"))
-    out = []
-    for name, build in (("gold_by_state", gold_by_state), ("gold_by_grade", gold_by_grade)):
-        build(clean).write.mode("overwrite").parquet(flow.path(name))
-        out.append(spark.read.parquet(flow.path(name)))
-    return out[0], out[1], query
+    raw = read_stream(spark, flow.path("bronze"), bronze_schema, fmt="parquet", max_bytes=max_bytes)
+    query = finish(write_stream(silver(raw, rules, clean), flow.path("silver"), flow.checkpoint("silver")))
+    rows, run = spark.read.parquet(flow.path("silver")), uuid.uuid4().hex[:12]
+    out = {}
+    for name, build in gold.items():
+        path = f"{flow.path(name)}/{run}"
+        build(rows).write.parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out, query

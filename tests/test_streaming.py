@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from lakeops.operators import joins
 from lakeops.operators.mutate import merge as batch_merge
+from lakeops.plans.shaping import SILVER, risk
+from lakeops.plans.summaries import by_grade, by_state
 from lakeops.streaming import medallion, merge, windows
 from lakeops.streaming.io import (
     finish,
@@ -191,8 +193,10 @@ def test_stream_merge_equals_batch_merge_and_survives_replay(spark, tmp_path):
     assert rows(target.withColumn("line_total", F.col("line_total").cast("double"))) == want
 
     merge.compact_merged(spark, table, str(tmp_path / "compacted"), keys)
-    assert rows(merge.merged_state(spark, str(tmp_path / "compacted"), keys, columns, set_)
+    table = str(tmp_path / "compacted")
+    assert rows(merge.merged_state(spark, table, keys, columns, set_)
                 .withColumn("line_total", F.col("line_total").cast("double"))) == want
+    assert run("check-after-compaction") == want  # batches folded into the base come again: an insert stays an insert
 
 
 def test_foreach_batch_gets_every_row_once(spark, tmp_path):
@@ -225,13 +229,21 @@ def loan(i, amount=1000.0, rate=10.0, grade="A", state="CA"):
     return (i, amount, amount, "36 months", rate, grade, state, 1.5)
 
 
+def clean(loans):
+    return medallion.renamed(loans, SILVER).withColumn("risk_category", risk("loan_grade", ("A", "B"), ("C", "D")))
+
+
+GOLD = {"by_state": by_state, "by_grade": by_grade}
+
+
 def test_medallion_runs_twice_and_counts_failures(spark, tmp_path):
     src, root = str(tmp_path / "src"), str(tmp_path / "root")
     spark.createDataFrame([loan(1), loan(2, 3000.0, grade="C"), loan(3, -5.0), loan(4, state=None), loan(5, rate=99.0, grade="G")],
                           LOAN).write.mode("append").parquet(src)
     schema = spark.read.parquet(src).schema
-    by_state, by_grade, query = medallion.run_medallion(spark, src, root, schema, RULES)
-    assert rows(by_state.select("state", "total_loans", F.col("total_loan_amount").cast("int"))) == [("CA", 3, 5000)]
+    gold, query = medallion.run_medallion(spark, src, root, schema, RULES, clean, GOLD)
+    first = gold["by_state"]
+    assert rows(first.select("state", "total_loans", F.col("total_loan_amount").cast("int"))) == [("CA", 3, 5000)]
     metrics = [p.observedMetrics[medallion.SILVER_METRICS] for p in query.recentProgress
                if medallion.SILVER_METRICS in p.observedMetrics]
     assert sum(m.valid_loan_amount for m in metrics) == 1
@@ -241,10 +253,11 @@ def test_medallion_runs_twice_and_counts_failures(spark, tmp_path):
     assert silver.schema["loan_amount"].dataType.simpleString() == "decimal(10,2)"
 
     spark.createDataFrame([loan(6, state="NY")], LOAN).write.mode("append").parquet(src)
-    by_state, _, _ = medallion.run_medallion(spark, src, root, schema, RULES)
-    assert rows(by_state.select("state", "total_loans")) == [("CA", 3), ("NY", 1)]
-    by_state, by_grade, _ = medallion.run_medallion(spark, src, root, schema, RULES)
-    assert rows(by_grade.select("loan_grade", "total_loans")) == [("A", 2), ("C", 1), ("G", 1)]
+    gold, _ = medallion.run_medallion(spark, src, root, schema, RULES, clean, GOLD)
+    assert rows(first.select("total_loans")) == [(3,)]  # earlier reports stay
+    assert rows(gold["by_state"].select("state", "total_loans")) == [("CA", 3), ("NY", 1)]
+    gold, _ = medallion.run_medallion(spark, src, root, schema, RULES, clean, GOLD)
+    assert rows(gold["by_grade"].select("loan_grade", "total_loans")) == [("A", 2), ("C", 1), ("G", 1)]
 
 
 def test_failing_expectation_stops_the_stream(spark, tmp_path):
