@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.llm.registry import query, table
-from lakeops.llm.tokens import Encoder, encoded_rows, vocabulary
+from lakeops.llm.tokens import encoded_rows, vocabulary, worker_encoder
 
 GROUP_ROWS = 10_000
 # A window may be padded by this much; others that aren't full are cut anew.
@@ -122,7 +122,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity:
     schema = pa.schema([("group", pa.int64()), ("id", pa.int64()), ("ids", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, out = Encoder(vocabulary_path, end_id), 0, []
+        encoder, held, out = worker_encoder(vocabulary_path, end_id), 0, []
 
         def done():
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), schema.types)], schema=schema)
@@ -136,7 +136,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity:
         if out:
             yield done()
 
-    narrow = Encoder(vocabulary_path, end_id).dtype
+    narrow = worker_encoder(vocabulary_path, end_id).dtype
 
     def pack(group: pa.Table) -> pa.Table:
         # The order of rows within a shuffled group isn't fixed: sort, so that a repeated task agrees.

@@ -4,23 +4,52 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-# A unit is white space and the word behind it: no pre-token of the tokenizers used here reaches
-# from a word into the white space that follows, so units encode alone as they do in their text.
-UNITS = re.compile("[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-# White space that the pattern above doesn't know; texts that hold any are encoded in one piece.
+from lakeops.llm.hashing import SPACE, word_hashes
+
+# White space that `units` doesn't know; texts that hold any are encoded in one piece.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
-# Units remembered by a task; beyond, it begins anew. About 250 bytes each.
-MAX_UNITS = 300_000
+# Distinct units remembered by a task, about 40 bytes each; beyond, it begins anew.
+MAX_UNITS = 2_000_000
+SLICE_BYTES = 2 << 20
+
+ALNUM, MARK, LETTER_LEAD = (np.zeros(256, bool) for _ in range(3))
+for _low, _high in ((48, 57), (65, 90), (97, 122)):
+    ALNUM[_low:_high + 1] = True
+for _low, _high in ((33, 47), (58, 64), (91, 96), (123, 126)):
+    MARK[_low:_high + 1] = True
+LETTER_LEAD[0xC3:0xCA] = True  # of two-byte letters, but for the signs of multiplication and division
+
+
+def units(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the units of some UTF-8 texts begin; `begins` are the texts' own begins.
+
+    A unit is white space and what follows, up to the next white space, or to a sentence mark behind
+    a letter or digit. No pre-token of the tokenizers used here reaches over these places, so that
+    units encode alone as they do in their text.
+    """
+    if not len(data):
+        return np.zeros(0, np.int64)
+    start = np.zeros(len(data), bool)
+    space, mark = SPACE[data], MARK[data]
+    start[1:] = space[1:] & ~space[:-1]
+    before = ALNUM[data[:-1]]
+    long = (data[1:-1] & 0xC0 == 0x80) & LETTER_LEAD[data[:-2]] & ~((data[:-2] == 0xC3) & ((data[1:-1] == 0x97) | (data[1:-1] == 0xB7)))
+    before[1:] |= long
+    start[1:] |= mark[1:] & before
+    start[begins[begins < len(data)]] = True
+    return np.flatnonzero(start)
 
 
 class Encoder:
     """Ids of whole texts as little-endian unsigned integers of `dtype`, with an end id.
 
-    Units seen before in the task are looked up. The result is that of the tokenizer on the text.
+    Units seen before in the task are looked up by a 64-bit hash; only new ones go to the tokenizer.
+    The result is that of the tokenizer on the text.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -30,28 +59,84 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+        self._forget()
+
+    def _forget(self) -> None:
+        # Sorted hashes of the known units; where their ids begin and end in the pool.
+        self.keys, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        found = self._whole(texts)
+        length = np.array([len(x) for x in found], np.int64)
+        ids = np.fromiter(chain.from_iterable(found), self.dtype, int(length.sum()))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        self.pool[self.used:self.used + len(ids)] = ids
+        at = np.searchsorted(self.keys, keys)  # both are sorted
+        self.begin = np.insert(self.begin, at, self.used + np.cumsum(length) - length)
+        self.length = np.insert(self.length, at, length)
+        self.keys, self.used = np.insert(self.keys, at, keys), self.used + len(ids)
+
+    def _slice(self, texts: list[bytes]) -> list[bytes]:
+        sizes = np.array([len(t) for t in texts], np.int64)
+        raw, text_begin = b"".join(texts), np.cumsum(sizes) - sizes
+        data = np.frombuffer(raw, np.uint8)
+        begins = units(data, text_begin)
+        ends = np.append(begins[1:], len(data))[:len(begins)]
+        keys, first, unit = np.unique(word_hashes(data, begins, ends), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > MAX_UNITS:
+            self._forget()
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        new = np.flatnonzero(~known)
+        if len(new):
+            self._learn(keys[new], [raw[begins[i]:ends[i]].decode("utf-8", "surrogatepass") for i in first[new]])
+            at = np.searchsorted(self.keys, keys)
+        length = self.length[at][unit]
+        stop = np.cumsum(length)
+        # Ids of all units in order: where each unit's ids lie in the pool, id by id.
+        ids = self.pool[np.repeat(self.begin[at][unit] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
+        bounds = np.concatenate(([0], stop))[np.searchsorted(begins, np.append(text_begin, len(data)))]
+        return [ids[a:b].tobytes() + self.end for a, b in zip(bounds[:-1], bounds[1:])]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The bytes of each text's ids and the end id; null is an empty text."""
-        cut = [None if t is None or ODD_SPACE.search(t) else UNITS.findall(t) for t in texts]
-        new = {u for units in cut if units for u in units if u not in self.known}
-        if new:
-            if len(self.known) + len(new) > MAX_UNITS:
-                self.known = {}
-                new = {u for units in cut if units for u in units}
-            order = sorted(new)
-            self.known.update(zip(order, self._whole(order)))
-        known, end = self.known, self.end
-        return [(b"".join([known[u] for u in units]) if units is not None
-                 else self._whole([text or ""])[0]) + end for text, units in zip(texts, cut)]
-
-
-def encoded_rows(batches: Iterator[pa.RecordBatch], encoder: Encoder, step: int = 128) -> Iterator[tuple[int | None, bytes]]:
+        out: list[bytes] = []
+        held: list[bytes] = []
+        for text in texts:
+            if text and ODD_SPACE.search(text):
+                out += self._slice(held) if held else []
+                held = []
+                out.append(np.array(self._whole([text])[0], self.dtype).tobytes() + self.end)
+            else:
+                held.append((text or "").encode("utf-8", "surrogatepass"))
+                if sum(map(len, held)) > SLICE_BYTES:
+                    out += self._slice(held)
+                    held = []
+        return out + (self._slice(held) if held else [])
+
+
+ENCODERS: dict[tuple[str, int], Encoder] = {}
+
+
+def worker_encoder(path: str, end_id: int) -> Encoder:
+    """This Python worker's encoder, with the units of its earlier tasks where the package can be imported."""
+    try:
+        from lakeops.llm import tokens as home
+    except ImportError:
+        return Encoder(path, end_id)
+    if (path, end_id) not in home.ENCODERS:
+        home.ENCODERS[path, end_id] = home.Encoder(path, end_id)
+    return home.ENCODERS[path, end_id]
+
+
+def encoded_rows(batches: Iterator[pa.RecordBatch], encoder: Encoder, step: int = 512) -> Iterator[tuple[int | None, bytes]]:
     """(first column, ids of the second) of each row; `step` rows are encoded at a time."""
     for batch in batches:
         for at in range(0, batch.num_rows, step):
