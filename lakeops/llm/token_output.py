@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.llm.registry import query, table
-from lakeops.llm.tokens import Encoder, encoded_rows, vocabulary
+from lakeops.llm.tokens import encoded_rows, vocabulary, worker_encoder
 from lakeops.session import scratch_dir
 
 BLOCK = 1024
@@ -141,7 +141,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, end_id: int,
     schema = pa.schema([("shard", pa.int64()), ("segment", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary_path, end_id)
+        encoder = worker_encoder(vocabulary_path, end_id)
         shard, segment, start, keys, parts, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def done():
