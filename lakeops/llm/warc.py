@@ -24,6 +24,7 @@ END = "\r\n\r\n"
 RECORDS_PER_FILE = 5_000
 MIN_REVISIT_BYTES = 100
 RANGE_ROWS = 50_000
+MAX_BROADCAST_ROWS = 100_000  # of repeated payloads' digests, about 150 bytes each
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -68,7 +69,11 @@ def write_archives(pages: DataFrame, path: str, date: Column, id_col: str = "pag
     rows = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{url_col}`").alias("uri"),
                         date.alias("date"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("bytes", F.octet_length("payload"))
-    firsts = _first_captures(rows.select("id", "digest", "bytes"), min_bytes)
+    firsts_path = scratch_dir(pages.sparkSession, "payloads")
+    _first_captures(rows.select("id", "digest", "bytes"), min_bytes).write.parquet(firsts_path)
+    firsts = pages.sparkSession.read.parquet(firsts_path)
+    if firsts.count() <= MAX_BROADCAST_ROWS:  # else the payloads are shuffled by digest
+        firsts = F.broadcast(firsts)
     marked = rows.join(firsts, "digest", "left").withColumn(
         "refers_to", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")))
     (marked.select(_record(F.col("date")).alias("value")).write.option("lineSep", END)
