@@ -165,3 +165,12 @@ def test_alerts_flag_gap_low_count_and_growth(spark):
     assert last.low_count and last.stale and last.dirty and last.growth
     assert not out["2024-01-02"].low_count and not out["2024-01-02"].stale
     assert out["2024-01-08"].growth  # 800 rows, a week before 100
+
+
+def test_generated_columns_are_computed_or_checked(spark):
+    df = spark.createDataFrame([(2, 5, 10), (3, 4, None)], "a int, b int, area int")
+    area = {"area": F.col("a") * F.col("b")}
+    assert rows(schema.with_generated(df, area)) == [(2, 5, 10), (3, 4, 12)]
+    assert rows(schema.with_generated(df.drop("area"), area)) == [(2, 5, 10), (3, 4, 12)]
+    with pytest.raises(PySparkException, match="generated value"):
+        schema.with_generated(df.na.fill(1), area).collect()
