@@ -13,8 +13,8 @@ its windows reach back to.
 4. Each range is sorted by a multikey quicksort. For each distance from a window's start to its
    token, neighbours that agree on the rest of the window form runs; within a run, windows with
    equal bytes before the token are equal, and all but those of the least document are removed.
-5. Runs that reach a range's end may go on in the next one: their windows, by hash, are compared
-   across ranges in one aggregation.
+5. Runs that reach a range's end may go on in the next one: of each of their windows, the least
+   document's is compared across ranges, by hash, in one aggregation.
 """
 
 from __future__ import annotations
@@ -179,24 +179,34 @@ def _suffixes(splitters: list[bytes]):
     schema = pa.schema([("part", pa.int32()), ("right", pa.binary()), ("left", pa.binary()), ("doc", pa.int64()),
                         ("text_hash", pa.int64()), ("place", pa.int64())])
 
+    def ranged(right: list[bytes], left: list[bytes], held: list[tuple]) -> pa.RecordBatch:
+        doc, text_hash = (np.repeat(np.array([h[i] for h in held], np.int64), [len(h[2]) for h in held]) for i in (0, 1))
+        # The bytes and a mark behind them, since S-arrays drop zero bytes at the end.
+        keys = np.array([r + b"\x01" for r in right], cuts.dtype) if len(cuts) else np.zeros(len(right), "S1")
+        low, high = np.searchsorted(cuts, keys, "left"), np.searchsorted(cuts, keys, "right")
+        part = low + (mix(doc.view(np.uint64)) % (high - low + 1).astype(np.uint64)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([
+            pa.array(part, pa.int32()), pa.array(right, pa.binary()), pa.array(left, pa.binary()), pa.array(doc),
+            pa.array(text_hash), pa.array(np.concatenate([h[2] for h in held]))], schema=schema)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        right, left, held = [], [], []
         for batch in batches:
             for doc, text_hash, packed, lists in zip(*(c.to_pylist() for c in batch.columns)):
                 (data,) = _unpack(packed, "u1")
                 raw = data.tobytes()
                 place, first, last, _ = tokens(data)
-                mine = np.isin(place, np.concatenate([np.frombuffer(x, "<u4") for x in lists]).astype(np.int64))
-                place, first, last = place[mine], first[mine], last[mine]
-                right = [raw[a:b + LENGTH] for a, b in zip(place.tolist(), last.tolist())]
-                # The bytes and a mark behind them, since S-arrays drop zero bytes at the end.
-                keys = np.array([r + b"\x01" for r in right], cuts.dtype) if len(cuts) else np.zeros(len(right), "S1")
-                low, high = np.searchsorted(cuts, keys, "left"), np.searchsorted(cuts, keys, "right")
-                part = low + (mix(np.full(len(low), doc, np.int64).view(np.uint64)) % (high - low + 1).astype(np.uint64)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(part, pa.int32()), pa.array(right, pa.binary()),
-                    pa.array([raw[b:a] for a, b in zip(place.tolist(), first.tolist())], pa.binary()),
-                    pa.array(np.full(len(part), doc), pa.int64()), pa.array(np.full(len(part), text_hash), pa.int64()),
-                    pa.array(place, pa.int64())], schema=schema)
+                mine = np.isin(place, np.frombuffer(b"".join(lists), "<u4").astype(np.int64))
+                place, first, last = place[mine], first[mine].tolist(), last[mine].tolist()
+                at = place.tolist()
+                right += [raw[a:b + LENGTH] for a, b in zip(at, last)]
+                left += [raw[b:a] for a, b in zip(at, first)]
+                held.append((doc, text_hash, place))
+                if len(right) >= 20_000:
+                    yield ranged(right, left, held)
+                    right, left, held = [], [], []
+        if right:
+            yield ranged(right, left, held)
 
     return cut
 
@@ -268,8 +278,9 @@ def _compare_range(group: pa.Table) -> pa.Table:
         unique, group_of = np.unique(keys, return_inverse=True)
         least = np.full(len(unique), LAST, np.int64)
         np.minimum.at(least, group_of, doc[rows])
-        outer = np.isin(run[rows], (run[0], run[-1]))
-        hit = rows[(least[group_of] < doc[rows]) & ~outer]
+        first = least[group_of] == doc[rows]
+        outer = first & np.isin(run[rows], (run[0], run[-1]))  # only the range's first may have an earlier one elsewhere
+        hit = rows[~first]
         furthest[hit] = back
         nearest[hit] = np.minimum(nearest[hit], back)
         if outer.any():
@@ -283,15 +294,12 @@ def _compare_range(group: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc", "text_hash", "begin", "end", "window"), [*columns, windows])})
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def merged(begins: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """Spans in order, those that touch or overlap as one."""
-    out: list[tuple[int, int]] = []
-    for begin, end in sorted(spans):
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
-        else:
-            out.append((begin, end))
-    return out
+    order = np.argsort(begins, kind="stable")
+    begins, reach = begins[order], np.maximum.accumulate(ends[order])
+    new = np.flatnonzero(begins[1:] > reach[:-1]) + 1
+    return list(zip(begins[np.append(0, new)].tolist(), reach[np.append(new, len(reach)) - 1].tolist())) if len(begins) else []
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
@@ -369,7 +377,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
               .withColumn("copy", F.coalesce(F.col("first") < F.col("doc"), F.lit(False))))
     sources = marked.where("NOT copy").select("doc", "text_hash", "text")
     spans = (repeated_spans(sources, total).groupBy("doc", "text_hash")
-             .agg(F.collect_list(F.struct("begin", "end")).alias("found")))
+             .agg(F.collect_list(F.shiftleft("begin", 32).bitwiseOR(F.col("end"))).alias("found")))  # a text has below 2 ** 31 bytes
     span_type = "array<struct<begin:bigint,end:bigint>>"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,7 +388,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out, part = [], batch.slice(at, 256)
                 for key, copy, content, found in zip(*(c.to_pylist() for c in part.columns[:4])):
                     data = _bytes_of(content)
-                    gone = merged([(0, len(data))] if copy else [(s["begin"], s["end"]) for s in found or ()])
+                    spans = np.array([len(data)] if copy else found or [], np.int64)
+                    gone = merged(spans >> 32, spans & 0xFFFFFFFF)
                     edges = [0, *(x for s in gone for x in s), len(data)]
                     kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
                     out.append((key, len(data), [{"begin": a, "end": b} for a, b in gone], kept, kept.decode("utf-8", "ignore")))
