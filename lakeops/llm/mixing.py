@@ -18,6 +18,7 @@ from lakeops.operators.skew import range_slices
 from lakeops.session import scratch_dir
 
 SLICE_ROWS = 100_000
+MAX_BROADCAST_SOURCES = 100_000  # about 100 bytes each
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, cap: float) -> DataFrame:
@@ -35,8 +36,10 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, cap:
     level = ranked.withColumn("level", F.expr(
         f"(total - coalesce(sum(most) OVER {order} UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / "
         f"sum(weight) OVER {order} CURRENT ROW AND UNBOUNDED FOLLOWING)"))
-    # The first source in this order that isn't capped has the level of all that aren't.
-    free = level.withColumn("free", F.expr("min(CASE WHEN level < most / weight THEN struct(most / weight AS m, level) END) OVER ()"))
+    # The first source in this order that isn't capped has the level of all that aren't (ties included).
+    level = level.withColumn("place", F.expr("row_number() OVER (ORDER BY most / weight, source ASC NULLS LAST)"))
+    free = level.withColumn("free", F.expr(
+        "min(CASE WHEN level < most / weight THEN struct(place, most / weight AS m, level) END) OVER ()"))
     capped = F.col("free").isNull() | (F.col("most") / F.col("weight") < F.col("free.m"))
     return free.select("source", "source_size", F.when(capped, F.col("most")).otherwise(
         F.col("free.level") * F.col("weight")).alias("target"))
@@ -86,7 +89,15 @@ def mix_plan(rows: DataFrame, weights: Sequence[int], share: float, cap: float,
 
 
 def mix(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """The rows with `source_size`, `target` and `times`, how often the mix takes each."""
+    """The rows with `source_size`, `target` and `times`, how often the mix takes each.
+
+    The plan is written first, and sent to every task if it has few enough sources.
+    """
+    path = scratch_dir(rows.sparkSession, "plan")
+    plan.write.parquet(path)
+    plan = rows.sparkSession.read.parquet(path)
+    if plan.count() <= MAX_BROADCAST_SOURCES:
+        plan = F.broadcast(plan)
     mine = F.expr("struct(key, coalesce(id, -9223372036854775808L) AS id, size)")
     more = F.coalesce(mine <= F.col("last"), F.lit(False)).cast("bigint")
     return (rows.alias("r").join(plan.alias("p"), F.expr("r.source <=> p.source"))
@@ -150,8 +161,9 @@ w AS (
          2.0::DOUBLE * source_size AS most, 1.5::DOUBLE * sum(source_size) OVER () AS total FROM s),
 l AS (
   SELECT *, (total - coalesce(sum(most) OVER (ORDER BY most / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-         / sum(weight) OVER (ORDER BY most / weight, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-f AS (SELECT min(most / weight) AS m, min_by(level, most / weight) AS free FROM l WHERE level < most / weight),
+         / sum(weight) OVER (ORDER BY most / weight, source ASC NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+         row_number() OVER (ORDER BY most / weight, source ASC NULLS LAST) AS place FROM w),
+f AS (SELECT min(most / weight) AS m, min_by(level, place) AS free FROM l WHERE level < most / weight),
 t AS (
   SELECT source, source_size, CASE WHEN m IS NULL OR most / weight < m THEN most ELSE free * weight END AS target FROM l LEFT JOIN f ON true),
 r AS (
