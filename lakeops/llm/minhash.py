@@ -8,8 +8,8 @@ shingles there are, and equal coordinates estimate the similarity as independent
 Texts with equal sets are one class. Classes that agree on a band of four coordinates meet in a
 bucket, where each is paired with one representative, another one in each band. Pairs are tested
 on whole texts, best estimate first, until no untested pair joins two components. Buckets that
-still hold several components are then searched block against block by the sketches, without
-listing their pairs. So components are exact up to the sketches' error (README).
+still hold several components are then searched block against block by the sketches and finer
+ones, without listing their pairs. So components are exact up to the sketches' error (README).
 """
 
 from __future__ import annotations
@@ -29,27 +29,32 @@ COORDINATES, ROWS = 128, 4
 BANDS = COORDINATES // ROWS
 # Pairs below this estimate aren't tested: more than four standard deviations under 0.75.
 LEAST_ESTIMATE = 0.58
+# The same for the finer sketches of classes in buckets that hold several components.
+FINE_COORDINATES, LEAST_FINE = 1024, 0.69
 BLOCK_ROWS = 512
 
 
-def sketch(items: np.ndarray) -> np.ndarray:
-    """The sketch of a set of 64-bit hashes: round and hash for each bin. Not for the empty set."""
-    bins = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
-    shift = np.uint64(64 - (COORDINATES.bit_length() - 1))
+def sketch(items: np.ndarray, size: int = COORDINATES) -> np.ndarray:
+    """The sketch of a set of 64-bit hashes: round and hash for each of `size` bins (a power of two).
+
+    Not for the empty set.
+    """
+    bins = np.full(size, np.iinfo(np.uint64).max, np.uint64)
+    shift = np.uint64(64 - (size.bit_length() - 1))
     begin = 0
-    while begin < COORDINATES:
+    while begin < size:
         # As many rounds at once as make about 4096 hashes.
-        rounds = np.arange(begin, min(COORDINATES, begin + max(1, 4096 // len(items))), dtype=np.uint64)
+        rounds = np.arange(begin, min(size, begin + max(1, 4096 // len(items))), dtype=np.uint64)
         hashes = mix(items[None, :] + mix(rounds + np.uint64(1))[:, None])
-        values = (hashes >> np.uint64(8)) | (rounds << np.uint64(56))[:, None]
+        values = (hashes >> np.uint64(12)) | (rounds << np.uint64(52))[:, None]
         # The bin is taken from the top bits, the value's order from others.
         np.minimum.at(bins, (mix(hashes) >> shift).ravel(), values.ravel())
         begin += len(rounds)
-        if bins.max() < np.uint64(begin << 56):
+        if bins.max() < np.uint64(begin << 52):
             return bins
     for i in np.flatnonzero(bins == np.iinfo(np.uint64).max):
-        r = np.array([COORDINATES + i], np.uint64)
-        bins[i] = (mix(items + mix(r + np.uint64(1))) >> np.uint64(8)).min() | (r << np.uint64(56))[0]
+        r = np.array([size + i], np.uint64)
+        bins[i] = (mix(items + mix(r + np.uint64(1))) >> np.uint64(12)).min() | (r << np.uint64(52))[0]
     return bins
 
 
@@ -118,17 +123,30 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(found[keep], pa.float64())], names=["a", "b", "likely"])
 
 
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, text) -> (class, a byte for each coordinate of a finer sketch)."""
+    for batch in batches:
+        marks = [mix(sketch(shingles(t), FINE_COORDINATES)).astype(np.uint8).tobytes() for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary())], names=["class", "fine"])
+
+
 def _block_pairs(group: pa.Table) -> pa.Table:
-    """The likely pairs of different components between two blocks of a bucket."""
+    """The likely pairs of different components between two blocks of a bucket.
+
+    A pair that meets in several buckets is looked at in the first band's.
+    """
     node, part, root, n = (group.column(c).to_numpy() for c in ("class", "part", "root", "n"))
-    marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    marks, fine = (np.frombuffer(b"".join(group.column(c).to_pylist()), np.uint8).reshape(len(node), -1) for c in ("marks", "fine"))
+    bands = np.array(group.column("bands").to_pylist(), np.int64)
+    i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
     right = np.flatnonzero(part == j)
     out = []
     for row in np.flatnonzero(part == i):
         others = right[(root[right] != root[row]) & (4 * np.minimum(n[right], n[row]) >= 3 * np.maximum(n[right], n[row]))]
-        likely = estimate(marks[row], marks[others]) if len(others) else np.zeros(0)
-        out += [(min(node[row], node[o]), max(node[row], node[o]), p) for o, p in zip(others, likely) if p >= LEAST_ESTIMATE]
+        others = others[estimate(marks[row], marks[others]) >= LEAST_ESTIMATE]
+        others = others[~(bands[row, :band] == bands[others, :band]).any(axis=1)]
+        likely = estimate(fine[row], fine[others])
+        out += [(min(node[row], node[o]), max(node[row], node[o]), p) for o, p in zip(others, likely) if p >= LEAST_FINE]
     a, b, likely = zip(*set(out)) if out else ([], [], [])
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "likely": pa.array(likely, pa.float64())})
 
@@ -155,13 +173,16 @@ class _Search:
         left = self.rooted(self.rooted(pairs, "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b", "likely")
         return left if self.tested is None else left.join(self.tested, ["a", "b"], "left_anti")
 
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """(class, text) of the classes in column `class`."""
+        ids = self.classes.join(wanted, "class", "left_semi").select("class", "rep.id", "rep.text_hash")
+        return (ids.alias("i").join(self.docs.alias("d"), F.expr("i.text_hash = d.text_hash AND i.id <=> d.id"))
+                .select("class", "text"))
+
     def test(self, pairs: DataFrame) -> None:
         """Test pairs on their whole texts and bring the components up to date."""
         pairs = saved(pairs.select("a", "b").distinct(), "pairs")
-        wanted = pairs.select(F.col("a").alias("class")).unionAll(pairs.select("b")).distinct()
-        ids = self.classes.join(wanted, "class", "left_semi").select("class", "rep.id", "rep.text_hash")
-        texts = (ids.alias("i").join(self.docs.alias("d"), F.expr("i.text_hash = d.text_hash AND i.id <=> d.id"))
-                 .select("class", "text"))
+        texts = self.texts(pairs.select(F.col("a").alias("class")).unionAll(pairs.select("b")).distinct())
         one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
         two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
         found = saved(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
@@ -201,8 +222,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, block_rows: int) -> Da
     salt = F.xxhash64("band")
     banded = classes.select("class", F.posexplode("bands").alias("band", "key"))
     buckets = (banded.groupBy("key", "band").agg(F.min(F.col("class").bitwiseXOR(salt)).alias("least"), F.count(F.lit(1)).alias("size"))
-               .where("size > 1").select("key", F.col("least").bitwiseXOR(salt).alias("star"), "size"))
-    members = saved(banded.select("class", "key").join(buckets, "key"), "buckets")
+               .where("size > 1").select("key", "band", F.col("least").bitwiseXOR(salt).alias("star"), "size"))
+    members = saved(banded.join(buckets, ["key", "band"]), "buckets")
     marked = classes.select("class", "n", "marks")
     one, two = (marked.select(F.col("class").alias(c), F.col("n").alias(f"n{c}"), F.col("marks").alias(f"m{c}")) for c in "ab")
     stars = members.where("class <> star").select(F.least("class", "star").alias("a"), F.greatest("class", "star").alias("b")).distinct()
@@ -212,14 +233,16 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, block_rows: int) -> Da
     search.test(best_pairs(pairs))
     search.test(search.between(pairs))
     # Buckets of three and more that still hold several components.
-    rooted = saved(search.rooted(members.where("size > 2").select("key", "class", "size"), "class", "root"), "rooted")
+    rooted = saved(search.rooted(members.where("size > 2").select("key", "band", "class"), "class", "root"), "rooted")
     open_keys = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
                  .where("lo <> hi").select("key", F.ceil(F.col("members") / block_rows).cast("int").alias("parts")))
-    blocks = (rooted.select("key", "class", "root").join(open_keys, "key").join(marked, "class")
+    open_rows = saved(rooted.join(open_keys, "key"), "open")
+    fine = search.texts(open_rows.select("class").distinct()).mapInArrow(_fine, "class bigint, fine binary").dropDuplicates(["class"])
+    blocks = (open_rows.join(classes.select("class", "n", "marks", "bands"), "class").join(fine, "class")
               .withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
               .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
-    more = (blocks.select("key", "i", "j", "part", "class", "root", "n", "marks").groupBy("key", "i", "j")
+    more = (blocks.select("key", "band", "i", "j", "part", "class", "root", "n", "marks", "bands", "fine").groupBy("key", "band", "i", "j")
             .applyInArrow(_block_pairs, "a bigint, b bigint, likely double"))
     search.test(search.between(saved(more, "more")))
     roots = search.rooted(classes.select("class", "rep"), "class", "root")
