@@ -75,6 +75,14 @@ def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFr
             marked.where(F.size("violations") > 0))
 
 
+def write_split(df: DataFrame, rules: Sequence[Rule], path: str) -> tuple[DataFrame, DataFrame]:
+    """The two parts of `split_valid`, written in one pass as partitions `valid` of one folder, and read back."""
+    marked = with_violations(df, rules).withColumn("valid", F.size("violations") == 0)
+    marked.write.mode("errorifexists").partitionBy("valid").parquet(path)
+    stored = df.sparkSession.read.schema(marked.schema).parquet(path)
+    return stored.where("valid").drop("valid", "violations"), stored.where("NOT valid").drop("valid")
+
+
 def check_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """Raise unless the frame has exactly the columns and types of `schema`, in any order."""
     have = {f.name: f.dataType for f in df.schema.fields}

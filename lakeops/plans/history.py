@@ -23,22 +23,26 @@ from lakeops.plans.changes import (
 from lakeops.plans.registry import query
 
 
-@query("commit_log", f"WITH {LOG} SELECT {CHANGE_COLUMNS} FROM log")
-def commit_log(t: Tables) -> DataFrame:
-    """Four commits, each read back from the log before the next."""
+def committed(t: Tables) -> str:
+    """The folder of a log of four commits, each read back from the log before the next."""
     path = t.scratch("log")
     orders = t.keyed_orders()
     early = "order_datetime_ts < timestamp_ntz'2000-01-01'"
 
     def newest(version: int) -> DataFrame:
-        return versions.as_of_version(versions.read_log(t.spark, path), KEY, version, oldest=0)
+        return versions.as_of_version(versions.read_log(t.spark, path), KEY, version)
 
     versions.commit(path, cdc.insert_changes(orders.where(early).select(*LOG_COLUMNS)), 0, "2024-01-01")
     versions.commit(path, cdc.insert_changes(orders.where(f"NOT ({early})").select(*LOG_COLUMNS)), 1, "2024-01-02")
     versions.commit(path, cdc.update_changes(newest(1), {"line_total": "line_total * 0.9"}, "state = 'NATION_7'"),
                     2, "2024-01-03")
     versions.commit(path, cdc.delete_changes(newest(2), "line_total < 20000"), 3, "2024-01-04")
-    return as_double(versions.read_log(t.spark, path))
+    return path
+
+
+@query("commit_log", f"WITH {LOG} SELECT {CHANGE_COLUMNS} FROM log")
+def commit_log(t: Tables) -> DataFrame:
+    return as_double(versions.read_log(t.spark, committed(t)))
 
 
 @query("as_of_version", f"WITH {LOG} {STATE_2}")
@@ -48,7 +52,9 @@ def as_of_version(t: Tables) -> DataFrame:
 
 @query("as_of_timestamp", f"WITH {LOG} {STATE_0}")
 def as_of_timestamp(t: Tables) -> DataFrame:
-    return as_double(versions.as_of_timestamp(order_log(t), KEY, "2024-01-01 18:30:00"))
+    path = committed(t)
+    return as_double(versions.as_of_timestamp(versions.read_log(t.spark, path), KEY, "2024-01-01 18:30:00",
+                                              versions.commits(t.spark, path)))
 
 
 @query("history", f"""WITH {LOG}
@@ -59,7 +65,8 @@ SELECT _commit_version AS version, {AT.replace('AS _commit_timestamp', 'AS times
        CASE _commit_version WHEN 2 THEN 'UPDATE' WHEN 3 THEN 'DELETE' ELSE 'WRITE' END AS operation
 FROM log GROUP BY _commit_version""")
 def history(t: Tables) -> DataFrame:
-    return versions.history(order_log(t))
+    path = committed(t)
+    return versions.history(versions.read_log(t.spark, path), versions.commits(t.spark, path))
 
 
 @query("version_counts", f"""WITH {LOG}

@@ -162,7 +162,7 @@ def valid_rows(t: Tables) -> DataFrame:
 SELECT {_KEPT}, concat_ws(',', {', '.join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _BROKEN.items())}) AS reasons
 FROM loans WHERE {' OR '.join(_BROKEN.values())}""")
 def rejected_rows(t: Tables) -> DataFrame:
-    _, rejected = rl.split_valid(t.loans(), RULES)
+    _, rejected = rl.write_split(t.loans(), RULES, t.scratch("split"))
     return as_double(rejected.select("loan_id", "loan_amnt", "funded_amnt", "addr_state",
                                      F.array_join("violations", ",").alias("reasons")))
 

@@ -51,6 +51,13 @@ def test_null_passes_check_but_fails_expectation(spark):
     assert rules.expect(df, {"funded": "funded_amnt >= 0"}).count() == 1  # warn is the default
 
 
+def test_both_parts_are_written_in_one_pass(spark, tmp_path):
+    df = loans(spark, (100, 50, "CA"), (None, 5, "NY"), (100, 200, None))
+    want = rules.split_valid(df, RULES)
+    got = rules.write_split(df, RULES, str(tmp_path / "split"))
+    assert [rows(p) for p in got] == [rows(p) for p in want] and got[0].columns == df.columns
+
+
 def test_split_valid_is_a_partition_with_all_reasons(spark):
     df = loans(spark, *GOOD, (None, 5, "CA"), (-1, 5, "CA"))
     valid, rejected = rules.split_valid(df, RULES)
