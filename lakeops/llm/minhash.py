@@ -182,12 +182,16 @@ class _Search:
     def test(self, pairs: DataFrame) -> None:
         """Test pairs on their whole texts and bring the components up to date."""
         pairs = saved(pairs.select("a", "b").distinct(), "pairs")
+        if pairs.isEmpty():
+            return
         texts = self.texts(pairs.select(F.col("a").alias("class")).unionAll(pairs.select("b")).distinct())
         one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
         two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
         found = saved(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
                       .mapInArrow(_links, "a bigint, b bigint"), "links")
         self.tested = pairs if self.tested is None else self.tested.unionAll(pairs)
+        if found.isEmpty():
+            return
         self.links = found if self.links is None else self.links.unionAll(found)
         self.groups = saved(components(self.links), "groups")
 
