@@ -36,6 +36,7 @@ BUCKET_TOKENS, RANGE_SUFFIXES, SAMPLE = 500_000, 100_000, 20_000
 FLUSH_BYTES = 4 << 20
 # So many groups of copies may be sent to every task (24 bytes each); beyond, they are joined by shuffle.
 MAX_BROADCAST_GROUPS = 200_000
+MARK = b"\x01"  # behind a suffix's bytes, since arrays of bytes drop zeros at the end
 LAST = (1 << 63) - 1  # the place of a null id: after all others
 
 
@@ -181,8 +182,7 @@ def _suffixes(splitters: list[bytes]):
 
     def ranged(right: list[bytes], left: list[bytes], held: list[tuple]) -> pa.RecordBatch:
         doc, text_hash = (np.repeat(np.array([h[i] for h in held], np.int64), [len(h[2]) for h in held]) for i in (0, 1))
-        # The bytes and a mark behind them, since S-arrays drop zero bytes at the end.
-        keys = np.array([r + b"\x01" for r in right], cuts.dtype) if len(cuts) else np.zeros(len(right), "S1")
+        keys = np.array([r + MARK for r in right], cuts.dtype) if len(cuts) else np.zeros(len(right), "S1")
         low, high = np.searchsorted(cuts, keys, "left"), np.searchsorted(cuts, keys, "right")
         part = low + (mix(doc.view(np.uint64)) % (high - low + 1).astype(np.uint64)).astype(np.int64)
         return pa.RecordBatch.from_arrays([
@@ -239,17 +239,18 @@ def common_prefix(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 FOUND = "doc bigint, text_hash bigint, begin bigint, end bigint, window bigint"
 
 
-def _padded(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Byte strings as rows of `width`, filled up with zeros; their lengths."""
+def _padded(column: pa.ChunkedArray, width: int, mark: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings and a mark behind them as rows of `width`, filled up with zeros; the strings' lengths."""
     strings = column.to_pylist()
     lengths = np.array([len(s) for s in strings], np.int64)
-    return np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), np.uint8).reshape(-1, width), lengths
+    return np.frombuffer(b"".join((s + mark).ljust(width, b"\0") for s in strings), np.uint8).reshape(-1, width), lengths
 
 
 def _compare_range(group: pa.Table) -> pa.Table:
     """Repeated stretches of a range's suffixes, and the windows (by hash) that other ranges may hold, too."""
-    width = -(-LENGTH // 8) * 8
-    right, right_n = _padded(group.column("right"), width)
+    # Marked like the splitters' keys, so that rows lie in the order of the ranges whatever bytes they hold.
+    width = -(-(LENGTH + 1) // 8) * 8
+    right, right_n = _padded(group.column("right"), width, MARK)
     order = multikey_sort(right.view(">u8"))
     right, right_n = right[order], right_n[order]
     left, left_n = _padded(group.column("left"), REACH)
@@ -341,7 +342,7 @@ def repeated_spans(sources: DataFrame, total_bytes: int) -> DataFrame:
     if ranges > 1:
         # Bounded: about SAMPLE suffixes of at most LENGTH bytes come to the driver.
         drawn = suffixes([], max(1, total // SAMPLE)).select("right").limit(4 * SAMPLE).toArrow().column("right").to_pylist()
-        drawn = sorted(r + b"\x01" for r in drawn)
+        drawn = sorted(r + MARK for r in drawn)
         splitters = [drawn[len(drawn) * i // ranges] for i in range(1, ranges)] if drawn else []
     found = _saved(suffixes(splitters).groupBy("part").applyInArrow(_compare_range, FOUND), "repeats")
     open_ = found.where("window is not null")

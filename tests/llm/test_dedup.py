@@ -92,6 +92,8 @@ def byte_cases(rng):
         docs.append((rng.randrange(10**6), "".join(parts)))
     docs += [(7, "a" * 300), (8, "a" * 49), (9, "a" * 51), (10, "é" * 80), (11, "x" + "é" * 80), (12, "ab" * 60 + "c"), (13, "b" + "ab" * 60)]
     docs += [(20, None), (21, ""), (22, "\0" * 120), (23, "z" + "\0" * 90), (24, docs[0][1]), (5, docs[1][1])]
+    zeros = ["".join(rng.choice("\0\0\0\x01") for _ in range(70)) for _ in range(4)]
+    docs += [(1000 + i, rng.choice(zeros)[rng.randrange(15):] + "\0" * rng.randrange(40) + rng.choice(zeros)) for i in range(60)]
     long = prose(rng, 4000)
     return docs + [(30, long), (31, long[:9000] + "!" + long[9000:])]
 
