@@ -65,28 +65,27 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     all columns from the source. Source rows without a match are inserted, absent columns as NULL.
     Several source rows for one matched key raise, when the result is computed.
 
-    A source of at most `broadcast_bytes` (it is measured first) is broadcast, and the target not
-    shuffled: its rows stream by once for the updates, its keys once more for the inserts. A
-    larger one meets the target in one full outer join: both are read and shuffled once. The source
-    rows of one key are gathered in a row; those with a NULL key are spread.
+    A source whose keys, with a row of each, take at most `broadcast_bytes` (they are measured first)
+    is broadcast, and the target not shuffled: its rows stream by once for the updates, its keys once
+    more for the inserts. A larger one meets the target in one full outer join: both are read and
+    shuffled once. The rows of a key are never gathered: an aggregate keeps their count and one of
+    them, and rows of unmatched keys with several, or with a NULL key, are inserted from the source
+    itself; a larger source's keys are counted first, and only if there are such is it read again.
     """
     others = [c for c in target.columns if c not in keys]
     if set is None:
         set = {c: f"source.`{c}`" for c in others if c in source.columns}
-    some_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
-    hashed = [f"`{f.name}`" for f in source.schema.fields if f.dataType.typeName() != "map"]
-    spread = F.when(some_null, F.xxhash64(*hashed)).otherwise(F.lit(0)).alias("_spread")
-    one = source.groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys], spread).agg(
-        F.collect_list(struct_of(source.columns)).alias("_rows")).drop("_spread")
+    one = source.groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_n"), F.first(struct_of(source.columns)).alias("_source"))
     measured = broadcast_if_small(one, broadcast_bytes)
     small = measured is not one
     same = reduce(lambda a, b: a & b, [F.col(f"`{k}`") == F.col(f"`_k_{k}`") for k in keys])
     marked = target.withColumn("_met", F.lit(True))
     joined = marked.join(measured, same, "left" if small or not insert else "full_outer")
 
-    hit = F.col("_met").isNotNull() & F.col("_rows").isNotNull()
+    hit = F.col("_met").isNotNull() & F.col("_n").isNotNull()
     ambiguous = F.raise_error(F.lit("merge: several source rows match one target row"))
-    source_row = F.when(hit & (F.size("_rows") > 1), ambiguous.cast(source_type(source))).otherwise(F.get("_rows", F.lit(0)))
+    source_row = F.when(hit & (F.col("_n") > 1), ambiguous.cast(source_type(source))).otherwise(F.col("_source"))
     joined = joined.withColumn("source", source_row)
     if delete_when is not None:
         joined = joined.where(~(hit & F.coalesce(_expr(delete_when), F.lit(False))))
@@ -98,16 +97,34 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
         return struct_of_columns({c: (row[c] if c in source.columns else F.lit(None)).cast(target.schema[c].dataType)
                                   for c in target.columns})
 
+    def inserted(rows: DataFrame) -> DataFrame:
+        return rows.select(new(struct_of(source.columns)).alias("_row")).select("_row.*")
+
     if not insert:
         return joined.select(updated.alias("_row")).select("_row.*")
-    if not small:
-        rows = F.when(F.col("_met").isNotNull(), F.array(updated)).otherwise(F.transform("_rows", new))
-        return joined.select(F.explode(rows).alias("_row")).select("_row.*")
     key_columns = [F.col(f"`_k_{k}`").alias(k) for k in keys]
-    met = target.select(*keys).join(F.broadcast(one.select(*key_columns)), list(keys), "left_semi").distinct()
-    fresh = one.join(met, same, "left_anti")
-    return joined.select(updated.alias("_row")).select("_row.*").unionByName(
-        fresh.select(F.explode(F.transform("_rows", new)).alias("_row")).select("_row.*"))
+    if small:
+        met = target.select(*keys).join(F.broadcast(one.select(*key_columns)), list(keys), "left_semi").distinct()
+        return joined.select(updated.alias("_row")).select("_row.*").unionByName(
+            inserted(source.join(F.broadcast(met), list(keys), "left_anti")))
+
+    def some_null(names: Sequence[str]) -> Column:
+        return reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in names])
+
+    no_key = some_null([f"_k_{k}" for k in keys])
+    alone = (F.col("_n") == 1) & ~no_key
+    row = F.when(F.col("_met").isNotNull(), updated).otherwise(new(F.col("_source")))
+    merged = joined.where(F.col("_met").isNotNull() | alone).select(row.alias("_row")).select("_row.*")
+    if one.where(~alone).isEmpty():
+        return merged
+    several = one.where((F.col("_n") > 1) & ~no_key).select(*key_columns)
+    several_measured = broadcast_if_small(several, broadcast_bytes)
+    met = target.select(*keys).join(several_measured, list(keys), "left_semi").distinct()
+    unmet = several.join(met, list(keys), "left_anti")
+    if several_measured is not several:
+        unmet = F.broadcast(unmet)
+    return (merged.unionByName(inserted(source.join(unmet, list(keys), "left_semi")))
+            .unionByName(inserted(source.where(some_null(keys)))))
 
 
 def source_type(df: DataFrame) -> StructType:

@@ -1,6 +1,7 @@
 """Random workloads against plain Python."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,22 @@ def test_merge_updates_every_copy_of_a_hot_target_key(spark):
         assert out.where("k = 1 AND total = 9").count() == 100 and out.count() == 301
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 2000])
+@pytest.mark.parametrize("hot", [7, None])
+def test_merge_inserts_a_hot_unmatched_key_where_its_rows_lie(spark, tmp_path, hot, limit):
+    target = spark.range(1000, 1300).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("state"), F.lit(0).alias("total"))
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(1000 + F.col("id"))
+    spark.range(0, 6000, 1, 8).select(key.cast("int").alias("k"), F.lit("y").alias("state"), F.lit(9).alias("total")).where(
+        "k IS NULL OR k = 7 OR k >= 1300").unionByName(target.withColumn("total", F.lit(5))).write.parquet(str(tmp_path / "s"))
+    source = spark.read.parquet(str(tmp_path / "s"))
+    out = mutate.merge(target, source, KEY, {"total": "source.total"}, broadcast_bytes=limit)
+    got = Counter((r.k, r.state, r.total) for r in out.collect())
+    want = Counter((r.k, r.state, r.total) for r in source.where("state = 'y'").collect())
+    assert got == want + Counter((k, "x", 5) for k in range(1000, 1300)) and got[(hot, "y", 9)] == 2000
+    placed = out.where("k <=> %s" % ("NULL" if hot is None else hot)).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in placed) < 1500
+
+
 @pytest.mark.parametrize("seed", [8])
 def test_valid_and_rejected_rows_make_up_the_table(spark, seed):
     df = frame(spark, random_state(random.Random(seed), 80))
