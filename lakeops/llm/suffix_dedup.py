@@ -8,7 +8,7 @@ its windows reach back to.
 
 1. Texts equal to one with a smaller id are taken out: all of their windows repeat.
 2. Hashes of the tokens are dealt to buckets; suffixes whose token no other document has are left out.
-3. Splitters from a sample of the other suffixes cut them into ranges; a suffix as frequent as several
+3. Splitters from a sample of the other suffixes, drawn by a hash of text and place, cut them into ranges; a suffix as frequent as several
    ranges is dealt to all of these.
 4. Each range is sorted by a multikey quicksort. For each distance from a window's start to its
    token, neighbours that agree on the rest of the window form runs; within a run, windows with
@@ -32,7 +32,8 @@ from lakeops.session import scratch_dir
 LENGTH, TOKEN = 50, 20
 REACH = LENGTH - TOKEN + 1  # places of a token in a window
 SECTION = 1 << 20  # tokens are searched in so many bytes at a time
-BUCKET_TOKENS, RANGE_SUFFIXES, SAMPLE = 500_000, 100_000, 20_000
+BUCKET_TOKENS, RANGE_SUFFIXES = 500_000, 100_000
+SAMPLE, RANGE_SAMPLE = 20_000, 20  # suffixes drawn for splitters: at least, and for each range
 FLUSH_BYTES = 4 << 20
 # So many groups of copies may be sent to every task (24 bytes each); beyond, they are joined by shuffle.
 MAX_BROADCAST_GROUPS = 200_000
@@ -211,6 +212,39 @@ def _suffixes(splitters: list[bytes]):
     return cut
 
 
+def _sampled(share: int):
+    """(doc, text_hash, places) -> the same with one in `share` of the places, chosen by text and place."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, text_hash, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                place = np.frombuffer(packed, "<u4")
+                key = mix(place.astype(np.uint64) + np.array([text_hash], np.int64).view(np.uint64))
+                mine = place[key % np.uint64(share) == 0]
+                if len(mine):
+                    out.append((doc, text_hash, mine.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
+                                             names=["doc", "text_hash", "places"])
+
+    return sample
+
+
+def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, places) -> what `_suffixes` cuts from these places on; reads the bytes near them only."""
+    for batch in batches:
+        right: list[bytes] = []
+        for text, lists in zip(*(c.to_pylist() for c in batch.columns)):
+            raw = _bytes_of(text)
+            for at in np.frombuffer(b"".join(lists), "<u4").tolist():
+                begin = max(0, at - REACH + 1)  # of the first window that the token may lead
+                near = raw[begin:at + LENGTH]
+                place, _, last, _ = tokens(np.frombuffer(near, np.uint8))
+                right += [near[at - begin:b + LENGTH] for b in last[place == at - begin].tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(right, pa.binary())], names=["right"])
+
+
 def multikey_sort(rows: np.ndarray) -> np.ndarray:
     """The order of rows of 64-bit words: by the first word, then equal ones by the next, and so on."""
     order = np.argsort(rows[:, 0], kind="stable")
@@ -331,20 +365,24 @@ def repeated_spans(sources: DataFrame, total_bytes: int) -> DataFrame:
                     .applyInArrow(_shared_tokens, "doc bigint, text_hash bigint, n bigint, places binary"), "tokens")
     total = places.agg(F.sum("n")).first()[0] or 0
 
-    def suffixes(splitters: list[bytes], share: int = 1) -> DataFrame:
-        chosen = F.pmod(F.xxhash64("text_hash"), F.lit(share)) == 0
-        lists = places.where(chosen).groupBy("doc", "text_hash").agg(F.collect_list("places").alias("lists"))
-        return (_compressed(sources.where(chosen)).join(lists, ["doc", "text_hash"])
-                .select("doc", "text_hash", "packed", "lists").mapInArrow(_suffixes(splitters), SUFFIX))
-
     ranges = max(1, -(-total // RANGE_SUFFIXES))
     splitters: list[bytes] = []
     if ranges > 1:
-        # Bounded: about SAMPLE suffixes of at most LENGTH bytes come to the driver.
-        drawn = suffixes([], max(1, total // SAMPLE)).select("right").limit(4 * SAMPLE).toArrow().column("right").to_pylist()
+        # About so many suffixes of at most LENGTH bytes come to the driver.
+        wanted = max(SAMPLE, RANGE_SAMPLE * ranges)
+        chosen = (places.select("doc", "text_hash", "places")
+                  .mapInArrow(_sampled(max(1, total // wanted)), "doc bigint, text_hash bigint, places binary")
+                  .groupBy("doc", "text_hash").agg(F.collect_list("places").alias("lists")))
+        if wanted <= MAX_BROADCAST_GROUPS:
+            chosen = F.broadcast(chosen)
+        drawn = (sources.join(chosen, ["doc", "text_hash"]).select("text", "lists")
+                 .mapInArrow(_drawn, "right binary").toArrow().column("right").to_pylist())
         drawn = sorted(r + MARK for r in drawn)
         splitters = [drawn[len(drawn) * i // ranges] for i in range(1, ranges)] if drawn else []
-    found = _saved(suffixes(splitters).groupBy("part").applyInArrow(_compare_range, FOUND), "repeats")
+    lists = places.groupBy("doc", "text_hash").agg(F.collect_list("places").alias("lists"))
+    suffixes = (_compressed(sources).join(lists, ["doc", "text_hash"])
+                .select("doc", "text_hash", "packed", "lists").mapInArrow(_suffixes(splitters), SUFFIX))
+    found = _saved(suffixes.groupBy("part").applyInArrow(_compare_range, FOUND), "repeats")
     open_ = found.where("window is not null")
     least = open_.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
     across = open_.join(least, "window").where("least < doc").select("doc", "text_hash", "begin", "end")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +109,30 @@ def test_repeats_against_a_dictionary_of_strings(spark, monkeypatch, sizes):
     assert got == {(key, n, tuple(spans), kept) for (key, _), (n, spans, kept) in zip(docs, brute.removed(docs))}
 
 
+def test_few_long_documents_are_cut_into_ranges(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANGE_SUFFIXES", 400)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE", 300)
+    cuts, suffixes = [], suffix_dedup._suffixes
+    monkeypatch.setattr(suffix_dedup, "_suffixes", lambda splitters: cuts.append(splitters) or suffixes(splitters))
+    rng = random.Random(9)
+    text = prose(rng, 8000)
+    docs = [(i, text[:9000 * i] + prose(rng, 20) + text[9000 * i:]) for i in range(1, 4)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, tuple((s.begin, s.end) for s in r.spans), bytes(r.kept)) for r in suffix_dedup.remove_repeats(frame).collect()}
+    assert got == {(key, tuple(spans), kept) for (key, _), (_, spans, kept) in zip(docs, brute.removed(docs))}
+    assert len(set(cuts[-1])) > 10
+
+
+def test_drawn_suffixes_are_those_that_are_cut(spark):
+    rng = random.Random(10)
+    for text in (prose(rng, 300), "ab" * 60 + "c", "a" * 300, "\0" * 120, "é" * 80):
+        data = np.frombuffer(text.encode(), np.uint8)
+        place, _, last, _ = suffix_dedup.tokens(data)
+        batch = pa.RecordBatch.from_arrays([pa.array([text]), pa.array([[np.unique(place).astype("<u4").tobytes()]])], names=["text", "lists"])
+        (out,) = suffix_dedup._drawn([batch])
+        assert sorted(out.column(0).to_pylist()) == sorted(data.tobytes()[a:b + suffix_dedup.LENGTH] for a, b in zip(place, last))
+
+
 def test_repeats_in_sections_null_ids_and_nothing(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SECTION", 256)
     rng = random.Random(4)
