@@ -22,6 +22,8 @@ from lakeops.session import scratch_dir
 
 END = "\r\n\r\n"
 RECORDS_PER_FILE = 5_000
+ARCHIVE_BYTES = 64 << 20  # an archive is read back as one cell
+HEADER_BYTES = 1_024  # of a record, without its uri
 MIN_REVISIT_BYTES = 100
 RANGE_ROWS = 50_000
 MAX_BROADCAST_ROWS = 100_000  # of repeated payloads' digests, about 150 bytes each
@@ -57,6 +59,22 @@ def _record(date: Column) -> Column:
         F.lit(""), block)
 
 
+def _size_classes(sizes: DataFrame, records_per_file: int) -> list[tuple[int, int, int]]:
+    """(least size, size beyond, records for a file) of records that are written together.
+
+    So many of the largest of a class fill an archive at most; only one larger than an archive may
+    exceed it. `sizes` are measured by one aggregate, a row for each power of four.
+    """
+    power = F.ceil(F.log2(F.col("size").cast("double")) / 2).cast("int")
+    found = sorted(r["power"] for r in sizes.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("n")).collect())
+    classes = {}
+    for k in found:
+        n = max(1, min(records_per_file, ARCHIVE_BYTES >> 2 * k))
+        least = classes.get(n, (4 ** (k - 1) + 1,))[0]
+        classes[n] = (least, 4 ** k + 1, n)
+    return list(classes.values())
+
+
 def write_archives(pages: DataFrame, path: str, date: Column, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html", min_bytes: int = MIN_REVISIT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write a record per row; `date` is its time (UTC), from columns of `pages`.
@@ -64,7 +82,9 @@ def write_archives(pages: DataFrame, path: str, date: Column, id_col: str = "pag
     Of equal payloads of at least `min_bytes`, the one with the least id is a response and the others
     revisit it; rows that repeat the least id are responses, too. Null payloads are empty; a null url
     leaves its line out; a null id is never the least, unless all are null, when each is a response.
-    An empty table leaves an empty folder; other columns aren't read.
+    An empty table leaves an empty folder; other columns aren't read. An archive has at most
+    `records_per_file` records and some 64 MB: large records are written class by class of sizes,
+    each with fewer records a file.
     """
     rows = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{url_col}`").alias("uri"),
                         date.alias("date"), F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("payload"))
@@ -76,8 +96,12 @@ def write_archives(pages: DataFrame, path: str, date: Column, id_col: str = "pag
         firsts = F.broadcast(firsts)
     marked = rows.join(firsts, "digest", "left").withColumn(
         "refers_to", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")))
-    (marked.select(_record(F.col("date")).alias("value")).write.option("lineSep", END)
-     .option("maxRecordsPerFile", records_per_file).text(path))
+    size = F.col("bytes").cast("bigint") + 3 * F.coalesce(F.octet_length("uri"), F.lit(0)) + HEADER_BYTES  # an uri's line ends are escaped
+    classes = _size_classes(rows.select(size.alias("size")), records_per_file)
+    for least, beyond, records in classes or [(0, 0, records_per_file)]:
+        mine = marked.where((size >= least) & (size < beyond)) if len(classes) > 1 else marked
+        (mine.select(_record(F.col("date")).alias("value")).write.mode("append").option("lineSep", END)
+         .option("maxRecordsPerFile", records).text(path))
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], int, int, bytes]]:

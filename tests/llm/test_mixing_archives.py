@@ -97,6 +97,19 @@ def test_archives_round_trip(spark, tmp_path):
         assert fields["warc-type"] == r.record_type and len(block) >= (r.payload_bytes if r.record_type == "response" else 0)
 
 
+def test_archives_of_large_pages_are_bounded_by_bytes(spark, tmp_path):
+    html = F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), F.when(
+        F.col("id") % 100 == 7, 3_000_000).when(F.col("id") % 3 == 0, 10).otherwise(120_000)))
+    pages = spark.range(0, 900, 1, 1).select(F.col("id").alias("page_id"), F.lit("http://a.com/").alias("url"), html.alias("html"))
+    path = str(tmp_path / "warc")
+    warc.write_archives(pages, path, F.timestamp_seconds(F.col("page_id")))
+    sizes = [f.stat().st_size for f in (tmp_path / "warc").glob("part-*")]
+    assert max(sizes) <= 64 << 20 < sum(sizes) and len(sizes) < 10
+    lines = warc.index_runs(spark, path).select("page_id", "payload_bytes").collect()
+    assert {r.page_id for r in lines} == set(range(900)) and len(lines) == 900
+    assert sum(r.payload_bytes for r in lines) == pages.agg(F.sum(F.octet_length("html"))).first()[0]
+
+
 def test_no_pages_make_no_records(spark, tmp_path):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archives(none, str(tmp_path / "w"), F.current_timestamp())
