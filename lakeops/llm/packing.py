@@ -21,6 +21,7 @@ from lakeops.llm.registry import query, table
 from lakeops.llm.tokens import encoded_rows, vocabulary, worker_encoder
 
 GROUP_ROWS = 10_000
+GROUP_BYTES = 128 << 20  # of text; ids take about half of it
 # A window may be padded by this much; others that aren't full are cut anew.
 SLACK = 64
 
@@ -108,16 +109,17 @@ PACKED = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequenc
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id",
-                   text_col: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
+                   text_col: str = "text", group_rows: int = GROUP_ROWS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per piece (`PACKED`): its ids (u4, little-endian) and its place in a sequence.
 
     Ids begin at `start` in their document, whose `doc_tokens` count the end id; pieces of a sequence
-    lie gapless from offset 0. Documents are dealt to groups of about `group_rows` by a hash of id and
-    content, so that neither copies nor a repeated id crowd one group; each group is packed alone, and
+    lie gapless from offset 0. Documents are dealt to groups of about `group_rows`, and of about
+    `group_bytes` of text if they are long, by a hash of id and content, so that neither copies nor a repeated id crowd one group; each group is packed alone, and
     its number heads its sequence ids. A null text is empty (its end id alone); rows with a null or
     repeated id are documents of their own; an empty table gives no rows; other columns aren't read.
     """
-    groups = max(1, -(-docs.count() // group_rows))
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("bigint")).alias("bytes")).first()
+    groups = max(1, -(-size["n"] // group_rows), -(-(size["bytes"] or 0) // group_bytes))
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     schema = pa.schema([("group", pa.int64()), ("id", pa.int64()), ("ids", pa.binary())])
 

@@ -133,6 +133,17 @@ def test_packed_documents(spark):
     assert pack_documents(everything, WORD, 2).agg(F.sum("length")).first()[0] == total
 
 
+def test_groups_of_long_documents_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 400, 1, 4).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.repeat(
+        F.lit(" word and more"), 10_000)).alias("text"))
+    out = pack_documents(docs, WORD, 2, group_bytes=4 << 20).select("doc_id", "start", "length", "sequence_id", "offset", "doc_tokens").collect()
+    held = Counter()
+    for r in out:
+        held[r.sequence_id >> 32] += r.length
+    assert 10 <= len(held) <= 14 and max(held.values()) < 3 * sum(held.values()) / len(held)
+    check_pieces([(r.doc_id, r.start, r.length, r.sequence_id, r.offset) for r in out], {r.doc_id: r.doc_tokens for r in out}, 4096)
+
+
 def test_op3_pads_little(spark):
     out = op3(spark, SF_SMALL).collect()
     docs = {r.doc_id: r.doc_tokens for r in out}
