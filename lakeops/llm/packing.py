@@ -109,14 +109,15 @@ PACKED = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequenc
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id",
-                   text_col: str = "text", group_rows: int = GROUP_ROWS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+                   text_col: str = "text", group_rows: int = GROUP_ROWS, group_bytes: int = GROUP_BYTES,
+                   added_ids: bool = False) -> DataFrame:
     """One row per piece (`PACKED`): its ids (u4, little-endian) and its place in a sequence.
 
     Ids begin at `start` in their document, whose `doc_tokens` count the end id; pieces of a sequence
     lie gapless from offset 0. Documents are dealt to groups of about `group_rows`, and of about
     `group_bytes` of text if they are long, by a hash of id and content, so that neither copies nor a repeated id crowd one group; each group is packed alone, and
     its number heads its sequence ids. A null text is empty (its end id alone); rows with a null or
-    repeated id are documents of their own; an empty table gives no rows; other columns aren't read.
+    repeated id are documents of their own; an empty table gives no rows; other columns aren't read. `added_ids`: see `Encoder`.
     """
     size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("bigint")).alias("bytes")).first()
     groups = max(1, -(-size["n"] // group_rows), -(-(size["bytes"] or 0) // group_bytes))
@@ -124,7 +125,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity:
     schema = pa.schema([("group", pa.int64()), ("id", pa.int64()), ("ids", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, out = worker_encoder(vocabulary_path, end_id), 0, []
+        encoder, held, out = worker_encoder(vocabulary_path, end_id, added_ids), 0, []
 
         def done():
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), schema.types)], schema=schema)
@@ -138,7 +139,7 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity:
         if out:
             yield done()
 
-    narrow = worker_encoder(vocabulary_path, end_id).dtype
+    narrow = worker_encoder(vocabulary_path, end_id, added_ids).dtype
 
     def pack(group: pa.Table) -> pa.Table:
         # The order of rows within a shuffled group isn't fixed: sort, so that a repeated task agrees.
@@ -169,5 +170,5 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packed_digests(docs: DataFrame) -> DataFrame:
     """The pieces of documents packed with the query's parameters, ids as their checksum."""
-    return (pack_documents(docs, vocabulary("word_bpe_49k.json"), 2)
+    return (pack_documents(docs, vocabulary("word_bpe_49k.json"), 2, added_ids=True)
             .select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"))

@@ -128,12 +128,12 @@ class Segment:
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, end_id: int, id_col: str = "doc_id",
-                 text_col: str = "text", shard_rows: int = SHARD_ROWS) -> None:
+                 text_col: str = "text", shard_rows: int = SHARD_ROWS, added_ids: bool = False) -> None:
     """Encode whole texts and write their ids, each with `end_id`, in ascending order of the id.
 
     The rows are range-partitioned by id, about `shard_rows` in a shard, and a task writes its shard
     segment by segment. A null text is empty; null ids come first; rows with equal ids are ordered by
-    text. Other columns aren't read; an empty table leaves an empty table.
+    text. Other columns aren't read; an empty table leaves an empty table. `added_ids`: see `Encoder`.
     """
     shards = max(1, -(-docs.count() // shard_rows))
     rows = (docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
@@ -141,7 +141,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, end_id: int,
     schema = pa.schema([("shard", pa.int64()), ("segment", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(vocabulary_path, end_id)
+        encoder = worker_encoder(vocabulary_path, end_id, added_ids)
         shard, segment, start, keys, parts, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def done():
@@ -192,5 +192,5 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 @query("op2_token_output")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "tokens")
-    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), 0)
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), 0, added_ids=True)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -49,14 +49,17 @@ class Encoder:
     """Ids of whole texts as little-endian unsigned integers of `dtype`, with an end id.
 
     Units seen before in the task are looked up by a 64-bit hash; only new ones go to the tokenizer.
-    The result is that of the tokenizer on the text.
+    The result is that of the tokenizer on the text. Strings of added tokens (as "<|endoftext|>") in a
+    text are ordinary text, or, with `added_ids`, their tokens' ids, as in the library's default call.
     """
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, added_ids: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_ids
+        # Texts that hold any of these are encoded in one piece.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_ids else []
         self.dtype = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.dtype).tobytes()
         self._forget()
@@ -110,7 +113,7 @@ class Encoder:
         out: list[bytes] = []
         held: list[bytes] = []
         for text in texts:
-            if text and ODD_SPACE.search(text):
+            if text and (ODD_SPACE.search(text) or any(a in text for a in self.added)):
                 out += self._slice(held) if held else []
                 held = []
                 out.append(np.array(self._whole([text])[0], self.dtype).tobytes() + self.end)
@@ -122,18 +125,18 @@ class Encoder:
         return out + (self._slice(held) if held else [])
 
 
-ENCODERS: dict[tuple[str, int], Encoder] = {}
+ENCODERS: dict[tuple[str, int, bool], Encoder] = {}
 
 
-def worker_encoder(path: str, end_id: int) -> Encoder:
+def worker_encoder(path: str, end_id: int, added_ids: bool = False) -> Encoder:
     """This Python worker's encoder, with the units of its earlier tasks where the package can be imported."""
     try:
         from lakeops.llm import tokens as home
     except ImportError:
-        return Encoder(path, end_id)
-    if (path, end_id) not in home.ENCODERS:
-        home.ENCODERS[path, end_id] = home.Encoder(path, end_id)
-    return home.ENCODERS[path, end_id]
+        return Encoder(path, end_id, added_ids)
+    if (path, end_id, added_ids) not in home.ENCODERS:
+        home.ENCODERS[path, end_id, added_ids] = home.Encoder(path, end_id, added_ids)
+    return home.ENCODERS[path, end_id, added_ids]
 
 
 def encoded_rows(batches: Iterator[pa.RecordBatch], encoder: Encoder, step: int = 512) -> Iterator[tuple[int | None, bytes]]:

@@ -81,6 +81,18 @@ def test_op2_on_the_small_table(spark):
     assert sorted(tuple(r) for r in op2(spark, SF_SMALL).collect()) == want
 
 
+def test_queries_give_the_ids_of_the_default_call(spark, tmp_path):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a <|endoftext|> b", "x<|startoftext|><|endoftext|>\n c", "plain <| text |>", None])],
+                                 "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for query, path, end in ((op2, BYTE, 0), (op3, WORD, 2)):
+        tokenizer = Tokenizer.from_file(path)
+        want = {k: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, end], "<u4") for k, t in texts.items()}
+        got = {r.doc_id: (r["n_tokens" if query is op2 else "length"], r.ids_crc32) for r in query(spark, str(tmp_path)).collect()}
+        assert got == {k: (len(x), zlib.crc32(x.tobytes())) for k, x in want.items()}
+
+
 def check_pieces(pieces, lengths, capacity, slack=64):
     """Each id in one piece; sequences gapless. Returns the share of padding."""
     spans, rows = defaultdict(list), defaultdict(list)
