@@ -3,6 +3,7 @@
 from lakeops.llm.registry import ORACLES, QUERIES
 from lakeops.llm import (  # noqa: F401  (each module registers its query)
     classifier,
+    collocations,
     conversation_repair,
     embedding_dedup,
     minhash,
