@@ -197,52 +197,72 @@ def pair_counts(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
             (right[first] >> TILE_BITS << TILE_BITS) | (cell & ((1 << TILE_BITS) - 1)), counts)
 
 
-def _words_to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over (block, seq, places, ids): the block's sequence by the ids of its dictionary."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            old = np.frombuffer(batch.column(1)[r].as_buffer(), "<u4")
-            place, ids = (np.asarray(batch.column(c)[r].values, np.int64) for c in (2, 3))
-            to = np.zeros(int(max(old.max(initial=0) >> 1, place.max(initial=0) + 1)) + 1, np.int64)
-            to[place + 1] = ids
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(r, 1), pa.array([condensed(to[old >> 1], old & 1)], pa.binary())],
-                                             ["block", "seq"])
-
-
-def _pairs_to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over (block, seq, left, right, ids): the sequence of the pairs' ids, each at its last word."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            seq = batch.column(1)[r].as_py()
-            left, right, ids = (np.asarray(batch.column(c)[r].values, np.int64) for c in (2, 3, 4))
-            at, a, b = adjacent(seq)
-            new = np.zeros(len(seq) // 8, np.int64)
-            if len(ids) and len(at):
-                lefts, rights = np.unique(left), np.unique(right)
-                key = np.searchsorted(lefts, left) * len(rights) + np.searchsorted(rights, right)
-                order = np.argsort(key)
-                i, j = (np.minimum(np.searchsorted(known, x), len(known) - 1) for known, x in ((lefts, a), (rights, b)))
-                met = (lefts[i] == a) & (rights[j] == b)
-                wanted = i * len(rights) + j
-                place = np.minimum(np.searchsorted(key[order], wanted), len(key) - 1)
-                met &= key[order][place] == wanted
-                new[at[met]] = ids[order][place[met]]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(r, 1),
-                                              pa.array([condensed(new, np.frombuffer(seq, "<i8") & 1)], pa.binary())], ["block", "seq"])
-
-
-def _counted(own_only: bool):
-    """Over (block, seq): block, left, right and count of each pair; `own_only` leaves out those that end in context."""
+def _sequence(block: int, seq: bytes) -> pa.Table:
+    return pa.table({"block": pa.array([block], pa.int64()), "seq": pa.array([seq], pa.binary())})
+
+
+def _words_to_ids(block: pa.Table, known: pa.Table) -> pa.Table:
+    """One block's sequence by the ids of its dictionary; `known` has block, place and id."""
+    old = np.frombuffer(block.column("seq")[0].as_py(), "<u4")
+    place, ids = (known.column(c).to_numpy() for c in ("place", "id"))
+    to = np.zeros(int(max(old.max(initial=0) >> 1, place.max(initial=0) + 1)) + 1, np.int64)
+    to[place + 1] = ids
+    return _sequence(block.column("block")[0].as_py(), condensed(to[old >> 1], old & 1))
+
+
+def _pairs_to_ids(block: pa.Table, known: pa.Table) -> pa.Table:
+    """One block's sequence by the ids of its pairs, each at its last word; `known` has block, left, right and id."""
+    seq = block.column("seq")[0].as_py()
+    left, right, ids = (known.column(c).to_numpy() for c in ("left", "right", "id"))
+    at, a, b = adjacent(seq)
+    new = np.zeros(len(seq) // 8, np.int64)
+    if len(ids) and len(at):
+        lefts, rights = np.unique(left), np.unique(right)
+        key = np.searchsorted(lefts, left) * len(rights) + np.searchsorted(rights, right)
+        order = np.argsort(key)
+        i, j = (np.minimum(np.searchsorted(known_, x), len(known_) - 1) for known_, x in ((lefts, a), (rights, b)))
+        met = (lefts[i] == a) & (rights[j] == b)
+        wanted = i * len(rights) + j
+        place = np.minimum(np.searchsorted(key[order], wanted), len(key) - 1)
+        met &= key[order][place] == wanted
+        new[at[met]] = ids[order][place[met]]
+    return _sequence(block.column("block")[0].as_py(), condensed(new, np.frombuffer(seq, "<i8") & 1))
+
+
+# A map of so many bits tells blocks which pairs can't be frequent; the join behind it decides.
+MAP_BITS = 1 << 26
+STRIDE, WRAP = 31337, 1_000_003
+
+
+def frequent_map(pairs: DataFrame) -> np.ndarray:
+    """A map of `MAP_BITS` (8 MB, whatever the pairs) with the bits of these pairs set."""
+    bit = (F.col("left") % WRAP * STRIDE + F.col("right")) % MAP_BITS
+    out = np.zeros(MAP_BITS // 8, np.uint8)
+    rows = (pairs.select((bit + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")))
+    for r in rows.toLocalIterator():
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        out[(r["bucket"] - 1) * len(part):r["bucket"] * len(part)] = part
+    return out
+
+
+def _counted(frequent=None):
+    """Over (block, seq): block, left, right and count of each pair that ends in an own word.
+
+    With the broadcast map `frequent`, of all pairs, but for those whose bit isn't set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
                 seq = batch.column(1)[r].as_py()
                 at, left, right = adjacent(seq)
-                if own_only:
+                if frequent is None:
                     mine = (np.frombuffer(seq, "<i8")[at] & 1) > 0
-                    left, right = left[mine], right[mine]
-                left, right, counts = pair_counts(left, right)
+                else:
+                    bit = (left % WRAP * STRIDE + right) % MAP_BITS
+                    mine = (frequent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+                left, right, counts = pair_counts(left[mine], right[mine])
                 for a in range(0, len(left), OUT_ROWS):
                     part = slice(a, a + OUT_ROWS)
                     block = pa.array(np.full(len(left[part]), batch.column(0)[r].as_py(), np.int64))
@@ -257,7 +277,19 @@ PAIRS = "block bigint, left bigint, right bigint, c bigint"
 
 def ranked(df: DataFrame, *ties: str) -> DataFrame:
     """With `id`, from 1 on by falling `a`."""
-    return saved(assign_identity(df.withColumn("_less", -F.col("a")), ["_less", *ties]).drop("_less"), "ranked")
+    counted = saved(df, "counted")
+    return saved(assign_identity(counted.withColumn("_less", -F.col("a")), ["_less", *ties]).drop("_less"), "ranked")
+
+
+def _resolved(blocks: DataFrame, known: DataFrame, to_ids) -> DataFrame:
+    """The blocks by the ids their own entries were given; blocks without any go."""
+
+    def run(block: pa.Table, entries: pa.Table) -> pa.Table:
+        if not block.num_rows or not entries.num_rows:
+            return pa.table({"block": pa.array([], pa.int64()), "seq": pa.array([], pa.binary())})
+        return to_ids(block, entries)
+
+    return blocks.groupBy("block").cogroup(known.withColumnRenamed("block", "of").groupBy("of")).applyInArrow(run, "block bigint, seq binary")
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 10, longest: int = 3,
@@ -278,11 +310,10 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     if longest < 2:
         return levels[0], totals
     entries = blocks.select("block", "lang", F.posexplode("words").alias("place", "word"))
-    known = (entries.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("block")
-             .agg(F.collect_list(F.struct("place", "id")).alias("k")).select("block", "k.place", "k.id"))
-    seqs = saved(blocks.select("block", "seq").join(known, "block").mapInArrow(_words_to_ids, "block bigint, seq binary"), "words")
+    known = entries.join(words.select("lang", "word", "id"), ["lang", "word"]).select("block", "place", "id")
+    seqs = saved(_resolved(blocks.select("block", "seq"), known, _words_to_ids), "words")
     for size in range(2, longest + 1):
-        counts = (seqs.mapInArrow(_counted(True), PAIRS).groupBy("left", "right").agg(F.sum("c").alias("a")).where(F.col("a") >= least))
+        counts = (seqs.mapInArrow(_counted(), PAIRS).groupBy("left", "right").agg(F.sum("c").alias("a")).where(F.col("a") >= least))
         pairs = ranked(counts, "left", "right")
         below = levels[-1]
         one, two = (below.select(*(F.col(c).alias(f"{side}_{c}") for c in ("id", "lang", "words", "a", "pre", "suf"))) for side in "lr")
@@ -292,9 +323,10 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
                     F.concat("l_words", F.slice("r_words", -1, 1)).alias("words"), "a",
                     F.concat("l_pre", F.array("l_a")).alias("pre"), F.concat("r_suf", F.array("r_a")).alias("suf"), "left", "right"), "level"))
         if size < longest:
-            known = (seqs.mapInArrow(_counted(False), PAIRS).join(pairs.select("left", "right", "id"), ["left", "right"]).groupBy("block")
-                     .agg(F.collect_list(F.struct("left", "right", "id")).alias("k")).select("block", "k.left", "k.right", "k.id"))
-            seqs = saved(seqs.join(known, "block").mapInArrow(_pairs_to_ids, "block bigint, seq binary"), "pairs")
+            frequent = docs.sparkSession.sparkContext.broadcast(frequent_map(pairs))
+            known = (seqs.mapInArrow(_counted(frequent), PAIRS).join(pairs.select("left", "right", "id"), ["left", "right"])
+                     .select("block", "left", "right", "id"))
+            seqs = saved(_resolved(seqs, known, _pairs_to_ids), "pairs")
     phrases = levels[0]
     for level in levels[1:]:
         phrases = phrases.unionByName(level)

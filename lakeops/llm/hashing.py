@@ -37,12 +37,26 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return change[::2], change[1::2]
 
 
+# Bytes hashed at once: a text of any length takes no more memory than its words' places and hashes.
+SECTION = 1 << 18
+
+
 def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * down[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[begins]) * up[ends - 1] + (ends - begins).astype(np.uint64))
+    """A 64-bit hash of the bytes of each word (ascending, not overlapping places)."""
+    up, down = powers(min(len(data), SECTION) + 1)
+    out = np.zeros(len(begins), np.uint64)
+    for a in range(0, len(data), SECTION):
+        b = min(a + SECTION, len(data))
+        i, j = int(np.searchsorted(ends, a, side="right")), int(np.searchsorted(begins, b, side="left"))
+        if i >= j:
+            continue
+        sums = np.zeros(b - a + 1, np.uint64)
+        np.cumsum((data[a:b].astype(np.uint64) + np.uint64(1)) * down[:b - a], out=sums[1:])
+        low, high = np.maximum(begins[i:j] - a, 0), np.minimum(ends[i:j] - a, b - a)
+        if begins[i] < a:  # a word that goes on: what came before moves up by the bytes here
+            out[i] = (int(out[i]) * pow(BASE, int(high[0]), 1 << 64)) % (1 << 64)
+        out[i:j] += (sums[high] - sums[low]) * up[high - 1]
+    return mix(out + (ends - begins).astype(np.uint64))
 
 
 def shingles(text: str | None, n: int = 5) -> np.ndarray:
