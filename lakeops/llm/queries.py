@@ -6,6 +6,7 @@ from lakeops.llm import (  # noqa: F401  (each module registers its query)
     collocations,
     conversation_repair,
     embedding_dedup,
+    html_text,
     minhash,
     mixing,
     packing,
