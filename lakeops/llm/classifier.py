@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakeops.llm.hashing import mix, word_hashes, word_spans
+from lakeops.llm.hashing import mix, parts, word_hashes, word_spans
 from lakeops.llm.registry import query, table
+from lakeops.llm.workers import release
 
 BITS = 18
 SAMPLE = 8_000  # labelled rows that the model is fitted to, at most about
@@ -37,30 +38,37 @@ def _hashed(grams: np.ndarray, family: int) -> np.ndarray:
 
 
 def features(text: str | None) -> np.ndarray:
-    """The sorted distinct features of a text, as numbers below 2 ** BITS."""
+    """The sorted distinct features of a text, as numbers below 2 ** BITS. Long texts are read part by part."""
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-    wide, found = data.astype(np.uint64), []
-    grams = wide
-    for n in (1, 2, 3):
-        if len(data) < n:
-            break
-        grams = wide if n == 1 else (grams[:-1] << np.uint64(8)) | wide[n - 1:]
-        found.append(_hashed(grams, n))
-    begins, ends = word_spans(data)
-    if len(begins):
-        words = word_hashes(data, begins, ends)
-        again = np.zeros(len(words), np.uint64)
-        for back in (2, 1):
-            again[back:][words[back:] == words[:-back]] = back
-        length = np.minimum(np.log2(ends - begins + 1), 7).astype(np.uint64)
-        shape = ((KIND[data[begins]] * np.uint64(4) + KIND[data[ends - 1]]) * np.uint64(8) + length) * np.uint64(3) + again
-        shape += np.uint64(1)
-        grams = shape
+    found: list[np.ndarray] = []
+    # The last two words and shapes of the part before go on into the next one.
+    known, shape = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    for a, b in parts(data):
+        wide = data[max(a - 2, 0):b].astype(np.uint64)
+        grams = wide
         for n in (1, 2, 3):
-            if len(shape) < n:
+            if len(wide) < n:
                 break
-            grams = shape if n == 1 else grams[:-1] * np.uint64(512) + shape[n - 1:]
-            found.append(_hashed(grams, 8 + n))
+            grams = wide if n == 1 else (grams[:-1] << np.uint64(8)) | wide[n - 1:]
+            found.append(_hashed(grams, n))
+        part = data[a:b]
+        begins, ends = word_spans(part)
+        if len(begins):
+            old, words = len(known), np.concatenate((known, word_hashes(part, begins, ends)))
+            again = np.zeros(len(words), np.uint64)
+            for back in (2, 1):
+                again[back:][words[back:] == words[:-back]] = back
+            length = np.minimum(np.log2(ends - begins + 1), 7).astype(np.uint64)
+            new = ((KIND[part[begins]] * np.uint64(4) + KIND[part[ends - 1]]) * np.uint64(8) + length) * np.uint64(3) + again[old:] + np.uint64(1)
+            shape = np.concatenate((shape, new))
+            for n in (1, 2, 3):
+                if len(shape) < n:
+                    break
+                grams = shape if n == 1 else grams[:-1] * np.uint64(512) + shape[n - 1:]
+                found.append(_hashed(grams, 8 + n))
+            known, shape = words[-2:], shape[-2:]
+        if len(found) > 6:
+            found = [np.unique(np.concatenate(found))]
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint32)
 
 
@@ -167,7 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int64()),
-                pa.array([features(t).tobytes() for t in batch.column(2).to_pylist()], pa.binary())], names=["id", "label", "found"])
+                pa.array([features(t.as_py()).tobytes() for t in batch.column(2)], pa.binary())], names=["id", "label", "found"])
+        release()
 
     got = texts.mapInArrow(extract, "id bigint, label bigint, found binary").toArrow().sort_by([("id", "ascending"), ("found", "ascending")])
     return fit_model([np.frombuffer(f.as_buffer(), np.uint32) for f in got.column("found")], got.column("label").to_numpy())
@@ -184,8 +193,9 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([model.score(t) for t in part.column(1).to_pylist()], pa.float64())],
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([model.score(t.as_py()) for t in part.column(1)], pa.float64())],
                                                  names=["id", "score"])
+        release()
 
     scored = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(score, "id bigint, score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score",
@@ -200,7 +210,8 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", cut: float
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
-                yield part.filter(pa.array([model.score(t) >= cut for t in part.column(at).to_pylist()], pa.bool_()))
+                yield part.filter(pa.array([model.score(t.as_py()) >= cut for t in part.column(at)], pa.bool_()))
+        release()
 
     return docs.mapInArrow(keep, docs.schema)
 

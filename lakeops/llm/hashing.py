@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 SPACE = np.zeros(256, bool)
@@ -59,20 +61,48 @@ def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out + (ends - begins).astype(np.uint64))
 
 
-def shingles(text: str | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's runs of `n` words, with A-Z in lower case.
+# Bytes of a text whose words are looked at together.
+PART = 1 << 20
 
-    Fewer words make one shingle of them all; no words, none.
-    """
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
-    begins, ends = word_spans(data)
-    if not len(begins):
-        return np.zeros(0, np.uint64)
-    words = word_hashes(data, begins, ends)
-    size = min(n, len(words))
+
+def parts(data: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begins and ends of parts of about `PART` bytes; none cuts a word."""
+    at = 0
+    while at < len(data):
+        end = min(at + PART, len(data))
+        while end < len(data) and not SPACE[data[end]]:
+            step = SPACE[data[end:end + 4096]]
+            end += int(step.argmax()) if step.any() else len(step)
+        yield at, end
+        at = end
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of `size` words."""
     count = len(words) - size + 1
     steps = mix(np.arange(1, size + 1, dtype=np.uint64) + np.uint64(size << 32)) | np.uint64(1)
     total = np.full(count, size, np.uint64)
     for k in range(size):
         total += mix(words[k:k + count] * steps[k])
     return np.unique(mix(total))
+
+
+def shingles(text: str | None, n: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's runs of `n` words, with A-Z in lower case.
+
+    Fewer words make one shingle of them all; no words, none. Long texts are read part by part.
+    """
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    before, found = np.zeros(0, np.uint64), []
+    for a, b in parts(data):
+        begins, ends = word_spans(data[a:b])
+        words = np.concatenate((before, word_hashes(data[a:b], begins, ends)))
+        if len(words) >= n:
+            found.append(_runs(words, n))
+            words = words[len(words) - n + 1:]
+        before = words
+        if len(found) > 64:
+            found = [np.unique(np.concatenate(found))]
+    if not found:
+        return _runs(before, len(before)) if len(before) else before
+    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))

@@ -15,13 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.llm.registry import query, table
 from lakeops.llm.tokens import encoded_rows, vocabulary, worker_encoder
+from lakeops.llm.workers import release
+from lakeops.session import scratch_dir
 
 GROUP_ROWS = 10_000
-GROUP_BYTES = 128 << 20  # of text; ids take about half of it
+GROUP_BYTES = 128 << 20  # of rests, four bytes an id
 # A window may be padded by this much; others that aren't full are cut anew.
 SLACK = 64
 
@@ -106,6 +109,15 @@ def pack_lengths(lengths: list[int], capacity: int) -> list[list[Piece]]:
 
 
 PACKED = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
+NAMES = [c.split()[0] for c in PACKED.split(", ")]
+KINDS = [pa.int64()] * 6 + [pa.binary()]
+# Sequence ids of whole windows have this bit; below it are the encoding task and the window's number there.
+ALONE = 1 << 62
+OUT_BYTES = 2 << 20
+
+
+def _rows(columns: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS)], names=NAMES)
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id",
@@ -114,53 +126,66 @@ def pack_documents(docs: DataFrame, vocabulary_path: str, end_id: int, capacity:
     """One row per piece (`PACKED`): its ids (u4, little-endian) and its place in a sequence.
 
     Ids begin at `start` in their document, whose `doc_tokens` count the end id; pieces of a sequence
-    lie gapless from offset 0. Documents are dealt to groups of about `group_rows`, and of about
-    `group_bytes` of text if they are long, by a hash of id and content, so that neither copies nor a repeated id crowd one group; each group is packed alone, and
-    its number heads its sequence ids. A null text is empty (its end id alone); rows with a null or
-    repeated id are documents of their own; an empty table gives no rows; other columns aren't read. `added_ids`: see `Encoder`.
+    lie gapless from offset 0. Whole windows of a document are sequences as the encoding task finds them. Rests, of less than
+    `capacity` ids, are dealt to groups of about `group_rows`, and of `group_bytes` at most, by a hash of content, encoding task and place there, so
+    that neither copies nor a repeated id crowd one group; each group is packed alone, and its number heads its sequence ids.
+    A null text is empty (its end id alone); rows with a null or repeated id are documents of their own; an empty table
+    gives no rows; other columns aren't read. `added_ids`: see `Encoder`.
     """
-    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("bigint")).alias("bytes")).first()
-    groups = max(1, -(-size["n"] // group_rows), -(-(size["bytes"] or 0) // group_bytes))
-    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    schema = pa.schema([("group", pa.int64()), ("id", pa.int64()), ("ids", pa.binary())])
+    groups = max(1, -(-docs.count() // max(1, min(group_rows, group_bytes // (4 * capacity)))))
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, out = worker_encoder(vocabulary_path, end_id, added_ids), 0, []
-
-        def done():
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), schema.types)], schema=schema)
-
-        for key, ids in encoded_rows(batches, encoder):
-            out.append(((zlib.crc32(ids) + 0x9E3779B1 * ((key or 0) % (1 << 32))) % (1 << 32) % groups, key, ids))
-            held += len(ids)
-            if held >= 1 << 22:
-                yield done()
-                held, out = 0, []
-        if out:
-            yield done()
-
+        encoder, task = worker_encoder(vocabulary_path, end_id, added_ids), TaskContext.get().partitionId()
+        out, held, place, window = [[] for _ in NAMES], 0, 0, 0
+        for key, data in encoded_rows(batches, encoder):
+            ids = np.frombuffer(data, encoder.dtype)
+            rest = len(ids) - len(ids) % capacity
+            for at in range(0, len(ids), capacity):
+                if at < rest:
+                    number = ALONE | task << 32 | window
+                    window += 1
+                else:  # a group's number, below 0, for now
+                    number = -1 - zlib.crc32(data, task * 0x9E3779B1 + place & 0xFFFFFFFF) % groups
+                part = ids[at:at + capacity].astype("<u4").tobytes() if at < rest else ids[at:].tobytes()
+                for column, value in zip(out, (key, at, min(capacity, len(ids) - at), len(ids), number, 0, part)):
+                    column.append(value)
+                held += len(part) + 64
+                if held >= OUT_BYTES:
+                    yield _rows(out)
+                    out, held = [[] for _ in NAMES], 0
+            place += 1
+        if out[0]:
+            yield _rows(out)
+        release()
+
+    path = scratch_dir(docs.sparkSession, "encoded")
+    rows.mapInArrow(encode, PACKED).write.parquet(path)
+    encoded = docs.sparkSession.read.parquet(path)
     narrow = worker_encoder(vocabulary_path, end_id, added_ids).dtype
 
     def pack(group: pa.Table) -> pa.Table:
         # The order of rows within a shuffled group isn't fixed: sort, so that a repeated task agrees.
-        order = sorted(zip((-1 if k is None else k for k in group.column("id").to_pylist()),
-                           group.column("ids").to_pylist(), range(group.num_rows)), key=lambda r: r[:2])
-        keys = group.column("id").to_pylist()
-        ids = [np.frombuffer(data, narrow) for _, data, _ in order]
-        head, out = (group.column("group")[0].as_py() if group.num_rows else 0) << 32, []
-        for number, pieces in enumerate(pack_lengths([len(x) for x in ids], capacity)):
+        keys, starts, totals, ids = (group.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens", "ids"))
+        order = sorted(range(len(keys)), key=lambda i: (keys[i] is not None, keys[i] or 0, ids[i], totals[i]))
+        head, out = (-1 - group.column("sequence_id")[0].as_py() if group.num_rows else 0) << 32, [[] for _ in NAMES]
+        for number, pieces in enumerate(pack_lengths([group_length(ids[i], narrow) for i in order], capacity)):
             offset = 0
             for doc, start, length in pieces:
-                out.append((keys[order[doc][2]], start, length, len(ids[doc]), head + number, offset,
-                            ids[doc][start:start + length].astype("<u4").tobytes()))
+                i = order[doc]
+                part = np.frombuffer(ids[i], narrow)[start:start + length].astype("<u4").tobytes()
+                for column, value in zip(out, (keys[i], starts[i] + start, length, totals[i], head + number, offset, part)):
+                    column.append(value)
                 offset += length
-        kinds = [pa.int64()] * 6 + [pa.binary()]
-        names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
-        columns = list(zip(*out)) if out else [[]] * 7
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        release(every=1.0)
+        return pa.Table.from_batches([_rows(out)])
+
+    return (encoded.where(F.col("sequence_id") >= 0)
+            .unionByName(encoded.where(F.col("sequence_id") < 0).groupBy("sequence_id").applyInArrow(pack, PACKED)))
+
 
-    return (rows.mapInArrow(encode, "group bigint, id bigint, ids binary")
-            .groupBy("group").applyInArrow(pack, PACKED))
+def group_length(ids: bytes, dtype: str) -> int:
+    return len(ids) // np.dtype(dtype).itemsize
 
 
 @query("op3_packing")

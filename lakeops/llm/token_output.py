@@ -132,12 +132,14 @@ def write_tokens(docs: DataFrame, path: str, vocabulary_path: str, end_id: int,
     """Encode whole texts and write their ids, each with `end_id`, in ascending order of the id.
 
     The rows are range-partitioned by id, about `shard_rows` in a shard, and a task writes its shard
-    segment by segment. A null text is empty; null ids come first; rows with equal ids are ordered by
-    text. Other columns aren't read; an empty table leaves an empty table. `added_ids`: see `Encoder`.
+    segment by segment. A null text is empty; null ids come first; rows with equal ids are ordered by the first
+    64 characters of their text, then by its hash, and may lie in several shards, exact copies too. Other columns aren't read; an empty table leaves an empty table. `added_ids`: see `Encoder`.
     """
     shards = max(1, -(-docs.count() // shard_rows))
     rows = (docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-            .repartitionByRange(shards, "id").sortWithinPartitions("id", "text"))
+            .withColumn("head", F.substring("text", 1, 64)).withColumn("ties", F.xxhash64("text"))
+            .withColumn("place", F.monotonically_increasing_id())
+            .repartitionByRange(shards, "id", "head", "ties", "place").sortWithinPartitions("id", "head", "ties").select("id", "text"))
     schema = pa.schema([("shard", pa.int64()), ("segment", pa.int64()), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

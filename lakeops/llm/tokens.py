@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -10,12 +11,17 @@ import numpy as np
 import pyarrow as pa
 
 from lakeops.llm.hashing import SPACE, word_hashes
+from lakeops.llm.workers import release
 
 # White space that `units` doesn't know; texts that hold any are encoded in one piece.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]")
-# Distinct units remembered by a task, about 40 bytes each; beyond, it begins anew.
-MAX_UNITS = 2_000_000
-SLICE_BYTES = 2 << 20
+# Distinct units remembered by a worker, about 24 bytes each; beyond, it begins anew.
+MAX_UNITS = 1_000_000
+SLICE_BYTES = 1 << 20
+# A text of more characters is encoded in parts, cut before a blank between letters or digits: no pre-token, added
+# token or normalised character reaches over such a place.
+PART_CHARS = 1 << 20
+CUT = re.compile("[0-9A-Za-z](?= [0-9A-Za-z])")
 
 ALNUM, MARK, LETTER_LEAD = (np.zeros(256, bool) for _ in range(3))
 for _low, _high in ((48, 57), (65, 90), (97, 122)):
@@ -54,6 +60,8 @@ class Encoder:
     """
 
     def __init__(self, path: str, end_id: int, added_ids: bool = False):
+        # One thread: a pool of them holds memory for each.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -66,7 +74,7 @@ class Encoder:
 
     def _forget(self) -> None:
         # Sorted hashes of the known units; where their ids begin and end in the pool.
-        self.keys, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
@@ -76,8 +84,8 @@ class Encoder:
         found = self._whole(texts)
         length = np.array([len(x) for x in found], np.int64)
         ids = np.fromiter(chain.from_iterable(found), self.dtype, int(length.sum()))
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool[:self.used], np.zeros(max(self.used // 2, len(ids)), self.dtype)))
         self.pool[self.used:self.used + len(ids)] = ids
         at = np.searchsorted(self.keys, keys)  # both are sorted
         self.begin = np.insert(self.begin, at, self.used + np.cumsum(length) - length)
@@ -91,7 +99,7 @@ class Encoder:
         begins = units(data, text_begin)
         ends = np.append(begins[1:], len(data))[:len(begins)]
         keys, first, unit = np.unique(word_hashes(data, begins, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > MAX_UNITS:
+        if len(self.keys) + len(keys) > MAX_UNITS or self.used > 4 * MAX_UNITS:
             self._forget()
         at = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
@@ -101,22 +109,43 @@ class Encoder:
         if len(new):
             self._learn(keys[new], [raw[begins[i]:ends[i]].decode("utf-8", "surrogatepass") for i in first[new]])
             at = np.searchsorted(self.keys, keys)
-        length = self.length[at][unit]
+        length = self.length[at][unit].astype(np.int64)
         stop = np.cumsum(length)
         # Ids of all units in order: where each unit's ids lie in the pool, id by id.
         ids = self.pool[np.repeat(self.begin[at][unit] - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
         bounds = np.concatenate(([0], stop))[np.searchsorted(begins, np.append(text_begin, len(data)))]
         return [ids[a:b].tobytes() + self.end for a, b in zip(bounds[:-1], bounds[1:])]
 
+    def _odd(self, text: str) -> bool:
+        return bool(ODD_SPACE.search(text)) or any(a in text for a in self.added)
+
+    def _part(self, text: str) -> bytes:
+        """Ids of one part of a text, without the end id."""
+        if self._odd(text):
+            return np.array(self._whole([text])[0], self.dtype).tobytes()
+        return self._slice([text.encode("utf-8", "surrogatepass")])[0][:-len(self.end)]
+
+    def _parts(self, text: str) -> Iterator[str]:
+        at = 0
+        while at < len(text):
+            cut = CUT.search(text, at + PART_CHARS // 2)
+            end = cut.end() if cut else len(text)
+            yield text[at:end]
+            at = end
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The bytes of each text's ids and the end id; null is an empty text."""
         out: list[bytes] = []
         held: list[bytes] = []
         for text in texts:
-            if text and (ODD_SPACE.search(text) or any(a in text for a in self.added)):
+            if text and len(text) > PART_CHARS:
+                out += self._slice(held) if held else []
+                held = []
+                out.append(b"".join(map(self._part, self._parts(text))) + self.end)
+            elif text and self._odd(text):
                 out += self._slice(held) if held else []
                 held = []
-                out.append(np.array(self._whole([text])[0], self.dtype).tobytes() + self.end)
+                out.append(self._part(text) + self.end)
             else:
                 held.append((text or "").encode("utf-8", "surrogatepass"))
                 if sum(map(len, held)) > SLICE_BYTES:
@@ -145,6 +174,7 @@ def encoded_rows(batches: Iterator[pa.RecordBatch], encoder: Encoder, step: int
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
             yield from zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()))
+    release()
 
 
 def vocabulary(name: str) -> str:
