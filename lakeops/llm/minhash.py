@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lakeops.llm.components import components
 from lakeops.llm.hashing import mix, shingles
 from lakeops.llm.registry import query, table
+from lakeops.llm.workers import release
 from lakeops.session import scratch_dir
 
 COORDINATES, ROWS = 128, 4
@@ -91,6 +92,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bins = sketch(items)
                 out.append((key, text_hash, len(items), fingerprint(items), band_keys(bins), mix(bins).astype(np.uint8).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+    release()
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,6 +109,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if 100 * both >= 75 * (len(x) + len(y) - both):
                     out.append((a[row], b[row]))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+    release()
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -270,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row of each component, that with the least id (of its repeats, any), and all rows without words.
+    """One row of each component, that with the least id (of its repeats, that with the least hash of its columns), and all rows without words.
 
     Rows keep all their columns. What goes is joined away by id and text, so that texts move only if
     the list of what goes is too long to send to every task.
@@ -283,12 +286,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     repeated = rows.where("n > 0").groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     if repeated.isEmpty():
         return left
-    # Repeats of a row: one stays. Only their rows meet by key, without their other columns' help.
-    marked = left.join(repeated.select(F.col("id").alias("_repeated"), F.col("text_hash").alias("_repeated_text")),
-                       key.eqNullSafe(F.col("_repeated")) & (text_hash == F.col("_repeated_text")), "left")
-    alone = marked.where("_repeated_text IS NULL").select(*[left[c] for c in left.columns])
-    firsts = (marked.where("_repeated_text IS NOT NULL").groupBy("_repeated", "_repeated_text")
-              .agg(F.first(F.struct(*[left[c] for c in left.columns])).alias("row")))
+    # Repeats of a row: one stays. Only their rows meet by key; `docs` may have columns of any name.
+    held = left.select(key.alias("id"), text_hash.alias("text_hash"), F.struct(*[left[c] for c in left.columns]).alias("row"))
+    marked = held.join(repeated, held["id"].eqNullSafe(repeated["id"]) & (held["text_hash"] == repeated["text_hash"]), "left").select(
+        held["id"], held["text_hash"], "row", "copies")
+    alone = marked.where("copies IS NULL").select("row.*")
+    # The same one on every run: that with the least hash of all its columns, as JSON if they can't be compared.
+    whole = F.to_json("row")
+    firsts = (marked.where("copies IS NOT NULL").groupBy("id", "text_hash")
+              .agg(F.min_by("row", F.struct(F.xxhash64(whole), whole)).alias("row")))
     return alone.unionAll(firsts.select("row.*"))
 
 

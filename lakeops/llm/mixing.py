@@ -108,9 +108,9 @@ def mix(rows: DataFrame, plan: DataFrame) -> DataFrame:
 WEIGHTS, SHARE, CAP, SEED = (5, 2, 1), 1.5, 2.0, 7
 
 
-def cleanness() -> Column:
+def cleanness(text_col: str = "text") -> Column:
     """A quality weight in (0, 1]: the share of characters that are no symbols."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
     return (F.length(text) + 1.0 - symbols) / (F.length(text) + 1.0)
 
@@ -125,7 +125,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     size (repeats) are taken together. An empty table gives no rows; other columns aren't read.
     """
     spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "sizes")
-    sized(docs, cleanness() if quality is None else quality, seed, id_col, source_col, text_col).write.parquet(path)
+    sized(docs, cleanness(text_col) if quality is None else quality, seed, id_col, source_col, text_col).write.parquet(path)
     rows = spark.read.parquet(path)
     return mix(rows, mix_plan(rows, weights, share, cap)).select("id", "source", "size", "source_size", "target", "times")
 
@@ -138,7 +138,7 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     Only the plan, one row per source, meets the texts.
     """
     spark, path = docs.sparkSession, scratch_dir(docs.sparkSession, "sizes")
-    quality = cleanness() if quality is None else quality
+    quality = cleanness(text_col) if quality is None else quality
     sized(docs, quality, seed, id_col, source_col, text_col).write.parquet(path)
     plan = mix_plan(spark.read.parquet(path), weights, share, cap)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

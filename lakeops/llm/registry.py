@@ -24,5 +24,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# Rows that go to a Python worker at once: whole texts, so a few megabytes.
+ARROW_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table by name; batches to Python workers are small, unless the session's owner has set their size."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(rows):
+        spark.conf.set(rows, ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

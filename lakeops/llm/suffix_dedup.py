@@ -19,6 +19,7 @@ its windows reach back to.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakeops.llm.hashing import mix, powers
 from lakeops.llm.registry import query, table
+from lakeops.llm.workers import release
 from lakeops.session import scratch_dir
 
 LENGTH, TOKEN = 50, 20
@@ -97,8 +99,75 @@ def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
 KNOWN = np.uint32(1 << 31)  # marks a place whose token is known to be shared
 
 
-def _deal_tokens(buckets: int):
-    """(doc, text_hash, text) -> (bucket, packed tokens), a row for each bucket and some megabytes of text."""
+# Buckets that a task deals to directly; more are reached in two steps, by groups of buckets.
+DIRECT = 2048
+
+
+def _tokens_of(ids: np.ndarray, keys: np.ndarray, doc: np.ndarray, hashes: np.ndarray, place: np.ndarray, kind: str) -> bytes:
+    """Some tokens, packed with the ids of their documents; hashes as `kind` (in a bucket, the lower half will do)."""
+    docs, index = np.unique(doc, return_inverse=True)
+    return _pack(ids[docs], keys[docs], index.astype("<u4"), hashes.astype(kind), place)
+
+
+def _unpacked_tokens(parts: list[bytes], kind: str) -> tuple[np.ndarray, ...]:
+    """Ids, text hashes, and per token its document's place there, hash and place in the text."""
+    found = [_unpack(x, "<i8", "<i8", "<u4", kind, "<u4") for x in parts]
+    base = np.cumsum([0] + [len(p[0]) for p in found])
+    doc = np.concatenate([p[2].astype(np.int64) + b for p, b in zip(found, base)])
+    return (*(np.concatenate([p[i] for p in found]) for i in (0, 1)), doc, *(np.concatenate([p[i] for p in found]) for i in (3, 4)))
+
+
+def _dealt(bucket: np.ndarray, rows: np.ndarray, packed) -> list[tuple[int, bytes]]:
+    """(bucket, packed rows) of each bucket that is met; `rows` are in the order of their buckets."""
+    if not len(rows):
+        return []
+    of = bucket[rows]
+    begins = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    return [(int(of[a]), packed(rows[a:b])) for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(rows)])]
+
+
+def _bucket_rows(out: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())],
+                                      names=["bucket", "tokens"])
+
+
+def _deal_again(buckets: int, groups: int):
+    """(group, packed tokens) -> (bucket, packed tokens): the second step of dealing, for the buckets of a task's groups."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, now = [], 0, None
+
+        def flush() -> pa.RecordBatch:
+            ids, keys, doc, hashes, place = _unpacked_tokens(held, "<u8")
+            bucket = (hashes >> np.uint64(33)) % np.uint64(buckets)
+            # Others than those of the group's buckets were spread, and are again, over these.
+            mine = np.arange(now, buckets, groups, dtype=np.uint64)
+            spread = bucket % np.uint64(groups) != now
+            bucket[spread] = mine[mix(hashes[spread] + doc[spread].astype(np.uint64)) % np.uint64(len(mine))]
+            rows = np.argsort(bucket, kind="stable")
+            return _bucket_rows(_dealt(bucket, rows, lambda m: _tokens_of(ids, keys, doc[m], hashes[m], place[m], "<u4")))
+
+        for batch in batches:
+            for group, tokens_ in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and (group != now or size >= FLUSH_BYTES // 4):
+                    yield flush()
+                    held, size = [], 0
+                now = group
+                held.append(tokens_)
+                size += len(tokens_)
+        if held:
+            yield flush()
+        release()
+
+    return deal
+
+
+def _deal_tokens(buckets: int, groups: int):
+    """(doc, text_hash, text) -> (group of buckets, packed tokens), a row for each group met by some megabytes of text.
+
+    A bucket's group is its number modulo `groups`; with as many groups as buckets, it is the bucket.
+    """
+    kind = "<u4" if groups == buckets else "<u8"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -119,18 +188,11 @@ def _deal_tokens(buckets: int):
             known = order[shared[group]]
             spread = order[shared[group] & ~first]
             bucket[spread] = mix(hashes[spread] + doc[spread]) % np.uint64(buckets)
+            bucket %= np.uint64(groups)
             place[known] |= KNOWN
             ids, keys = (np.array([h[i] for h in held], np.int64) for i in (0, 1))
             rows = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[rows], np.arange(buckets + 1, dtype=np.uint64))
-            out = []
-            for b in range(buckets):
-                mine = rows[cuts[b]:cuts[b + 1]]
-                if len(mine):
-                    docs, index = np.unique(doc[mine], return_inverse=True)
-                    out.append((b, _pack(ids[docs], keys[docs], index.astype("<u4"), hashes[mine].astype("<u4"), place[mine])))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.binary())],
-                                              names=["bucket", "tokens"])
+            return _bucket_rows(_dealt(bucket, rows, lambda m: _tokens_of(ids, keys, doc[m], hashes[m], place[m], kind)))
 
         for batch in batches:
             for row in range(batch.num_rows):
@@ -146,18 +208,16 @@ def _deal_tokens(buckets: int):
                     held, size = [], 0
         if held:
             yield flush()
+        release()
 
     return deal
 
 
 def _shared_tokens(group: pa.Table) -> pa.Table:
     """The places of a bucket's tokens that several documents have, by document."""
-    parts = [_unpack(x, "<i8", "<i8", "<u4", "<u4", "<u4") for x in group.column("tokens").to_pylist()]
-    base = np.cumsum([0] + [len(p[0]) for p in parts])
-    pairs = np.stack([np.concatenate([p[i] for p in parts]) for i in (0, 1)])
-    pairs, renumbered = np.unique(pairs, axis=1, return_inverse=True)  # a row may be repeated
-    doc = renumbered.reshape(-1)[np.concatenate([p[2] + np.uint32(b) for p, b in zip(parts, base)]).astype(np.int64)]
-    hashes, place = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
+    ids, keys, doc, hashes, place = _unpacked_tokens(group.column("tokens").to_pylist(), "<u4")
+    pairs, renumbered = np.unique(np.stack((ids, keys)), axis=1, return_inverse=True)  # a row may be repeated
+    doc = renumbered.reshape(-1)[doc]
     order = np.argsort(hashes, kind="stable")
     first = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1])))
     group_of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
@@ -208,6 +268,7 @@ def _suffixes(splitters: list[bytes]):
                     right, left, held = [], [], []
         if right:
             yield ranged(right, left, held)
+        release()
 
     return cut
 
@@ -245,19 +306,31 @@ def _drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(right, pa.binary())], names=["right"])
 
 
+# Rows that are sorted at once; longer stretches are cut in three.
+SMALL = 2048
+
+
 def multikey_sort(rows: np.ndarray) -> np.ndarray:
-    """The order of rows of 64-bit words: by the first word, then equal ones by the next, and so on."""
-    order = np.argsort(rows[:, 0], kind="stable")
-    begin = np.concatenate(([True], rows[order[1:], 0] != rows[order[:-1], 0]))
-    for k in range(1, rows.shape[1]):
-        alone = begin & np.append(begin[1:], True)
-        open_ = np.flatnonzero(~alone)
-        if not len(open_):
-            break
-        group = np.cumsum(begin)[open_]
-        inner = np.lexsort((rows[order[open_], k], group))
-        order[open_] = order[open_][inner]
-        begin[1:] |= rows[order[1:], k] != rows[order[:-1], k]
+    """The order of rows of 64-bit words, by multikey quicksort; equal rows keep their order.
+
+    A stretch of rows that agree on their first words is cut in three by the next word of a middle row: those below it, those equal to it,
+    which go on with the word after, and those above it.
+    """
+    order, words = np.arange(len(rows)), rows.shape[1]
+    open_ = [(0, len(rows), 0)]
+    while open_:
+        a, b, word = open_.pop()
+        part = order[a:b]
+        if b - a <= SMALL:
+            order[a:b] = part[np.lexsort(rows[part, word:].T[::-1])]
+            continue
+        keys = rows[part, word]
+        drawn = np.sort(keys[:: max(1, (b - a) // 63)])
+        pivot = drawn[len(drawn) // 2]
+        sides = [part[keys < pivot], part[keys == pivot], part[keys > pivot]]
+        order[a:b] = np.concatenate(sides)
+        below, equal = a + len(sides[0]), a + len(sides[0]) + len(sides[1])
+        open_ += [s for s in ((a, below, word), (below, equal, word + 1), (equal, b, word)) if s[1] - s[0] > 1 and s[2] < words]
     return order
 
 
@@ -325,6 +398,7 @@ def _compare_range(group: pa.Table) -> pa.Table:
     hit = np.flatnonzero(furthest >= 0)
     parts = [(doc[hit], text_hash[hit], place[hit] - furthest[hit], place[hit] - nearest[hit] + LENGTH), *open_rows]
     columns = [np.concatenate([p[i] for p in parts]) for i in range(4)]
+    release(every=1.0)
     windows = [None] * len(hit) + [w for p in open_rows for w in p[4].tolist()]
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc", "text_hash", "begin", "end", "window"), [*columns, windows])})
 
@@ -358,10 +432,19 @@ def _compressed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(sources: DataFrame, total_bytes: int) -> DataFrame:
-    """(doc, text_hash, begin, end): stretches of `sources` (doc, text_hash, text) that repeat smaller docs'."""
+    """(doc, text_hash, begin, end): stretches of `sources` (doc, text_hash, text) that repeat smaller docs'.
+
+    Tokens are dealt to buckets of about `BUCKET_TOKENS`; beyond `DIRECT` buckets in two steps, so that a task never
+    makes more rows than some for each megabyte it reads.
+    """
     spark = sources.sparkSession
     buckets = max(1, -(-total_bytes * 2 // (REACH + 1) // BUCKET_TOKENS))
-    places = _saved(sources.mapInArrow(_deal_tokens(buckets), "bucket int, tokens binary").groupBy("bucket")
+    groups = buckets if buckets <= DIRECT else math.isqrt(buckets - 1) + 1
+    dealt = sources.mapInArrow(_deal_tokens(buckets, groups), "bucket int, tokens binary")
+    if groups < buckets:
+        dealt = (dealt.repartition("bucket").sortWithinPartitions("bucket")
+                 .mapInArrow(_deal_again(buckets, groups), "bucket int, tokens binary"))
+    places = _saved(dealt.groupBy("bucket")
                     .applyInArrow(_shared_tokens, "doc bigint, text_hash bigint, n bigint, places binary"), "tokens")
     total = places.agg(F.sum("n")).first()[0] or 0
 

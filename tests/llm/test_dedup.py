@@ -99,9 +99,9 @@ def byte_cases(rng):
     return docs + [(30, long), (31, long[:9000] + "!" + long[9000:])]
 
 
-@pytest.mark.parametrize("sizes", [(10**6, 10**6, 4 << 20), (40, 50, 3000)])
+@pytest.mark.parametrize("sizes", [(10**6, 10**6, 4 << 20, 2048), (40, 50, 3000, 2048), (40, 50, 3000, 5)])
 def test_repeats_against_a_dictionary_of_strings(spark, monkeypatch, sizes):
-    for name, value in zip(("RANGE_SUFFIXES", "BUCKET_TOKENS", "FLUSH_BYTES"), sizes):
+    for name, value in zip(("RANGE_SUFFIXES", "BUCKET_TOKENS", "FLUSH_BYTES", "DIRECT"), sizes):
         monkeypatch.setattr(suffix_dedup, name, value)
     docs = byte_cases(random.Random(3))
     frame = spark.createDataFrame([(*d, 1, "p") for d in docs], "doc_id long, text string, doc int, packed string").repartition(6)
@@ -190,3 +190,35 @@ def test_queries_on_the_small_tables(spark):
     data = [(r.vec_id, list(r.embedding), r.label) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").orderBy("vec_id").collect()]
     assert [tuple(r) for r in embedding_dedup.op9(spark, SF_SMALL).orderBy("vec_id").collect()] == [
         (k, links, least, k == least) for (k, *_), (links, least) in zip(data, brute.vector_links(data))]
+
+
+@pytest.mark.parametrize("small", [1, 5, 2048])
+def test_multikey_quicksort_is_a_stable_sort_by_words(monkeypatch, small):
+    monkeypatch.setattr(suffix_dedup, "SMALL", small)
+    rng = np.random.default_rng(4)
+    for words, high in ((1, 3), (3, 2), (7, 2**63)):
+        rows = rng.integers(0, high, (3000, words)).astype(">u8")
+        assert suffix_dedup.multikey_sort(rows).tolist() == np.lexsort(rows.T[::-1]).tolist()
+    assert suffix_dedup.multikey_sort(np.zeros((0, 2), ">u8")).tolist() == []
+
+
+def test_rows_dealt_follow_the_text_however_many_buckets():
+    rng = random.Random(6)
+    texts = [prose(rng, 3000) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(range(40), pa.int64()), pa.array(texts)], ["doc", "text_hash", "text"])
+    dealt = {}
+    for buckets in (64, 4096, 125_000):
+        groups = buckets if buckets <= suffix_dedup.DIRECT else int(buckets ** 0.5) + 1
+        out = list(suffix_dedup._deal_tokens(buckets, groups)(iter([batch])))
+        dealt[buckets] = sum(b.num_rows for b in out)
+        again = list(suffix_dedup._deal_again(buckets, groups)(iter(out))) if groups < buckets else out
+        assert sum(len(suffix_dedup._unpacked_tokens([t], "<u4")[3]) for b in again for t in b.column(1).to_pylist()) > 10_000
+    assert dealt[64] == 64 and dealt[4096] <= 65 and dealt[125_000] <= 354
+
+
+def test_repeats_with_clashing_columns_leave_the_same_row_each_time(spark):
+    text = prose(random.Random(9), 60)
+    docs = [(1, text, k, "r", "t") for k in range(20)] + [(2, text, 0, "r", "t")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, _repeated int, _repeated_text string, copies string")
+    kept = {tuple(minhash.drop_near_duplicates(frame.repartition(n)).first()) for n in (1, 3, 7)}
+    assert len(kept) == 1 and minhash.drop_near_duplicates(frame).columns == frame.columns

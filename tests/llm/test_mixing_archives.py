@@ -142,3 +142,10 @@ def test_pipeline_stages(spark):
     packed = stages["packing"](spark, mixed, SF_SMALL)
     want = packing.packed_digests(mixed)
     assert rows(packed) == rows(want) and rows(pipeline.run(spark, SF_SMALL)) == rows(want)
+
+
+def test_the_weight_reads_the_column_it_is_given(spark):
+    docs = docs_of(spark).limit(50)
+    body = docs.select("doc_id", "source", F.col("text").alias("body"))
+    want = rows(mixing.mixture(docs.select("doc_id", "source", "text")))
+    assert rows(mixing.mixture(body, text_col="body")) == want
