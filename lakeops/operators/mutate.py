@@ -10,6 +10,7 @@ from pyspark.sql.types import StructField, StructType
 
 from lakeops.functions import struct_of
 from lakeops.operators.skew import BROADCAST_BYTES, broadcast_if_small
+from lakeops.session import scratch_dir
 
 
 def _expr(value: Column | str) -> Column:
@@ -54,6 +55,18 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
 
 
+def kept_still(df: DataFrame) -> DataFrame:
+    """The rows written to the shared scratch folder: read several times, they are computed once and stay the same."""
+    if getattr(df, "_kept_still", False):
+        return df
+    path = scratch_dir(df.sparkSession, "still")
+    untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if f.dataType.typeName() == "void"}
+    df.withColumns(untyped).write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._kept_still = True
+    return out
+
+
 def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
           set: Mapping[str, Column | str] | None = None, insert: bool = True,
           delete_when: Column | str | None = None,
@@ -70,8 +83,10 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str],
     more for the inserts. A larger one meets the target in one full outer join: both are read and
     shuffled once. The rows of a key are never gathered: an aggregate keeps their count and one of
     them, and rows of unmatched keys with several, or with a NULL key, are inserted from the source
-    itself; a larger source's keys are counted first, and only if there are such is it read again.
+    itself; a larger source's keys are counted first, and only if there are such is it read again. The source is computed
+    once: what is measured, joined and inserted are the same rows.
     """
+    source = kept_still(source)
     others = [c for c in target.columns if c not in keys]
     if set is None:
         set = {c: f"source.`{c}`" for c in others if c in source.columns}

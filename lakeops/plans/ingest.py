@@ -174,6 +174,66 @@ def merge_table(t: Tables) -> DataFrame:
     return as_double(tables.merge_table(t.spark, _orders_table(t), changed, ["order_number"]))
 
 
+def _orders_by_status(t: Tables) -> str:
+    table = f"{scratch_db(t)}.orders"
+    orders = t.keyed_orders().select("order_number", "state", "status", "line_total")
+    tables.save_table(orders.repartition("status"), table, partition_by=["status"])
+    return table
+
+
+@query("update_partitioned", _WRITTEN % "CASE WHEN status = 'F' AND line_total > 100000 THEN CAST(line_total * 0.9 AS DECIMAL(12,2)) ELSE line_total END")
+def update_partitioned(t: Tables) -> DataFrame:
+    table = _orders_by_status(t)
+    return as_double(tables.update_table(t.spark, table, {"line_total": "line_total * 0.9"}, "status = 'F' AND line_total > 100000"))
+
+
+@query("move_partitioned", f"""WITH {KEYED}
+SELECT order_number, state, CASE WHEN status = 'P' THEN 'O' WHEN line_total < 5000 THEN 'Small' ELSE status END AS status,
+       CAST(line_total AS DOUBLE) AS line_total FROM keyed""")
+def move_partitioned(t: Tables) -> DataFrame:
+    """Rows move to other partitions: all of one, which goes, and some of the others, to a new one."""
+    table = _orders_by_status(t)
+    return as_double(tables.update_table(
+        t.spark, table, {"status": "CASE WHEN status = 'P' THEN 'O' ELSE 'Small' END"}, "status = 'P' OR line_total < 5000"))
+
+
+@query("delete_partitioned", _WRITTEN % "line_total" + " WHERE NOT (status = 'P' OR status = 'O' AND line_total < 10000)")
+def delete_partitioned(t: Tables) -> DataFrame:
+    return as_double(tables.delete_table(t.spark, _orders_by_status(t), "status = 'P' OR status = 'O' AND line_total < 10000"))
+
+
+_FINISHED = "SELECT * FROM keyed WHERE status = 'F' AND line_total > 200000"
+
+
+@query("merge_partitioned", f"""WITH {KEYED}
+SELECT order_number, state, status, CAST(CASE WHEN status = 'F' AND line_total > 200000 THEN CAST(line_total * 1.1 AS DECIMAL(12,2)) ELSE line_total END AS DOUBLE) AS line_total
+FROM keyed UNION ALL
+SELECT -order_number, state, 'New', CAST(CAST(line_total * 1.1 AS DECIMAL(12,2)) AS DOUBLE) FROM ({_FINISHED}) WHERE order_number <> 0""")
+def merge_partitioned(t: Tables) -> DataFrame:
+    """Large finished orders are updated; copies of them under new numbers make a new partition."""
+    big = t.keyed_orders().where("status = 'F' AND line_total > 200000")
+    raised = F.expr("CAST(line_total * 1.1 AS DECIMAL(12,2))").alias("line_total")
+    known = big.select("order_number", "state", "status", raised)
+    fresh = big.where("order_number <> 0").select((-F.col("order_number")).alias("order_number"), "state", F.lit("New").alias("status"), raised)
+    return as_double(tables.merge_table(t.spark, _orders_by_status(t), known.unionByName(fresh), ["order_number"]))
+
+
+@query("partitions_kept", f"""WITH {KEYED} SELECT status, status <> 'F' AS kept FROM keyed GROUP BY status""")
+def partitions_kept(t: Tables) -> DataFrame:
+    """Which partitions still have the files they had before an update of some finished orders."""
+    table = _orders_by_status(t)
+
+    def stored() -> DataFrame:
+        files_of = t.spark.table(table).select("status", F.col("_metadata.file_path").alias("file")).groupBy("status")
+        return files_of.agg(F.sort_array(F.collect_set("file")).alias("files"))  # a row per partition
+
+    path = t.scratch("stored")
+    stored().write.parquet(path)
+    tables.update_table(t.spark, table, {"line_total": "line_total * 0.9"}, "status = 'F' AND line_total > 100000")
+    before = t.spark.read.parquet(path).withColumnRenamed("files", "old")
+    return stored().join(before, "status").select("status", (F.col("files") == F.col("old")).alias("kept"))
+
+
 @query("external_to_managed", f"""WITH {CUSTOMERS} SELECT kind, customer_id, customer_name, state
 FROM customers CROSS JOIN (VALUES ('external'), ('managed')) k(kind)""")
 def external_to_managed(t: Tables) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF, rows
-from lakeops.operators import joins, layout
+from lakeops.operators import joins, layout, mutate
 from lakeops.operators.rules import RuleViolation
 from lakeops.session import path_bytes, scratch_dir
 from lakeops.sources import files, tables
@@ -168,3 +168,85 @@ def test_orphans_ignore_null_keys_and_repeated_parents(spark):
 def test_scratch_follows_the_session_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(base) and scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def by_partition(spark, table):
+    """Files of each partition."""
+    found = spark.table(table).select("p", F.col("_metadata.file_path").alias("f")).distinct().collect()
+    return {p: {r.f for r in found if r.p == p} for p in {r.p for r in found}}
+
+
+def test_row_changes_of_partitioned_tables_touch_their_partitions_only(spark, db):
+    table = f"{db}.t"
+    odd = [None, "a/b", "it's", "x y", "back\\slash", "50%"]
+    data = [(i, odd[i % 6], i * 10) for i in range(60)]
+    tables.save_table(spark.createDataFrame(data, "id int, p string, v int"), table, partition_by=["p"])
+    before = by_partition(spark, table)
+    tables.update_table(spark, table, {"v": "v + 1"}, "id < 12 AND p = 'a/b'")
+    after = by_partition(spark, table)
+    assert {p for p in before if before[p] != after[p]} == {"a/b"}
+    want = {i: (p, v + 1 if i < 12 and p == "a/b" else v) for i, p, v in data}
+    assert {r.id: (r.p, r.v) for r in spark.table(table).collect()} == want
+    # Every partition, by values that need quoting; rows that move; a partition that goes.
+    tables.update_table(spark, table, {"v": "-v"}, "v >= 0")
+    tables.update_table(spark, table, {"p": F.lit("new")}, "p IS NULL OR id = 1")
+    tables.delete_table(spark, table, "p = '50%'")
+    want = {i: ("new" if p is None or i == 1 else p, -v) for i, (p, v) in want.items() if p != "50%"}
+    assert {r.id: (r.p, r.v) for r in spark.table(table).collect()} == want
+    assert tables.partitions_listed(spark, table) == {(p,) for p, _ in want.values()}
+    # The sources of a merge meet some partitions; one inserted row goes to another, present one.
+    before = by_partition(spark, table)
+    source = spark.createDataFrame([(2, "it's", 5), (500, "x y", 6), (501, None, 7)], "id int, p string, v int")
+    tables.merge_table(spark, table, source, ["id"], set={"v": "source.v"})
+    want |= {2: ("it's", 5), 500: ("x y", 6), 501: (None, 7)}
+    assert {r.id: (r.p, r.v) for r in spark.table(table).collect()} == want
+    after = by_partition(spark, table)
+    assert {p for p in before if before[p] != after[p]} == {"it's", "x y"}
+
+
+def test_several_partition_columns(spark, db):
+    table = f"{db}.t"
+    rows_ = spark.range(40).selectExpr("id", "id % 4 AS a", "date_add(date'2024-01-01', int(id % 3)) AS b")
+    tables.save_table(rows_, table, partition_by=["a", "b"])
+    tables.delete_table(spark, table, "a = 1 AND b = date'2024-01-02' OR id = 0")
+    want = rows_.where("NOT (a = 1 AND b = date'2024-01-02' OR id = 0)")
+    assert rows(spark.table(table)) == rows(want)
+    tables.update_table(spark, table, {"a": "a + 10"}, "a = 2")
+    assert rows(spark.table(table)) == rows(want.withColumn("a", F.expr("CASE WHEN a = 2 THEN 12 ELSE a END")))
+    assert tables.update_table(spark, table, {"a": "0"}, "id = 99").count() == want.count()
+
+
+def test_a_partitioned_table_is_published_whole(spark, db):
+    table = f"{db}.t"
+    first = spark.range(10).selectExpr("id", "id % 3 AS p")
+    tables.save_table(first, table, partition_by=["p"])
+    old = spark.table(table).inputFiles()
+    tables.publish(spark.table(table).withColumn("id", F.col("id") + 100), table)
+    assert rows(spark.table(table)) == rows(first.withColumn("id", F.col("id") + 100))
+    assert spark.read.parquet(*old).count() == 10  # readers of the old files go on
+    tables.save_table(first.where("p = 1"), table)
+    assert rows(spark.table(table)) == rows(first.where("p = 1"))
+
+
+def test_a_failing_write_leaves_the_table(spark, db):
+    table = f"{db}.t"
+    tables.save_table(spark.range(5), table)
+    broken = spark.range(5).selectExpr("id", "raise_error('no') AS other")
+    with pytest.raises(Exception, match="no"):
+        tables.save_table(broken.withColumn("other", F.col("other").cast("int")), table)
+    assert spark.table(table).count() == 5
+    # Other columns, from the table itself.
+    tables.save_table(spark.table(table).withColumn("twice", F.col("id") * 2), table)
+    assert rows(spark.table(table)) == [(i, 2 * i) for i in range(5)]
+    tables.save_table(spark.table(table), table, partition_by=["twice"])
+    assert tables.partition_columns(spark, table) == ["twice"] and spark.table(table).count() == 5
+
+
+def test_a_merge_computes_its_source_once(spark):
+    source = spark.range(20).select("id", F.rand().alias("v"))
+    target = spark.createDataFrame([(1, 0.0)], "id long, v double")
+    for limit in (0, 1 << 20):
+        merged = mutate.merge(target, source, ["id"], broadcast_bytes=limit)
+        assert sorted(r.id for r in merged.collect()) == list(range(20))
+    tables_void = source.withColumn("n", F.lit(None))
+    assert mutate.merge(target.withColumn("n", F.lit(1)), tables_void, ["id"]).where("n IS NULL").count() == 20
