@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions import struct_of
-from lakeops.operators.mutate import latest_per_key, pair_up, update_where
+from lakeops.operators.mutate import kept_still, latest_per_key, pair_up, update_where
 from lakeops.operators.skew import BROADCAST_BYTES, broadcast_if_small, group_extent, range_slices
 
 META = ("_change_type", "_commit_version", "_commit_timestamp")
@@ -209,16 +209,88 @@ def scd1_apply(state: DataFrame, batch: DataFrame, keys: Sequence[str], seq: Seq
     return latest_per_key(state.unionByName(batch), keys, seq)
 
 
-def scd2_apply(current: DataFrame, batch: DataFrame, feed: DataFrame, keys: Sequence[str], seq: Sequence[str],
-               columns: Sequence[str], delete_when: Column | str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The history after a batch: keys it names are derived again from the whole `feed` (batch included), others stay.
+def _timeline(feed: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str], delete_when: Column | str) -> DataFrame:
+    gone = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
+    return feed.select(*keys, *seq, *[c for c in columns if c not in seq and c not in keys],
+                       F.coalesce(gone, F.lit(False)).alias("_gone")).dropDuplicates([*keys, *seq])
+
+
+def _null_safe(left: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
+def scd2_splice(state: DataFrame, batch: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str],
+                delete_when: Column | str, max_group_rows: int = MAX_GROUP_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of `state` that a batch changes, and its own: to replace those with the same keys and `seq`.
+
+    A state has a row per feed row: keys, `seq`, `columns`, `_gone` (a delete), `_opens` (whether a stretch of
+    equal `columns` begins with it) and, where it does, `_end_at`, the time the next one begins. Deletes and repeats stay in it, since a row
+    that comes late may divide what they belong to. Of a key's rows only these are looked at: those between the batch's first and last,
+    their predecessor and successor, and the row that opened the predecessor's stretch. Rows known already change nothing.
+    """
+    names = [*keys, *seq, *[c for c in columns if c not in seq and c not in keys], "_gone"]
+    fresh = _timeline(batch, keys, seq, columns, delete_when)
+    at = struct_of(seq)
+    ends = fresh.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+    ends = broadcast_if_small(ends, broadcast_bytes)
+    touched = state.join(ends, _null_safe(state, keys, "_k_"))
+    near = touched.groupBy(*[F.col(k).alias(f"_n_{k}") for k in keys]).agg(
+        F.max(F.when(at < F.col("_lo"), at)).alias("_before"),
+        F.max(F.when((at < F.col("_lo")) & F.col("_opens"), at)).alias("_opener"),
+        F.min(F.when(at > F.col("_hi"), at)).alias("_behind"))
+    near = broadcast_if_small(near, broadcast_bytes)
+    inside = (at >= F.coalesce("_before", "_lo")) & (at <= F.coalesce("_behind", "_hi"))
+    met = touched.join(near, _null_safe(touched, keys, "_n_")).where(inside | at.eqNullSafe(F.col("_opener")))
+    old = met.select(*names, F.col("_opens").alias("_opened"), F.col("_end_at").alias("_ended"),
+                     F.coalesce(at < F.col("_lo"), F.lit(False)).alias("_fixed"))
+    added = fresh.select(*names, F.lit(None).cast("boolean").alias("_opened"),
+                         F.lit(None).cast(state.schema["_end_at"].dataType).alias("_ended"), F.lit(False).alias("_fixed"))
+    # Of a row that both have, the state's stays.
+    rows = latest_per_key(old.unionByName(added).withColumn("_known", F.col("_opened").isNotNull()), [*keys, *seq], ["_known"]).drop("_known")
 
-    So rows that come late fall into their place, and a span they cut is cut as in a full run.
+    largest, total = group_extent(rows, keys)
+    sliced = largest > max_group_rows
+    if sliced:
+        shuffles = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = range_slices(rows, [*keys, *seq], max(shuffles, -(-total // max_group_rows), 2)).drop("_pos")
+    else:
+        rows = rows.withColumn("_slice", F.lit(0))
+    seen = _neighbours(rows, keys, seq, struct_of(["_gone", *columns]), "_prev", ahead=False, sliced=sliced)
+    tracked = F.struct(*[F.col(f"_prev.{c}").alias(c) for c in columns])
+    repeats = F.col("_prev").isNotNull() & (F.col("_prev._gone") == F.col("_gone")) & (F.col("_gone") | tracked.eqNullSafe(struct_of(columns)))
+    seen = seen.withColumn("_opens", F.when(F.col("_fixed"), F.col("_opened")).otherwise(~repeats)).drop("_prev")
+    # What the last stretch ends with here is what the last one ended with before.
+    tails = rows.where("_opened").groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.max_by("_ended", at).alias("_tail"))
+    opened = _neighbours(seen.where("_opens"), keys, seq, F.struct(F.col(seq[0]).alias("at")), "_next", ahead=True, sliced=sliced)
+    opened = (opened.join(tails, _null_safe(opened, keys, "_t_"), "left")
+              .withColumn("_end_at", F.when(F.col("_next").isNotNull(), F.col("_next.at")).otherwise(F.col("_tail")))
+              .select(*names, "_opens", "_end_at", "_opened", "_ended"))
+    again = seen.where("NOT _opens").select(*names, "_opens", F.lit(None).cast(state.schema["_end_at"].dataType).alias("_end_at"),
+                                            "_opened", "_ended")
+    changed = ~F.col("_opens").eqNullSafe(F.col("_opened")) | ~F.col("_end_at").eqNullSafe(F.col("_ended"))
+    return opened.unionByName(again).where(changed).select(*names, "_opens", "_end_at")
+
+
+def scd2_state(feed: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str], delete_when: Column | str,
+               max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """The state of `scd2_splice` after a first feed."""
+    none = _timeline(feed, keys, seq, columns, delete_when).withColumns(
+        {"_opens": F.lit(True), "_end_at": F.col(seq[0])}).limit(0)
+    return scd2_splice(none, feed, keys, seq, columns, delete_when, max_group_rows)
+
+
+def scd2_apply(state: DataFrame, batch: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str],
+               delete_when: Column | str, max_group_rows: int = MAX_GROUP_ROWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The state after a batch; rows that come late fall into their place, and a span they cut is cut as in a full run.
+
+    The changed rows (`scd2_splice`) replace their old ones by an anti join; all others pass by, unshuffled if the changed ones are few.
     """
-    touched = broadcast_if_small(batch.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct(), broadcast_bytes)
+    changed = kept_still(scd2_splice(state, batch, keys, seq, columns, delete_when, max_group_rows, broadcast_bytes))
+    ids = broadcast_if_small(changed.select(*[F.col(c).alias(f"_c_{c}") for c in (*keys, *seq)]), broadcast_bytes)
+    return state.join(ids, _null_safe(state, [*keys, *seq], "_c_"), "left_anti").unionByName(changed)
 
-    def same(df: DataFrame) -> Column:
-        return reduce(lambda a, b: a & b, [df[k].eqNullSafe(touched[f"_k_{k}"]) for k in keys])
 
-    again = scd2(feed.join(touched, same(feed), "left_semi"), keys, seq, columns, delete_when)
-    return current.join(touched, same(current), "left_anti").unionByName(again)
+def scd2_history(state: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The rows of `scd2` from a state: its open stretches, row by row."""
+    return state.where("_opens AND NOT _gone").select(*keys, *columns, F.col(seq[0]).alias("_start_at"), "_end_at",
+                                                      F.col("_end_at").isNull().alias("_is_current"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.operators import cdc, mutate
-from lakeops.plans.bindings import MONEY, Tables, as_double, ntz
+from lakeops.plans.bindings import MONEY, Tables, as_double, ntz, order_events
 from lakeops.plans.registry import query
 from lakeops.plans.sql import EVENTS, KEYED
+from lakeops.streaming import merge
+from lakeops.streaming.io import finish, read_stream
 
 LOG_COLUMNS = ["order_number", "customer_name", "state", "line_total"]
 KEY = ["order_number"]
@@ -252,11 +254,38 @@ def scd1_incremental(t: Tables) -> DataFrame:
     return as_double(state.where("state <> 'error'").withColumn("event_time", ntz("event_time")))
 
 
+_HISTORY = {"keys": ["user_id"], "seq": ["event_time", "event_id"], "columns": ["state"], "delete_when": "state = 'error'"}
+
+
 @query("scd2_incremental", _SCD2)
 def scd2_incremental(t: Tables) -> DataFrame:
     first, second = _arrivals(t)
-    how = {"keys": ["user_id"], "seq": ["event_time", "event_id"], "columns": ["state"], "delete_when": "state = 'error'"}
     path = t.scratch("scd2")
-    cdc.scd2(first, **how).write.parquet(path)
-    out = cdc.scd2_apply(t.spark.read.parquet(path), second, first.unionByName(second), **how)
+    cdc.scd2_state(first, **_HISTORY).write.parquet(path)
+    state = cdc.scd2_apply(t.spark.read.parquet(path), second, **_HISTORY)
+    return _history(state)
+
+
+def _history(state: DataFrame) -> DataFrame:
+    out = cdc.scd2_history(state, _HISTORY["keys"], _HISTORY["seq"], _HISTORY["columns"])
     return out.withColumns({c: ntz(c) for c in ("_start_at", "_end_at")})
+
+
+@query("scd2_stream", _SCD2)
+def scd2_stream(t: Tables) -> DataFrame:
+    """The history of a stream whose batches come out of order, folded once on the way."""
+    landing, path, check = t.scratch("scd2-landing"), t.scratch("scd2-state"), t.scratch("scd2-checkpoint")
+    events = t.read("events")
+    keys, seq = _HISTORY["keys"], _HISTORY["seq"]
+    # Every third event comes late; the last batch repeats rows of the first.
+    batches = [events.where("event_id % 3 <> 1"), events.where("event_id % 3 = 1 AND event_id % 2 = 0"),
+               events.where("event_id % 3 = 1 AND event_id % 2 = 1").unionByName(events.where("event_id % 3 = 0"))]
+    for k, batch in enumerate(batches):
+        batch.write.mode("append").parquet(landing)
+        stream = order_events(read_stream(t.spark, landing, events.schema, fmt="parquet"))
+        finish(merge.stream_scd2(stream, path, keys, seq, _HISTORY["columns"], _HISTORY["delete_when"], check))
+        if k == 1:
+            folded = t.scratch("scd2-folded")
+            merge.compact_scd2(t.spark, path, folded, keys, seq)
+            path = folded
+    return _history(merge.scd2_stored(t.spark, path, keys, seq))

@@ -8,11 +8,15 @@ folded state as a new base now and then. A replayed batch replaces its own folde
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.functions import struct_of
+from lakeops.operators.cdc import scd2_splice, scd2_state
+from lakeops.operators.mutate import kept_still, latest_per_key
+from lakeops.operators.skew import broadcast_if_small
 from lakeops.streaming.io import write_stream_batches
 
 BASE = -1
@@ -79,3 +83,53 @@ def merged_state(spark: SparkSession, path: str, keys: Sequence[str], columns: S
 def compact_merged(spark: SparkSession, path: str, dst: str, keys: Sequence[str]) -> None:
     """Fold all batches into the base of a new table at `dst`; continue the stream there."""
     _write(_folded(spark.read.parquet(path).drop("_batch_id"), keys), dst, BASE)
+
+
+def _scd2_rows(spark: SparkSession, path: str, before: int | None, like: DataFrame) -> DataFrame:
+    """The state rows written by the batches up to `before` (not included), each batch's in a folder of its own."""
+    stored = spark.read.schema(like.withColumn("_batch_id", F.lit(0).cast("bigint")).schema).parquet(path)
+    return stored if before is None else stored.where(F.col("_batch_id") < before)
+
+
+def _newest(rows: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """Of each state row the version written last."""
+    return latest_per_key(rows, [*keys, *seq], ["_batch_id"]).drop("_batch_id")
+
+
+def stream_scd2(stream: DataFrame, path: str, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str],
+                delete_when: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Keep a history (`cdc.scd2_splice`) of a change stream at `path`.
+
+    A micro-batch reads the state rows of its own keys and writes the rows it changes to its folder: later versions of a state row
+    win. A repeated batch reads the folders of earlier batches only, and replaces its own. Fold them now and then with `compact_scd2`.
+    """
+    spark, kind = stream.sparkSession, stream.schema
+
+    def apply(rows: DataFrame, batch_id: int) -> None:
+        empty = scd2_state(spark.createDataFrame([], kind), keys, seq, columns, delete_when)
+        if batch_id == 0 and not _exists(spark, path):
+            stored = empty.withColumn("_batch_id", F.lit(0).cast("bigint"))
+        else:
+            stored = _scd2_rows(spark, path, batch_id, empty)
+        wanted = broadcast_if_small(rows.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct())
+        same = reduce(lambda a, b: a & b, [stored[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+        state = kept_still(_newest(stored.join(wanted, same, "left_semi"), keys, seq))
+        changed = scd2_splice(state, rows, keys, seq, columns, delete_when)
+        changed.write.mode("overwrite").parquet(f"{path}/_batch_id={batch_id}")
+
+    return write_stream_batches(stream, apply, checkpoint, trigger)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
+def scd2_stored(spark: SparkSession, path: str, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """The state at `path`, for `cdc.scd2_history`."""
+    return _newest(spark.read.parquet(path), keys, seq)
+
+
+def compact_scd2(spark: SparkSession, path: str, dst: str, keys: Sequence[str], seq: Sequence[str]) -> None:
+    """Fold all batches into the first folder of a new state at `dst`; continue the stream there."""
+    scd2_stored(spark, path, keys, seq).write.mode("errorifexists").parquet(f"{dst}/_batch_id={BASE}")

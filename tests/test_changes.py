@@ -194,7 +194,8 @@ def test_scd_by_batches_is_a_full_run(spark, seed):
     kind = "k int, seq int, v string, op string"
     feed, (first, second) = spark.createDataFrame(events, kind), (spark.createDataFrame(x, kind) for x in (events[:40], events[40:]))
     how = {"keys": ["k"], "seq": ["seq"], "columns": ["v"], "delete_when": "op = 'D'"}
-    assert rows(cdc.scd2_apply(cdc.scd2(first, **how), second, feed, **how)) == rows(cdc.scd2(feed, **how))
+    state = cdc.scd2_apply(cdc.scd2_state(first, **how), second, **how)
+    assert rows(cdc.scd2_history(state, ["k"], ["seq"], ["v"])) == rows(cdc.scd2(feed, **how))
     state = cdc.scd1_apply(cdc.scd1_state(first, ["k"], ["seq"]), second, ["k"], ["seq"])
     assert rows(state.where("op <> 'D'")) == rows(cdc.scd1(feed, ["k"], ["seq"], "op = 'D'"))
 
@@ -298,3 +299,34 @@ def test_scd2_current_rows_are_scd1(spark):
     one = cdc.scd1(df, ["k"], ["seq", "id"], "op = 'D'")
     assert rows(two.where("_is_current").select("k", "v")) == rows(one.select("k", "v")) == [(1, "c"), (3, "m")]
     assert rows(two.where("k = 3").select("v", "_start_at", "_end_at")) == [("m", 1, 2), ("m", 3, None)]
+
+
+@pytest.mark.parametrize("seed,limit", [(1, 5_000_000), (2, 5_000_000), (3, 4)])
+def test_late_rows_splice_into_the_history(spark, seed, limit):
+    """Batch after batch in random order, with repeats of known rows; each state equals a full run over what has come so far."""
+    rng = random.Random(seed)
+    events = [(rng.choice([1, 1, 1, 1, 2, None]), i, -i, rng.choice(["a", "a", "b", None]), rng.choice(["U", "U", "U", "D"])) for i in range(50)]
+    rng.shuffle(events)
+    kind = "k int, seq int, id int, v string, op string"
+    how = {"keys": ["k"], "seq": ["seq", "id"], "columns": ["v"], "delete_when": "op = 'D'", "max_group_rows": limit}
+    state = cdc.scd2_state(spark.createDataFrame(events[:20], kind), **how)
+    for a, b in ((20, 23), (23, 24), (24, 40), (40, 50)):
+        known = rng.sample(events[:a], 3)
+        state = mutate.kept_still(cdc.scd2_apply(state, spark.createDataFrame(events[a:b] + known, kind), **how))
+        want = cdc.scd2(spark.createDataFrame(events[:b], kind), **how)
+        assert rows(cdc.scd2_history(state, ["k"], ["seq", "id"], ["v"])) == rows(want)
+    assert state.count() == 50
+    assert cdc.scd2_splice(state, spark.createDataFrame(events[:30], kind), **how).count() == 0
+
+
+def test_a_late_row_changes_its_neighbours_only(spark):
+    kind = "k int, seq int, v string, op string"
+    how = {"keys": ["k"], "seq": ["seq"], "columns": ["v"], "delete_when": "op = 'D'"}
+    feed = [(k, s, "a" if s % 100 < 50 else "b", "U") for k in range(3) for s in range(0, 1000, 10)]
+    state = mutate.kept_still(cdc.scd2_state(spark.createDataFrame(feed, kind), **how))
+    # Within a stretch: the stretch ends earlier, the row opens one, the next repeat opens another.
+    changed = cdc.scd2_splice(state, spark.createDataFrame([(1, 525, "c", "U")], kind), **how)
+    assert rows(changed.select("k", "seq", "_opens", "_end_at")) == [(1, 500, True, 525), (1, 525, True, 530), (1, 530, True, 550)]
+    # The same value: nothing but the row itself.
+    changed = cdc.scd2_splice(state, spark.createDataFrame([(1, 525, "a", "U")], kind), **how)
+    assert rows(changed.select("k", "seq", "_opens", "_end_at")) == [(1, 525, False, None)]
