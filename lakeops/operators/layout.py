@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -49,8 +49,13 @@ def _text_bounds(df: DataFrame, col: str, buckets: int) -> list[str]:
     return sorted({drawn[len(drawn) * i // buckets] for i in range(1, buckets)}) if drawn else []
 
 
-def _reaches(value: Column) -> Callable[[Column], Column]:
-    return lambda bound: bound <= value
+def _reached(value: Column, bounds: list, below: int) -> Column:
+    """`below` and how many of the ascending bounds the value reaches: a tree of comparisons, as deep as their logarithm."""
+    if not bounds:
+        return F.lit(below)
+    middle = len(bounds) // 2
+    return F.when(value >= bounds[middle], _reached(value, bounds[middle + 1:], below + middle + 1)).otherwise(
+        _reached(value, bounds[:middle], below))
 
 
 def _ranked(df: DataFrame, cols: Sequence[str], bits: int) -> DataFrame:
@@ -67,10 +72,7 @@ def _ranked(df: DataFrame, cols: Sequence[str], bits: int) -> DataFrame:
         if not bounds:
             out = out.withColumn(f"_z{i}", F.lit(0).cast("bigint"))
             continue
-        # How many bounds the value reaches.
-        listed = F.array(*[F.lit(b) for b in bounds])
-        rank = F.size(F.filter(listed, _reaches(value)))
-        out = out.withColumn(f"_z{i}", F.when(value.isNull(), 0).otherwise(rank).cast("bigint"))
+        out = out.withColumn(f"_z{i}", F.when(value.isNull(), 0).otherwise(_reached(value, bounds, 0)).cast("bigint"))
     return out.drop(*[f"_o{i}" for i in range(len(cols))])
 
 
@@ -136,3 +138,85 @@ def layout_report(spark: SparkSession, path: str, col: str, slices: int = 64) ->
     return (files.join(up_to, "max", "left").join(under, "min", "left")
             .select("file", "bytes", "rows", "min", "max",
                     F.coalesce(F.col("started") - F.col("ended") - 1, F.lit(0)).alias("overlaps")))
+
+
+LAYOUTS = "_layouts"
+
+
+def _folder_files(df: DataFrame, folder: str) -> DataFrame:
+    return df.select(F.col(folder).cast("string").alias("folder"), F.col("_metadata.file_path").alias("file"))
+
+
+def overlap_depth(df: DataFrame, folder: str, col: str) -> DataFrame:
+    """For each folder (a partition value) its files, bytes, and the depth of its files' ranges of `col`.
+
+    The depth is how many files hold the same value at most, counted by stabbing: the ends of the ranges, two rows a file, in order,
+    with +1 where one begins and -1 behind where one ends. 1 means that every value is in one file's range.
+    """
+    ranges = (df.select(F.col(folder).cast("string").alias("folder"), F.col(col).alias("value"), F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_size").alias("size"))
+              .groupBy("folder", "file", "size").agg(F.min("value").alias("least"), F.max("value").alias("most")))
+    ends = ranges.select("folder", F.explode(F.array(
+        F.struct(F.col("least").alias("at"), F.lit(0).alias("end"), F.lit(1).alias("step")),
+        F.struct(F.col("most").alias("at"), F.lit(1).alias("end"), F.lit(-1).alias("step")))).alias("e")).where("e.at IS NOT NULL")
+    # At equal values the begins come first: ranges that touch overlap.
+    so_far = Window.partitionBy("folder").orderBy("e.at", "e.end").rowsBetween(Window.unboundedPreceding, 0)
+    depth = ends.withColumn("n", F.sum("e.step").over(so_far)).groupBy("folder").agg(F.max("n").alias("depth"))
+    sizes = ranges.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
+    return sizes.join(depth, "folder", "left").select("folder", "files", "bytes", F.coalesce("depth", F.lit(0)).alias("depth"))
+
+
+def recluster(spark: SparkSession, path: str, folder: str, cols: Sequence[str], max_depth: int = 2,
+              target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Cluster by `cols` the folders of a partitioned table whose files overlap in the first of them by more than `max_depth` (neighbours may share the value at their edge).
+
+    Returns folder, files, bytes, depth and whether it was rewritten, for the folders that were looked at. What was looked at is listed
+    beside the table (`_layouts`), with the names of its files: a later run, also one with other `cols`, passes over folders that
+    haven't changed since, without reading them. Rows to rewrite are written aside first, then replace their folders by a dynamic partition
+    overwrite, which leaves all others alone; if it breaks off, the rows are still in the scratch folder.
+    """
+    table = spark.read.parquet(path)
+    listed = scratch_dir(spark, "listed")
+    _folder_files(table, folder).distinct().groupBy("folder").agg(
+        F.xxhash64(F.sort_array(F.collect_list("file"))).alias("state")).write.parquet(listed)
+    now = spark.read.parquet(listed)
+    fresh = now
+    if _has(spark, f"{path}/{LAYOUTS}"):
+        known = spark.read.schema("folder string, state bigint").parquet(f"{path}/{LAYOUTS}/*").withColumnsRenamed({"folder": "k", "state": "s"})
+        fresh = now.join(known, F.col("folder").eqNullSafe(F.col("k")) & (F.col("state") == F.col("s")), "left_anti")
+    # A row per folder on the driver, as in the table's own listing.
+    names = [r["folder"] for r in fresh.select("folder").collect()]
+    text = F.col(folder).cast("string")
+    within = text.isin([n for n in names if n is not None]) | (text.isNull() & F.lit(None in names))
+    depths = scratch_dir(spark, "depths")
+    overlap_depth(table.where(F.coalesce(within, F.lit(False))), folder, cols[0]).withColumn("rewritten", F.col("depth") > max_depth).write.parquet(depths)
+    report = spark.read.parquet(depths)
+    chosen = report.where("rewritten").agg(F.sum("bytes").alias("bytes"), F.collect_list("folder").alias("names"),
+                                           F.max(F.col("folder").isNull()).alias("none")).first()
+    if chosen["bytes"]:
+        rows = table.where(F.coalesce(text.isin(chosen["names"]), F.lit(False)) | (text.isNull() & F.lit(bool(chosen["none"]))))
+        aside = scratch_dir(spark, "aside")
+        rows.write.parquet(aside)
+        still = spark.read.schema(rows.schema).parquet(aside)
+        files = max(1, -(-chosen["bytes"] // target_bytes))
+        _clustered_within(still, folder, cols, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder).parquet(path)
+    # The files as they are now, of the folders that were looked at.
+    seen = _folder_files(spark.read.parquet(path), folder).where(F.coalesce(F.col("folder").isin([n for n in names if n is not None]), F.lit(None in names)))
+    (seen.distinct().groupBy("folder").agg(F.xxhash64(F.sort_array(F.collect_list("file"))).alias("state"))
+     .coalesce(1).write.parquet(f"{path}/{LAYOUTS}/{scratch_dir(spark, 'run').rsplit('-', 1)[1]}"))
+    return report
+
+
+def _clustered_within(df: DataFrame, folder: str, cols: Sequence[str], files: int) -> DataFrame:
+    """Rows by folder, and within by one column or the Z-value of several."""
+    if len(cols) == 1:
+        return range_partitioned(df, [folder, cols[0]], files)
+    bits = min(6, 62 // len(cols))
+    names = [f"_z{i}" for i in range(len(cols))]
+    keyed = _ranked(df, cols, bits).withColumn("_z", z_value(names, bits)).drop(*names)
+    return range_partitioned(keyed, [folder, "_z"], files).drop("_z")
+
+
+def _has(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)

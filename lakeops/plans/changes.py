@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.operators import cdc, mutate
+from lakeops.operators.refresh import Kept
+from lakeops.operators.versions import as_of_version
 from lakeops.plans.bindings import MONEY, Tables, as_double, ntz, order_events
 from lakeops.plans.registry import query
 from lakeops.plans.sql import EVENTS, KEYED
@@ -289,3 +291,26 @@ def scd2_stream(t: Tables) -> DataFrame:
             merge.compact_scd2(t.spark, path, folded, keys, seq)
             path = folded
     return _history(merge.scd2_stored(t.spark, path, keys, seq))
+
+
+_GOLD = Kept(["state"], sums=["line_total"], extremes=["line_total"], distinct="customer_name")
+
+
+@query("gold_refreshed", f"""WITH {LOG}
+SELECT state, count(*) AS orders, CAST(sum(new_total) AS DOUBLE) AS revenue, CAST(min(new_total) AS DOUBLE) AS least,
+       CAST(max(new_total) AS DOUBLE) AS greatest, count(DISTINCT customer_name) AS customers
+FROM cut WHERE new_total >= 20000 GROUP BY state""")
+def gold_refreshed(t: Tables) -> DataFrame:
+    """Aggregates of the first commit, brought up to date with those of the next three."""
+    path = t.scratch("gold-log")
+    order_log(t).write.partitionBy("_commit_version").parquet(path)
+    log = t.spark.read.parquet(path).withColumn("_commit_version", F.col("_commit_version").cast("bigint"))
+    first = as_of_version(log, KEY, 0, oldest=0)
+    groups, values = mutate.kept_still(_GOLD.groups(first)), mutate.kept_still(_GOLD.values(first))
+    for version in (1, 2, 3):
+        step = cdc.read_changes(log, version, version)
+        groups, values = _GOLD.refreshed(groups, values, step, as_of_version(log, KEY, version, oldest=0))
+        groups, values = mutate.kept_still(groups), mutate.kept_still(values)
+    return as_double(groups.select("state", F.col("n").alias("orders"), F.col("sum_line_total").alias("revenue"),
+                                   F.col("min_line_total").alias("least"), F.col("max_line_total").alias("greatest"),
+                                   F.col("distinct").alias("customers")))

@@ -21,6 +21,8 @@ from lakeops.plans.changes import (
     order_log,
 )
 from lakeops.plans.registry import query
+from lakeops.streaming import changes
+from lakeops.streaming.io import finish
 
 
 def committed(t: Tables) -> str:
@@ -115,3 +117,23 @@ def clone_deep(t: Tables) -> DataFrame:
 @query("clone_at_version", f"WITH {LOG} {STATE_0}")
 def clone_at_version(t: Tables) -> DataFrame:
     return as_double(versions.clone_view(order_log(t), KEY, f"clone_{uuid.uuid4().hex[:12]}", version=0))
+
+
+@query("changes_stream", f"WITH {LOG} {STATE_3}")
+def changes_stream(t: Tables) -> DataFrame:
+    """The log read as a stream from version 1 on, in two runs with commits between them, one of these for the second time."""
+    log, kept, check = t.scratch("stream-log"), t.scratch("applied"), t.scratch("applied-checkpoint")
+    source = versions.read_log(t.spark, committed(t))
+    at = {v: f"2024-01-0{v + 1}" for v in range(4)}
+
+    def put(version: int) -> None:
+        rows = cdc.read_changes(source, version, version).drop("_commit_version", "_commit_timestamp")
+        versions.commit(log, rows, version, at[version])
+
+    target = versions.as_of_version(source, KEY, 0)
+    for batch in ((0, 1, 2), (3, 2)):
+        for version in batch:
+            put(version)
+        stream = changes.stream_changes(t.spark, log, source.schema, from_version=1)
+        finish(changes.stream_apply(stream, kept, KEY, check))
+    return as_double(changes.applied(t.spark, target, kept, KEY))

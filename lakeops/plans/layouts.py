@@ -73,3 +73,52 @@ def partition_prune(t: Tables) -> DataFrame:
     path = t.scratch("partitioned")
     files.write_table(_lines(t), path, partition_by=["l_returnflag"])
     return files.read_parquet(t.spark, path).where(F.col("l_returnflag") == "R")
+
+
+def _by_status(t: Tables, path: str) -> None:
+    """Orders in folders by status: those of F in overlapping files, those of O clustered by date."""
+    orders = t.read("orders")
+    orders.where("o_orderstatus <> 'O'").repartition(4, "o_orderkey").write.partitionBy("o_orderstatus").parquet(path)
+    dated = layout.cluster_by(orders.where("o_orderstatus = 'O'"), ["o_orderdate"], 4)
+    dated.write.mode("append").partitionBy("o_orderstatus").parquet(path)
+
+
+@query("recluster_rows", "SELECT * FROM orders UNION ALL SELECT * REPLACE ('New' AS o_orderstatus) FROM orders WHERE o_orderstatus = 'F'")
+def recluster_rows(t: Tables) -> DataFrame:
+    """All rows are there after folders were clustered, more came, and these were clustered by other columns."""
+    path, orders = t.scratch("recluster"), t.read("orders")
+    _by_status(t, path)
+    layout.recluster(t.spark, path, "o_orderstatus", ["o_orderdate"])
+    fresh = orders.where("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("New"))
+    fresh.repartition(4, "o_orderkey").write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    layout.recluster(t.spark, path, "o_orderstatus", ["o_custkey", "o_orderdate"])
+    return files.read_parquet(t.spark, path).select(*orders.columns)
+
+
+@query("recluster_folders", """SELECT o_orderstatus AS folder, o_orderstatus <> 'O' AS first_run, false AS second_run, true AS narrow FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'New', false, true, true""")
+def recluster_folders(t: Tables) -> DataFrame:
+    """Which folders have other files after each of two runs, and whether the dates of the first one's files don't overlap."""
+    path, orders = t.scratch("recluster"), t.read("orders")
+
+    def listed(name: str) -> DataFrame:
+        out = t.scratch(name)
+        stored = t.spark.read.parquet(path).select(F.col("o_orderstatus").alias("folder"), F.col("_metadata.file_path").alias("file"))
+        stored.groupBy("folder").agg(F.sort_array(F.collect_set("file")).alias(name)).write.parquet(out)  # a row per folder
+        return t.spark.read.parquet(out)
+
+    _by_status(t, path)
+    runs = [listed("start")]
+    layout.recluster(t.spark, path, "o_orderstatus", ["o_orderdate"], target_bytes=1 << 20)
+    depth = layout.overlap_depth(t.spark.read.parquet(path), "o_orderstatus", "o_orderdate").select("folder", (F.col("depth") <= 2).alias("narrow"))
+    kept = t.scratch("depth")
+    depth.write.parquet(kept)
+    runs.append(listed("first"))
+    fresh = orders.where("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("New"))
+    fresh.repartition(4, "o_orderkey").write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    runs.append(listed("added"))
+    layout.recluster(t.spark, path, "o_orderstatus", ["o_custkey", "o_orderdate"], target_bytes=1 << 20)
+    runs.append(listed("second"))
+    joined = runs[3].join(runs[0], "folder", "left").join(runs[1], "folder", "left").join(runs[2], "folder").join(t.spark.read.parquet(kept), "folder", "left")
+    return joined.select("folder", F.coalesce(F.col("start") != F.col("first"), F.lit(False)).alias("first_run"),
+                         (F.col("added") != F.col("second")).alias("second_run"), F.coalesce("narrow", F.lit(True)).alias("narrow"))

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, functions as F
 
 from lakeops.operators.mutate import latest_per_key
+from lakeops.operators.rules import Rule
 from lakeops.operators.sampling import split_into_batches
 from lakeops.plans.bindings import Tables, as_double, ntz, order_events
 from lakeops.plans.changes import day_operations
@@ -18,7 +19,18 @@ from lakeops.plans.summaries import GOLD_STATE_SQL, by_grade, by_state, rounded_
 from lakeops.session import path_bytes
 from lakeops.sources import tables
 from lakeops.streaming import medallion, merge, windows
-from lakeops.streaming.io import finish, read_stream, write_stream, write_stream_clustered, write_stream_table
+from lakeops.streaming.io import (
+    PARTS,
+    finish,
+    observed_counts,
+    part_of,
+    read_stream,
+    write_stream,
+    write_stream_clustered,
+    write_stream_observed,
+    write_stream_parts,
+    write_stream_table,
+)
 
 DELAY = "10 minutes"
 
@@ -180,34 +192,62 @@ def stream_clustered(t: Tables) -> DataFrame:
     return as_double(t.spark.read.parquet(path).drop("_batch_id"))
 
 
+# Late are some of the events that lie two hours and more before the latest.
+_LATE = "event_id % 97 = 0"
+
+
 @query("stream_late_rows", f"""WITH {EVENTS},
-early AS (SELECT * FROM ev WHERE event_id % 2 = 0),
-w AS (SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS window_start, * FROM early)
+on_time AS (SELECT * FROM ev WHERE NOT ({_LATE} AND event_time < (SELECT max(event_time) FROM ev) - INTERVAL 2 HOUR)),
+w AS (SELECT time_bucket(INTERVAL 1 HOUR, event_time) AS window_start, * FROM on_time)
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, state, {_STATS}
-FROM w GROUP BY window_start, state HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM early) - INTERVAL 10 MINUTE""")
+FROM w GROUP BY window_start, state HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM on_time) - INTERVAL 10 MINUTE""")
 def stream_late_rows(t: Tables) -> DataFrame:
-    """Rows that come in a second batch, after the watermark of the first has passed them, are not counted.
-
-    The second batch holds the odd events up to two hours before the first one's latest.
-    """
+    """Rows that come in a second batch, after the watermark of the first has passed them, are not counted; all others are."""
     landing, path, check = t.scratch("late"), t.scratch("late-out"), t.scratch("late-checkpoint")
-    events = t.read("events")
-    latest = events.where("event_id % 2 = 0").agg(F.max("ts").alias("latest"))
-    late = events.where("event_id % 2 = 1").join(F.broadcast(latest)).where("ts < latest - INTERVAL 2 HOURS").drop("latest")
-    for batch in (events.where("event_id % 2 = 0"), late):
+    for batch in _in_time_and_late(t):
         batch.write.mode("append").parquet(landing)
-        hourly = windows.tumbling(order_events(read_stream(t.spark, landing, events.schema, fmt="parquet")), "event_time",
+        hourly = windows.tumbling(order_events(read_stream(t.spark, landing, batch.schema, fmt="parquet")), "event_time",
                                   "1 hour", ["state"], windows.order_stats("line_total"), DELAY)
         finish(write_stream(hourly, path, check))
     return _flat(t.spark.read.schema(hourly.schema).parquet(path))
 
 
+def _in_time_and_late(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The events as a batch of those in time and a second one of the late ones: together all of them."""
+    events = t.read("events")
+    marked = events.join(F.broadcast(events.agg(F.max("ts").alias("latest")))).withColumn(
+        "late", F.expr(f"{_LATE} AND ts < latest - INTERVAL 2 HOURS"))
+    return marked.where("NOT late").drop("latest", "late"), marked.where("late").drop("latest", "late")
+
+
+_EVENT_RULES = [Rule.check("positive", "line_total > 5"), Rule.check("known_state", "state <> 'error'")]
+
+
+@query("stream_parts", f"""WITH {EVENTS},
+dealt AS (
+  SELECT *, CASE WHEN {_LATE} AND event_time < (SELECT max(event_time) FROM ev) - INTERVAL 2 HOUR THEN 'late'
+                 WHEN NOT (line_total > 5) OR state = 'error' THEN 'quarantined' ELSE 'good' END AS part FROM ev)
+SELECT part, event_id, state, CAST(line_total AS DOUBLE) AS line_total,
+       (CASE WHEN NOT (line_total > 5) THEN 1 ELSE 0 END) + (CASE WHEN state = 'error' THEN 1 ELSE 0 END) AS broken FROM dealt""")
+def stream_parts(t: Tables) -> DataFrame:
+    """A stream dealt out into good, quarantined and late rows, which add up to its input."""
+    landing, path, check = t.scratch("parts"), t.scratch("parts-out"), t.scratch("parts-checkpoint")
+    for batch in _in_time_and_late(t):
+        batch.write.mode("append").parquet(landing)
+        stream = order_events(read_stream(t.spark, landing, batch.schema, fmt="parquet"))
+        finish(write_stream_parts(stream, path, _EVENT_RULES, "event_time", "2 hours", check))
+    parts = [part_of(t.spark, path, p, stream.schema).withColumn("part", F.lit(p)) for p in PARTS]
+    return as_double(parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
+        "part", "event_id", "state", "line_total", F.size("violations").alias("broken")))
+
+
 @query("stream_metrics", f"WITH {LOANS} " + "\nUNION ALL\n".join(
     f"SELECT '{n}' AS expectation, count(*) FILTER (WHERE NOT {c}) AS failed FROM loans" for n, c in PASSED.items()))
 def stream_metrics(t: Tables) -> DataFrame:
-    """The failures that the progress of a stream reports, summed over its batches."""
+    """The failures that a stream keeps for each of its batches, summed."""
     path, landed = _landing(t)
-    raw = read_stream(t.spark, path, landed.schema, fmt="parquet")
-    query = finish(write_stream(medallion.silver(raw, EXPECTATIONS, clean_loans), t.scratch("observed"), t.scratch("observed-checkpoint")))
-    seen = [p.observedMetrics[medallion.SILVER_METRICS] for p in query.recentProgress if medallion.SILVER_METRICS in p.observedMetrics]
-    return t.spark.createDataFrame([(n, sum(m[n] for m in seen)) for n in EXPECTATIONS], "expectation string, failed bigint")
+    out, counts, check = t.scratch("observed"), t.scratch("observed-counts"), t.scratch("observed-checkpoint")
+    some = path_bytes(t.spark, path) // 4 + 1  # a few micro-batches, whatever the size
+    raw = read_stream(t.spark, path, landed.schema, fmt="parquet", max_bytes=some)
+    finish(write_stream_observed(raw, out, counts, EXPECTATIONS, check, clean_loans))
+    return observed_counts(t.spark, counts).select("expectation", "failed")

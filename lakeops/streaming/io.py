@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from lakeops.operators.layout import cluster_by
+from lakeops.operators.rules import Expectations, Rule, expect, with_violations
 
 # What a micro-batch of an ingest takes, about.
 BATCH_BYTES = 256 * 1024 * 1024 * 1024
@@ -70,6 +71,66 @@ def write_stream_clustered(df: DataFrame, path: str, cols: Sequence[str], files:
     return write_stream_batches(df, write, checkpoint, trigger)
 
 
+def write_stream_observed(df: DataFrame, path: str, metrics_path: str, rules: Expectations, checkpoint: str,
+                          clean: Callable[[DataFrame], DataFrame] = lambda df: df, trigger: str | None = None) -> StreamingQuery:
+    """Append a stream that meets expectations (`rules.expect`), with the counts of each micro-batch kept beside it.
+
+    Rows and counts of a batch are folders named by its id, replaced if it is repeated. So counts outlast the query, its
+    restarts, and the few batches that its progress remembers. Read them with `observed_counts`.
+    """
+
+    def apply(rows: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"expectations-{batch_id}")
+        clean(expect(rows, rules, seen)).write.mode("overwrite").parquet(f"{path}/_batch_id={batch_id}")
+        counts = [(name, seen.get[name], seen.get["_records"]) for name in rules]
+        (rows.sparkSession.createDataFrame(counts, "expectation string, failed bigint, records bigint").coalesce(1)
+         .write.mode("overwrite").parquet(f"{metrics_path}/_batch_id={batch_id}"))
+
+    return write_stream_batches(df, apply, checkpoint, trigger)
+
+
+def observed_counts(spark: SparkSession, metrics_path: str) -> DataFrame:
+    """Failures of each expectation and records seen, over all batches."""
+    return spark.read.parquet(metrics_path).groupBy("expectation").agg(F.sum("failed").alias("failed"), F.sum("records").alias("records"))
+
+
+PARTS = ("good", "quarantined", "late")
+
+
+def write_stream_parts(df: DataFrame, path: str, rules: Sequence[Rule], ts: str, delay: str, checkpoint: str,
+                       trigger: str | None = None) -> StreamingQuery:
+    """Deal each micro-batch out in one pass: rows that come too late, rows that break a rule, and good ones.
+
+    Late are rows whose `ts` lies more than `delay` before the greatest of earlier batches; that watermark is kept with each batch,
+    a row, and a repeated batch goes by those before it. A batch is one folder, replaced if it is repeated, with a
+    folder for each part: all three appear together, and add up to the batch. Rows without a time aren't late. Read them with `part_of`.
+    """
+
+    def apply(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        seen = None
+        if batch_id:
+            kept = spark.read.schema("latest timestamp, _batch_id bigint").parquet(f"{path}/marks")
+            seen = kept.where(F.col("_batch_id") < batch_id).agg(F.max("latest").alias("latest")).first()["latest"]
+        late = F.lit(False) if seen is None else F.coalesce(
+            F.col(ts).cast("timestamp") < F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        marked = with_violations(rows, rules)
+        part = F.when(late, "late").when(F.size("violations") > 0, "quarantined").otherwise("good")
+        latest = Observation(f"latest-{batch_id}")
+        (marked.withColumn("part", part).observe(latest, F.max(F.col(ts).cast("timestamp")).alias("latest"))
+         .write.mode("overwrite").partitionBy("part").parquet(f"{path}/rows/_batch_id={batch_id}"))
+        (spark.createDataFrame([(latest.get["latest"],)], "latest timestamp").coalesce(1)
+         .write.mode("overwrite").parquet(f"{path}/marks/_batch_id={batch_id}"))
+
+    return write_stream_batches(df, apply, checkpoint, trigger)
+
+
+def part_of(spark: SparkSession, path: str, part: str, schema: StructType) -> DataFrame:
+    """One of `PARTS` of a stream's rows, with the names of broken rules; `schema` is that of the stream."""
+    kind = StructType([*schema.fields, StructField("violations", ArrayType(StringType())), StructField("part", StringType())])
+    return spark.read.schema(kind).parquet(f"{path}/rows").where(F.col("part") == part).select(*schema.names, "violations")
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a query to end by itself, and raise what made it fail."""
     query.awaitTermination()
