@@ -156,14 +156,15 @@ def overlap_depth(df: DataFrame, folder: str, col: str) -> DataFrame:
     ranges = (df.select(F.col(folder).cast("string").alias("folder"), F.col(col).alias("value"), F.col("_metadata.file_path").alias("file"),
                         F.col("_metadata.file_size").alias("size"))
               .groupBy("folder", "file", "size").agg(F.min("value").alias("least"), F.max("value").alias("most")))
+    some = F.col("least").isNotNull()  # a file of NULLs only has no range
     ends = ranges.select("folder", F.explode(F.array(
-        F.struct(F.col("least").alias("at"), F.lit(0).alias("end"), F.lit(1).alias("step")),
-        F.struct(F.col("most").alias("at"), F.lit(1).alias("end"), F.lit(-1).alias("step")))).alias("e")).where("e.at IS NOT NULL")
+        F.struct(F.col("least").alias("at"), F.lit(0).alias("end"), F.when(some, 1).otherwise(0).alias("step"), F.col("size").alias("bytes")),
+        F.struct(F.col("most").alias("at"), F.lit(1).alias("end"), F.when(some, -1).otherwise(0).alias("step"), F.lit(0).cast("bigint").alias("bytes"))
+    )).alias("e"))
     # At equal values the begins come first: ranges that touch overlap.
     so_far = Window.partitionBy("folder").orderBy("e.at", "e.end").rowsBetween(Window.unboundedPreceding, 0)
-    depth = ends.withColumn("n", F.sum("e.step").over(so_far)).groupBy("folder").agg(F.max("n").alias("depth"))
-    sizes = ranges.groupBy("folder").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
-    return sizes.join(depth, "folder", "left").select("folder", "files", "bytes", F.coalesce("depth", F.lit(0)).alias("depth"))
+    return ends.withColumn("n", F.sum("e.step").over(so_far)).groupBy("folder").agg(
+        F.count_if(F.col("e.end") == 0).alias("files"), F.sum("e.bytes").alias("bytes"), F.max("n").alias("depth"))
 
 
 def recluster(spark: SparkSession, path: str, folder: str, cols: Sequence[str], max_depth: int = 2,

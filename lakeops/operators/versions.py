@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lakeops.functions import struct_of
-from lakeops.operators.cdc import META, change_rows, image_columns, latest_changes
+from lakeops.operators.cdc import META, apply_changes, change_rows, image_columns, latest_changes
 from lakeops.operators.mutate import differences
 
 
@@ -184,6 +184,38 @@ def clone_view(log: DataFrame, keys: Sequence[str], name: str, version: int) ->
     return log.sparkSession.table(name)
 
 
-__all__ = ["META", "VersionNotAvailable", "as_of_timestamp", "as_of_version", "clone", "clone_view",
+BASE = "_base"
+
+
+def clone_writable(spark: SparkSession, base: str, keys: Sequence[str], path: str, version: int) -> DataFrame:
+    """Shallow clone that can be written to: a pointer to a log and a version, and a log of its own.
+
+    No row is copied; the clone outlives the session. Later commits to the base aren't seen, those to the clone (`commit_clone`) stay
+    with it. The base must keep the version: once `compact_log` has dropped it, reading the clone raises.
+    """
+    as_of_version(read_log(spark, base), keys, version)  # raises if there is none
+    pointer = spark.createDataFrame([(base, version, list(keys))], "base string, version bigint, keys array<string>")
+    pointer.coalesce(1).write.mode("errorifexists").parquet(f"{path}/{BASE}")
+    return read_clone(spark, path)
+
+
+def commit_clone(path: str, changes: DataFrame, version: int, ts: str | Column) -> None:
+    """A commit to the clone's own log (`commit`)."""
+    commit(f"{path}/log", changes, version, ts)
+
+
+def read_clone(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The clone's rows: the base at its version, with the clone's commits (up to `version`) merged on read."""
+    pointer = spark.read.parquet(f"{path}/{BASE}").first()
+    rows = as_of_version(read_log(spark, pointer["base"]), pointer["keys"], pointer["version"])
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/log")
+    if not where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+        return rows
+    own = read_log(spark, f"{path}/log")
+    return apply_changes(rows, own if version is None else own.where(F.col("_commit_version") <= version), pointer["keys"])
+
+
+__all__ = ["clone_writable", "commit_clone", "read_clone",
+           "META", "VersionNotAvailable", "as_of_timestamp", "as_of_version", "clone", "clone_view",
            "commit", "commits", "compact_log", "diff_versions", "history", "oldest_version", "read_log",
            "restore", "stamp", "version_at", "version_counts"]

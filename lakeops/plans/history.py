@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from lakeops.operators import cdc, versions
 from lakeops.plans.bindings import Tables, as_double
@@ -137,3 +137,17 @@ def changes_stream(t: Tables) -> DataFrame:
         stream = changes.stream_changes(t.spark, log, source.schema, from_version=1)
         finish(changes.stream_apply(stream, kept, KEY, check))
     return as_double(changes.applied(t.spark, target, kept, KEY))
+
+
+@query("clone_writable", f"""WITH {LOG}
+SELECT 'clone' AS side, order_number, customer_name, CASE WHEN state = 'NATION_3' THEN 'Elsewhere' ELSE state END AS state,
+       CAST(line_total AS DOUBLE) AS line_total FROM cut
+UNION ALL SELECT 'base', * FROM ({STATE_3})""")
+def clone_writable(t: Tables) -> DataFrame:
+    """A clone at version 1 with a commit of its own, and its base with two later ones: neither sees the other's."""
+    base, path = committed(t), t.scratch("clone")
+    rows = versions.clone_writable(t.spark, base, KEY, path, 1)
+    versions.commit_clone(path, cdc.update_changes(rows, {"state": "'Elsewhere'"}, "state = 'NATION_3'"), 0, "2024-02-01")
+    sides = {"clone": versions.read_clone(t.spark, path), "base": versions.as_of_version(versions.read_log(t.spark, base), KEY, 3)}
+    both = [df.select(F.lit(name).alias("side"), *LOG_COLUMNS) for name, df in sides.items()]
+    return as_double(both[0].unionByName(both[1]))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -10,7 +12,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from lakeops.plans.bindings import MONEY, Tables, as_double
 from lakeops.plans.registry import query
 from lakeops.plans.sql import CUSTOMERS, FLAT, KEYED
-from lakeops.sources import files, tables
+from lakeops.sources import files, sweep, tables
+from lakeops.streaming import io
 
 
 def scratch_db(t: Tables) -> str:
@@ -272,3 +275,68 @@ def cached_counts(t: Tables) -> DataFrame:
     with tables.cached(t.spark, table) as orders:
         files.write_table(orders.groupBy("state").agg(F.count(F.lit(1)).alias("orders")), path)
     return files.read_parquet(t.spark, path)
+
+
+@query("ingest_evolving", f"""WITH {CUSTOMERS}
+SELECT customer_id, customer_name, NULL AS state, CAST(NULL AS VARCHAR) AS rescued FROM customers WHERE loyalty_segment = 'BUILDING'
+UNION ALL
+SELECT CASE WHEN customer_id % 2 = 0 THEN customer_id END, customer_name, state, CASE WHEN customer_id % 2 <> 0 THEN 'no ' || customer_id END
+FROM customers WHERE loyalty_segment <> 'BUILDING'""")
+def ingest_evolving(t: Tables) -> DataFrame:
+    """Two batches of files: the second has a new column, and values that don't fit the type of a known one."""
+    src, dst, kept, check = (t.scratch(n) for n in ("evolving-src", "evolving", "evolving-schema", "evolving-checkpoint"))
+    people, first = t.customers(), F.col("loyalty_segment") == "BUILDING"
+    mistyped = F.when(F.col("customer_id") % 2 != 0, F.concat(F.lit("no "), F.col("customer_id").cast("string")))
+    people.where(first).select("customer_id", "customer_name").write.json(f"{src}/a")
+    for k, batch in enumerate((None, people.where(~first))):
+        if batch is not None:
+            # The same field as a number or, where that is wanted, as a text.
+            batch.where(mistyped.isNull()).select("customer_id", "customer_name", "state").write.json(f"{src}/b{k}")
+            batch.where(mistyped.isNotNull()).select(mistyped.alias("customer_id"), "customer_name", "state").write.json(f"{src}/c{k}")
+        io.ingest_evolving(t.spark, src, dst, kept, check)
+    rows = io.read_evolving(t.spark, dst, kept)
+    return rows.select("customer_id", "customer_name", "state", F.element_at(io.RESCUED, F.lit("customer_id")).alias("rescued"))
+
+
+@query("join_reordered", """SELECT count(*) AS rows, true AS other_plan FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN customer ON o_custkey = c_custkey WHERE c_custkey < 30""")
+def join_reordered(t: Tables) -> DataFrame:
+    """A join in the order written, and in the one that statistics make of it: other plans, the same rows."""
+    db = scratch_db(t)
+    for name in ("lineitem", "orders", "customer"):
+        tables.save_table(t.read(name), f"{db}.{name}")
+    text = f"""SELECT count(*) AS rows FROM {db}.lineitem JOIN {db}.orders ON l_orderkey = o_orderkey
+               JOIN {db}.customer ON o_custkey = c_custkey WHERE c_custkey < 30"""
+
+    def joined() -> tuple[int, list[str]]:
+        df = t.spark.sql(text)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return df.first()["rows"], [n for n in re.findall(r"l_orderkey|o_custkey|c_custkey", plan) if n]
+
+    plain = joined()
+    for name in ("lineitem", "orders", "customer"):
+        tables.analyze(t.spark, f"{db}.{name}", histograms=True)
+    with tables.cost_based(t.spark):
+        by_cost = joined()
+    return t.spark.createDataFrame([(by_cost[0], by_cost[1] != plain[1])], "rows bigint, other_plan boolean").where(F.lit(plain[0] == by_cost[0]))
+
+
+@query("sweep_files", f"WITH {KEYED} SELECT count(*) AS rows, true AS listed, 0 AS too_early, true AS gone, true AS readable FROM keyed WHERE status <> 'P'")
+def sweep_files(t: Tables) -> DataFrame:
+    """Files of a table that changes left behind: listed after the retention, not before it; removed, and the table still whole."""
+    db, root = f"lakeops_{uuid.uuid4().hex[:12]}", t.scratch("sweep")
+    table = f"{tables.database(t.spark, db, root)}.orders"
+    tables.save_table(t.keyed_orders().select("order_number", "state", "status", "line_total"), table)
+    left = {unquote(f) for f in t.spark.table(table).inputFiles()}
+    tables.delete_table(t.spark, table, "status = 'P'")
+
+    def run(at: str, dry_run: bool) -> set[str]:
+        return {r["path"] for r in sweep.sweep(t.spark, root, [table], retention_hours=24, at=at, dry_run=dry_run).select("path").collect()}
+
+    early = run("2024-01-01 00:00:00", False) | run("2024-01-01 23:00:00", False)
+    due = run("2024-01-02 01:00:00", True)
+    run("2024-01-02 02:00:00", False)
+    names = lambda paths: {p.rsplit("/", 1)[1] for p in paths}
+    there = names(r["path"] for r in sweep.files_under(t.spark, root).select("path").collect())
+    return t.spark.table(table).agg(F.count(F.lit(1)).alias("rows"), F.lit(names(due) == names(left)).alias("listed"), F.lit(len(early)).alias("too_early"),
+                                    F.lit(not there & names(left)).alias("gone"), (F.count("line_total") > 0).alias("readable"))

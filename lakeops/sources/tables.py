@@ -233,9 +233,33 @@ def add_columns(spark: SparkSession, table: str, columns: dict[str, tuple[str, s
     return spark.table(table)
 
 
-def analyze(spark: SparkSession, table: str) -> None:
-    """Collect table and column statistics for the optimizer."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+def analyze(spark: SparkSession, table: str, histograms: bool = False) -> None:
+    """Collect table and column statistics for the optimizer; with `histograms`, equi-height ones of its columns, too."""
+    with _settings(spark, {"spark.sql.statistics.histogram.enabled": str(histograms).lower()}):
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]):
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+@contextmanager
+def cost_based(spark: SparkSession):
+    """Plan by the statistics of analysed tables while the block runs: sizes after filters, and the order of joins."""
+    with _settings(spark, {"spark.sql.cbo.enabled": "true", "spark.sql.cbo.joinReorder.enabled": "true",
+                           "spark.sql.cbo.planStats.enabled": "true"}):
+        yield
 
 
 @contextmanager

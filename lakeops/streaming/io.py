@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType
 
 from lakeops.operators.layout import cluster_by
 from lakeops.operators.rules import Expectations, Rule, expect, with_violations
+from lakeops.session import scratch_dir
 
 # What a micro-batch of an ingest takes, about.
 BATCH_BYTES = 256 * 1024 * 1024 * 1024
@@ -148,3 +150,70 @@ def ingest_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, s
     takes about `max_bytes`, so that a first run over a huge folder makes lasting progress.
     """
     return finish(write_stream(add(read_stream(spark, src, schema, fmt=fmt, max_bytes=max_bytes)), dst, checkpoint))
+
+
+RESCUED = "_rescued"
+
+
+def evolved(known: StructType, found: StructType) -> StructType:
+    """The known fields as they are, and the new ones behind them."""
+    return StructType([*known.fields, *[f for f in found.fields if f.name not in known.names]])
+
+
+def parsed(lines: DataFrame, schema: StructType) -> DataFrame:
+    """JSON texts in `value` by a schema; `_rescued` holds, as texts by name, the values that don't fit their column's type, and lines that are
+    no JSON object under an empty name; NULL if there are none."""
+    texts = F.from_json("value", "map<string,string>")
+    row = lines.select("value", F.from_json("value", schema).alias("_row"), texts.alias("_texts"))
+    lost = F.map_filter("_texts", lambda name, text: text.isNotNull() & F.coalesce(
+        F.element_at(F.create_map(*[x for f in schema.fields for x in (F.lit(f.name), F.col("_row").getField(f.name).isNull())]), name), F.lit(True)))
+    broken = F.col("_texts").isNull() & (F.trim("value") != "")
+    rescued = F.when(broken, F.create_map(F.lit(""), F.col("value"))).when(F.size(lost) > 0, lost)
+    return row.select(*[F.col("_row").getField(f.name).alias(f.name) for f in schema.fields], rescued.alias(RESCUED))
+
+
+def _inferred(lines: DataFrame) -> StructType:
+    """The schema of JSON texts, columns in the order of their names; those that are no object, and all NULL columns as texts."""
+    path = scratch_dir(lines.sparkSession, "lines")
+    lines.select("value").write.text(path)
+    found = lines.sparkSession.read.json(path).schema
+    return StructType([f for f in found.fields if f.name != "_corrupt_record"])
+
+
+def stored_schema(spark: SparkSession, schema_path: str, before: int | None = None) -> StructType:
+    """The newest schema kept (of the batches before one); empty if there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(schema_path)
+    if not where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+        return StructType([])
+    kept = spark.read.schema("schema string, _batch_id bigint").parquet(schema_path)
+    kept = kept if before is None else kept.where(F.col("_batch_id") < before)
+    newest = kept.agg(F.max_by("schema", "_batch_id").alias("schema")).first()["schema"]
+    return StructType.fromJson(json.loads(newest)) if newest else StructType([])
+
+
+def read_evolving(spark: SparkSession, dst: str, schema_path: str) -> DataFrame:
+    """All rows under the newest schema; columns that came later are NULL in older ones."""
+    rescued = StructField(RESCUED, MapType(StringType(), StringType()))
+    return spark.read.schema(StructType([*stored_schema(spark, schema_path).fields, rescued])).parquet(dst)
+
+
+def ingest_evolving(spark: SparkSession, src: str, dst: str, schema_path: str, checkpoint: str,
+                    max_bytes: int | None = BATCH_BYTES) -> StreamingQuery:
+    """Append new JSON files to `dst` under a schema that grows with them.
+
+    The schema is kept at `schema_path`, a version for each batch that met new columns; it takes them with the type they have there. Known
+    columns keep their type: values that don't fit it are kept in `_rescued`, so that none is lost. A batch is one folder, replaced
+    if it is repeated. Read with `read_evolving`.
+    """
+
+    def apply(lines: DataFrame, batch_id: int) -> None:
+        found = _inferred(lines)
+        known = stored_schema(spark, schema_path, before=batch_id)
+        schema = evolved(known, found)
+        if schema != known:
+            (spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode("overwrite")
+             .parquet(f"{schema_path}/_batch_id={batch_id}"))
+        parsed(lines, schema).write.mode("overwrite").parquet(f"{dst}/_batch_id={batch_id}")
+
+    text = StructType([StructField("value", StringType())])
+    return finish(write_stream_batches(read_stream(spark, src, text, fmt="text", max_bytes=max_bytes), apply, checkpoint))

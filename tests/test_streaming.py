@@ -3,18 +3,24 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import rows
-from lakeops.operators import joins
+from lakeops.operators import cdc, joins, versions
 from lakeops.operators.mutate import merge as batch_merge
+from lakeops.operators.rules import Rule
 from lakeops.plans.shaping import SILVER, risk
 from lakeops.plans.summaries import by_grade, by_state
-from lakeops.streaming import medallion, merge, windows
+from lakeops.streaming import changes, medallion, merge, windows
 from lakeops.streaming.io import (
     finish,
     ingest_new_files,
     read_stream,
+    PARTS,
+    observed_counts,
+    part_of,
     write_stream,
     write_stream_batches,
     write_stream_clustered,
+    write_stream_observed,
+    write_stream_parts,
     write_stream_table,
 )
 
@@ -266,3 +272,98 @@ def test_failing_expectation_stops_the_stream(spark, tmp_path):
     checked = expect(stream(spark, tmp_path / "src"), {"positive": ("line_total > 0", "fail")})
     with pytest.raises(PySparkException, match="expectation failed: positive"):
         finish(write_stream(checked, str(tmp_path / "out"), str(tmp_path / "check")))
+
+
+def land(spark, folder, name, data):
+    spark.createDataFrame(data, EVENT.replace("timestamp", "string").replace("decimal(12,2)", "string")).withColumn(
+        "event_time", F.col("event_time").cast("timestamp")).withColumn("line_total", F.col("line_total").cast("decimal(12,2)")).coalesce(1) \
+        .write.parquet(f"{folder}/{name}")
+
+
+def parquet_stream(spark, folder, max_files=None):
+    from pyspark.sql.types import _parse_datatype_string
+    return read_stream(spark, str(folder), _parse_datatype_string(EVENT), max_files, fmt="parquet")
+
+
+def test_counts_outlast_what_the_progress_remembers(spark, tmp_path):
+    """More batches than a query's progress holds, in two runs."""
+    src, out, counts, check = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "counts"), str(tmp_path / "check")
+    rules = {"positive": ("line_total > 0", "drop"), "known": "state IS NOT NULL"}
+    total = 0
+    for run in range(2):
+        rows_ = [ev(i, "10:00:00", state=None if i % 3 == 0 else "NY", total="0.00" if i % 5 == 0 else "1.00") for i in range(total, total + 55)]
+        df = spark.createDataFrame(rows_, "event_id long, event_time string, user_id long, state string, line_total string").selectExpr(
+            "event_id", "cast(event_time AS timestamp) AS event_time", "user_id", "state", "cast(line_total AS decimal(12,2)) AS line_total")
+        df.repartition(55, "event_id").write.option("maxRecordsPerFile", 1).mode("append").parquet(str(src))
+        total += 55
+        finish(write_stream_observed(parquet_stream(spark, src, 1), out, counts, rules, check))
+    assert spark.read.parquet(counts).select("_batch_id").distinct().count() > 100
+    got = {r.expectation: (r.failed, r.records) for r in observed_counts(spark, counts).collect()}
+    assert got == {"positive": (22, 110), "known": (37, 110)}
+    assert spark.read.parquet(out).count() == 88
+
+
+def test_parts_of_a_batch_add_up_also_when_it_is_repeated(spark, tmp_path):
+    src, out, check = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "check")
+    rules = [Rule.check("positive", "line_total > 0")]
+    land(spark, src, "a", [ev(1, "12:00:00"), ev(2, "09:00:00"), ev(3, "11:00:00", total="0.00")])
+    schema = parquet_stream(spark, src).schema
+    run = lambda at: finish(write_stream_parts(parquet_stream(spark, src), out, rules, "event_time", "1 hour", at))
+    run(check)
+    land(spark, src, "b", [ev(4, "10:30:00"), ev(5, "11:00:00"), ev(6, "10:00:00", total="0.00"), ev(7, "13:00:00", total="0.00")])
+    spark.createDataFrame([(8, None, 1, "NY", None)], schema).write.parquet(f"{src}/c")
+    run(check)
+
+    def ids():
+        return {p: [r[0] for r in rows(part_of(spark, out, p, schema).select("event_id"))] for p in PARTS}
+
+    # Row 2 came in the first batch, before any watermark; a row without a time isn't late.
+    want = {"good": [1, 2, 5, 8], "quarantined": [3, 7], "late": [4, 6]}
+    assert ids() == want
+    # The second batch again, as after a failure: its entry is taken from the list of those that are done.
+    (tmp_path / "check" / "commits" / "1").unlink()
+    (tmp_path / "check" / "commits" / ".1.crc").unlink(missing_ok=True)
+    run(check)
+    assert ids() == want
+
+
+def test_the_change_feed_is_applied_once(spark, tmp_path):
+    log, kept, check = str(tmp_path / "log"), str(tmp_path / "kept"), str(tmp_path / "check")
+    kind = "id int, v string"
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], kind)
+    steps = {0: [(9, "old", "insert")], 1: [(1, "a", "update_preimage"), (1, "A", "update_postimage"), (4, "d", "insert")],
+             2: [(4, "d", "delete"), (None, "n", "delete")], 3: [(4, "D", "insert"), (2, "b", "delete")]}
+
+    def put(version):
+        versions.commit(log, spark.createDataFrame(steps[version], kind + ", _change_type string"), version, f"2024-01-0{version + 1}")
+
+    def run():
+        schema = versions.read_log(spark, log).schema
+        finish(changes.stream_apply(changes.stream_changes(spark, log, schema, from_version=1), kept, ["id"], check))
+        return rows(changes.applied(spark, target, kept, ["id"]))
+
+    for v in (0, 1, 2):
+        put(v)
+    assert run() == rows(spark.createDataFrame([(1, "A"), (2, "b"), (3, "c")], kind))
+    put(3)
+    put(1)  # a commit that is repeated is read again, and changes nothing
+    want = rows(spark.createDataFrame([(1, "A"), (3, "c"), (4, "D")], kind))
+    assert run() == want and run() == want
+
+
+def test_a_history_stream_survives_a_repeated_batch(spark, tmp_path):
+    src, out, check = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "check")
+    how = (["user_id"], ["event_time", "event_id"], ["state"], "state = 'error'")
+    every = [[ev(1, "10:00:00"), ev(2, "10:30:00", state="CA"), ev(3, "11:00:00", user=2)],
+             [ev(4, "10:10:00", state="error"), ev(5, "10:20:00"), ev(6, "09:00:00", user=2, state="CA")]]
+    for k, data in enumerate(every):
+        land(spark, src, f"b{k}", data)
+        finish(merge.stream_scd2(parquet_stream(spark, src), out, *how, check))
+    feed = spark.read.schema(parquet_stream(spark, src).schema).parquet(f"{src}/*")
+    want = rows(cdc.scd2(feed, *how))
+    history = lambda: rows(cdc.scd2_history(merge.scd2_stored(spark, out, *how[:2]), *how[:3]))
+    assert history() == want
+    (tmp_path / "check" / "commits" / "1").unlink()
+    (tmp_path / "check" / "commits" / ".1.crc").unlink(missing_ok=True)
+    finish(merge.stream_scd2(parquet_stream(spark, src), out, *how, check))
+    assert history() == want
