@@ -6,10 +6,10 @@ further rounds put every shingle into one bin each, so that every coordinate is
 shingles there are, and equal coordinates estimate the similarity as independent ones would, or better.
 
 Texts with equal sets are one class. Classes that agree on a band of four coordinates meet in a
-bucket, where each is paired with one representative, another one in each band. Pairs are tested
-on whole texts, best estimate first, until no untested pair joins two components. Buckets that
-still hold several components are then searched block against block by the sketches and finer
-ones, without listing their pairs. So components are exact up to the sketches' error (README).
+bucket, where each is paired with one representative, another one in each band. The likeliest pairs of each class are tested
+on whole texts, in two rounds, and the pairs of buckets of two until none joins two components. Buckets that
+still hold several components are then searched block against block: their whole sets are compared there, without listing
+pairs (very large ones by finer sketches). So components are exact up to the sketches' error (README).
 """
 
 from __future__ import annotations
@@ -126,32 +126,105 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(found[keep], pa.float64())], names=["a", "b", "likely"])
 
 
-def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(class, text) -> (class, a byte for each coordinate of a finer sketch)."""
-    for batch in batches:
-        marks = [mix(sketch(shingles(t), FINE_COORDINATES)).astype(np.uint8).tobytes() for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.binary())], names=["class", "fine"])
+# Sets of up to so many shingles are compared whole within blocks; larger ones by finer sketches first, then as texts.
+WHOLE = 100_000
+# Sets of one block, in bytes.
+BLOCK_BYTES = 16 << 20
+
 
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(class, n, text) -> (class, its whole set or, if that is too large, a byte for each coordinate of a finer sketch)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            out = []
+            for n, text in zip(part.column(1).to_pylist(), part.column(2)):
+                items = shingles(text.as_py())
+                out.append(items.tobytes() if n <= WHOLE else mix(sketch(items, FINE_COORDINATES)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], names=["class", "content"])
+    release()
 
-def _block_pairs(group: pa.Table) -> pa.Table:
-    """The likely pairs of different components between two blocks of a bucket.
 
-    A pair that meets in several buckets is looked at in the first band's.
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many items each of some sets shares with each of some others: products of 0/1 matrices, `width` items at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not left or not right:
+        return out.astype(np.int64)
+    sides, known = [], None
+    for sets in (left, right):
+        items = np.concatenate(sets)
+        sides.append((items, np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+        known = np.unique(items) if known is None else np.intersect1d(known, items)
+    # Items of one side only count for nothing.
+    places = []
+    for items, row in sides:
+        at = np.minimum(np.searchsorted(known, items), max(len(known) - 1, 0))
+        met = known[at] == items if len(known) else np.zeros(len(items), bool)
+        at, row = at[met], row[met]
+        order = np.argsort(at, kind="stable")
+        places.append((at[order], row[order]))
+    for begin in range(0, len(known), width):
+        block = []
+        for (at, row), sets in zip(places, (left, right)):
+            lo, hi = np.searchsorted(at, (begin, begin + width))
+            dense = np.zeros((len(sets), min(width, len(known) - begin)), np.float32)
+            dense[row[lo:hi], at[lo:hi] - begin] = 1
+            block.append(dense)
+        out += block[0] @ block[1].T
+    return out.astype(np.int64)
+
+
+def _block_links(group: pa.Table) -> pa.Table:
+    """What two blocks of a bucket say about their pairs of different components.
+
+    Pairs of whole sets are tested here: of those that link, a forest is returned, with `likely` null, so that there are no more rows
+    than classes. Pairs with a larger set are returned if their finer sketches make a link likely. A pair that meets in several buckets is looked
+    at in the first band's.
     """
     node, part, root, n = (group.column(c).to_numpy() for c in ("class", "part", "root", "n"))
-    marks, fine = (np.frombuffer(b"".join(group.column(c).to_pylist()), np.uint8).reshape(len(node), -1) for c in ("marks", "fine"))
+    marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(len(node), -1)
+    contents = group.column("content").to_pylist()
     bands = np.array(group.column("bands").to_pylist(), np.int64)
     i, j, band = (group.column(c)[0].as_py() for c in ("i", "j", "band"))
-    right = np.flatnonzero(part == j)
-    out = []
-    for row in np.flatnonzero(part == i):
+    left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+    small = n <= WHOLE
+    whole = [rows[small[rows]] for rows in (left, right)]
+    shared = common_counts(*([np.frombuffer(contents[r], np.uint64) for r in rows] for rows in whole))
+    at = [{int(r): k for k, r in enumerate(rows)} for rows in whole]
+    links, likely = [], []
+    for row in left:
         others = right[(root[right] != root[row]) & (4 * np.minimum(n[right], n[row]) >= 3 * np.maximum(n[right], n[row]))]
-        others = others[estimate(marks[row], marks[others]) >= LEAST_ESTIMATE]
         others = others[~(bands[row, :band] == bands[others, :band]).any(axis=1)]
-        likely = estimate(fine[row], fine[others])
-        out += [(min(node[row], node[o]), max(node[row], node[o]), p) for o, p in zip(others, likely) if p >= LEAST_FINE]
-    a, b, likely = zip(*set(out)) if out else ([], [], [])
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "likely": pa.array(likely, pa.float64())})
+        if small[row]:
+            mine = others[small[others]]
+            both = shared[at[0][int(row)], [at[1][int(o)] for o in mine]] if len(mine) else np.zeros(0, np.int64)
+            links += [(row, o) for o in mine[100 * both >= 75 * (n[row] + n[mine] - both)]]
+            others = others[~small[others]]
+        others = others[estimate(marks[row], marks[others]) >= LEAST_ESTIMATE]
+        if len(others):
+            fine = [np.frombuffer(contents[r] if n[r] > WHOLE else mix(sketch(np.frombuffer(contents[r], np.uint64), FINE_COORDINATES)).astype(
+                np.uint8).tobytes(), np.uint8) for r in (row, *others)]
+            found = estimate(fine[0], np.stack(fine[1:]))
+            likely += [(min(node[row], node[o]), max(node[row], node[o]), float(p)) for o, p in zip(others, found) if p >= LEAST_FINE]
+    # A forest over the components that these links join.
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while top.setdefault(x, x) != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for a, b in links:
+        x, y = find(int(root[a])), find(int(root[b]))
+        if x != y:
+            top[y] = x
+            out.append((min(node[a], node[b]), max(node[a], node[b]), None))
+    rows = [*out, *set(likely)]
+    release(every=1.0)
+    return pa.table({"a": pa.array([r[0] for r in rows], pa.int64()), "b": pa.array([r[1] for r in rows], pa.int64()),
+                     "likely": pa.array([r[2] for r in rows], pa.float64())})
 
 
 class _Search:
@@ -176,11 +249,11 @@ class _Search:
         left = self.rooted(self.rooted(pairs, "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b", "likely")
         return left if self.tested is None else left.join(self.tested, ["a", "b"], "left_anti")
 
-    def texts(self, wanted: DataFrame) -> DataFrame:
-        """(class, text) of the classes in column `class`."""
-        ids = self.classes.join(wanted, "class", "left_semi").select("class", "rep.id", "rep.text_hash")
+    def texts(self, wanted: DataFrame, *more: str) -> DataFrame:
+        """(class, text) of the classes in column `class`, with `more` of their columns between."""
+        ids = self.classes.join(wanted, "class", "left_semi").select("class", *more, "rep.id", "rep.text_hash")
         return (ids.alias("i").join(self.docs.alias("d"), F.expr("i.text_hash = d.text_hash AND i.id <=> d.id"))
-                .select("class", "text"))
+                .select("class", *more, "text"))
 
     def test(self, pairs: DataFrame) -> None:
         """Test pairs on their whole texts and bring the components up to date."""
@@ -193,6 +266,10 @@ class _Search:
         found = saved(pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
                       .mapInArrow(_links, "a bigint, b bigint"), "links")
         self.tested = pairs if self.tested is None else self.tested.unionAll(pairs)
+        self.add(found)
+
+    def add(self, found: DataFrame) -> None:
+        """Bring the components up to date with some links."""
         if found.isEmpty():
             return
         self.links = found if self.links is None else self.links.unionAll(found)
@@ -218,7 +295,7 @@ def similar_size(x: str, y: str) -> Column:
     return F.expr(f"4 * least({x}, {y}) >= 3 * greatest({x}, {y})")
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, block_rows: int) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, block_rows: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """id, text_hash and n of each row, and `top`: the least (id, text_hash) of its component; null without shingles."""
     key = F.col(f"`{id_col}`").cast("bigint").alias("id")
     texts = docs.select(key, F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
@@ -238,20 +315,27 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, block_rows: int) -> Da
                   .mapInArrow(_estimated, "a bigint, b bigint, likely double"), "likely")
     search = _Search(texts.where("text is not null"), classes)
     search.test(best_pairs(pairs))
-    search.test(search.between(pairs))
+    search.test(best_pairs(search.between(pairs)))
+    # Buckets of two have no other pair; in larger ones, what is left is compared in blocks.
+    alone = members.where("size = 2 AND class <> star").select(F.least("class", "star").alias("a"), F.greatest("class", "star").alias("b")).distinct()
+    search.test(search.between(pairs.join(alone, ["a", "b"], "left_semi")))
     # Buckets of three and more that still hold several components.
     rooted = saved(search.rooted(members.where("size > 2").select("key", "band", "class"), "class", "root"), "rooted")
-    open_keys = (rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
-                 .where("lo <> hi").select("key", F.ceil(F.col("members") / block_rows).cast("int").alias("parts")))
+    sized = rooted.join(classes.select(F.col("class").alias("_c"), "n"), F.col("class") == F.col("_c")).drop("_c")
+    parts = F.greatest(F.ceil(F.col("members") / block_rows), F.ceil(F.col("items") * 8 / F.lit(block_bytes)))
+    open_keys = (sized.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"),
+                                          F.sum(F.least("n", F.lit(WHOLE))).alias("items"))
+                 .where("lo <> hi").select("key", parts.cast("int").alias("parts")))
     open_rows = saved(rooted.join(open_keys, "key"), "open")
-    fine = search.texts(open_rows.select("class").distinct()).mapInArrow(_fine, "class bigint, fine binary").dropDuplicates(["class"])
-    blocks = (open_rows.join(classes.select("class", "n", "marks", "bands"), "class").join(fine, "class")
+    contents = search.texts(open_rows.select("class").distinct(), "n").mapInArrow(_contents, "class bigint, content binary").dropDuplicates(["class"])
+    blocks = (open_rows.join(classes.select("class", "n", "marks", "bands"), "class").join(contents, "class")
               .withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
               .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
-    more = (blocks.select("key", "band", "i", "j", "part", "class", "root", "n", "marks", "bands", "fine").groupBy("key", "band", "i", "j")
-            .applyInArrow(_block_pairs, "a bigint, b bigint, likely double"))
-    search.test(search.between(saved(more, "more")))
+    more = saved(blocks.select("key", "band", "i", "j", "part", "class", "root", "n", "marks", "bands", "content").groupBy("key", "band", "i", "j")
+                 .applyInArrow(_block_links, "a bigint, b bigint, likely double"), "more")
+    search.add(more.where("likely IS NULL").select("a", "b"))
+    search.test(search.between(more.where("likely IS NOT NULL")))
     roots = search.rooted(classes.select("class", "rep"), "class", "root")
     least = roots.groupBy("root").agg(F.min("rep").alias("top")).withColumnRenamed("root", "r")
     named = roots.join(least, F.col("root") == F.col("r")).select(F.col("class").alias("c"), "top")

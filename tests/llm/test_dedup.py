@@ -222,3 +222,38 @@ def test_repeats_with_clashing_columns_leave_the_same_row_each_time(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string, _repeated int, _repeated_text string, copies string")
     kept = {tuple(minhash.drop_near_duplicates(frame.repartition(n)).first()) for n in (1, 3, 7)}
     assert len(kept) == 1 and minhash.drop_near_duplicates(frame).columns == frame.columns
+
+
+def test_common_counts_are_those_of_sets():
+    rng = np.random.default_rng(7)
+    sets = [[np.unique(rng.integers(0, 60, rng.integers(0, 40))).astype(np.uint64) for _ in range(n)] for n in (9, 5)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[1]] for a in sets[0]]
+    for width in (1, 7, 4096):
+        assert minhash.common_counts(*sets, width).tolist() == want
+    assert minhash.common_counts([], sets[1]).shape == (0, 5)
+
+
+@pytest.mark.parametrize("whole", [100_000, 300])
+def test_variants_below_the_threshold_are_compared_in_blocks(spark, monkeypatch, whole):
+    """Variants of one text that lie just below or above 0.75 from each other."""
+    monkeypatch.setattr(minhash, "WHOLE", whole)
+    rng = random.Random(10)
+    base = prose(rng, 400).split()
+    docs = []
+    for i in range(120):
+        words = list(base)
+        for at in rng.sample(range(len(words)), rng.choice([5, 6, 11, 12, 13])):
+            words[at] = f"w{i}x{at}"
+        docs.append((i, " ".join(words)))
+    tested = []
+    plain = minhash._Search.test
+
+    def counting(self, pairs):
+        tested.append(pairs.select("a", "b").distinct().count())
+        plain(self, pairs)
+
+    monkeypatch.setattr(minhash._Search, "test", counting)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), block_rows=32).collect()}
+    assert [got[k] for k, _ in docs] == brute.near_duplicates(docs)
+    if whole > 400:
+        assert sum(tested) < 10 * len(docs)
