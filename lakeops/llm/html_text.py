@@ -530,12 +530,14 @@ def train_labeller(pages: list[str], seed: int = 1, layouts: int = 1200, epochs:
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = 256, sample_bytes: int = 1 << 18,
           seed: int = 1) -> Labeller | None:
-    """A labeller for this corpus, from `sample` pages of up to `sample_bytes`, those with the least hashes of id and html."""
+    """A labeller for this corpus, from `sample` different pages of up to `sample_bytes`, those with the least hashes of id and html
+    among about twice as many, which come to the driver."""
     text = F.col(f"`{html_col}`").cast("string")
-    some = (pages.where(F.octet_length(text) <= sample_bytes)
-            .select(F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("string"), text).alias("h"), text.alias("html"))
-            .orderBy("h", "html").limit(sample))
-    return train_labeller([r["html"] for r in some.collect()], seed)
+    rows = pages.where(F.octet_length(text) <= sample_bytes).select(
+        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`").cast("string"), text).alias("h"), text.alias("html"))
+    different = rows.agg(F.approx_count_distinct("h").alias("n")).first()["n"]
+    chosen = rows.where(F.pmod("h", F.lit(max(1, different // (2 * sample)))) == 0).dropDuplicates(["h"]).limit(8 * sample).collect()
+    return train_labeller([r["html"] for r in sorted(chosen)[:sample]], seed)
 
 
 TEXTS = "text string, n_chars bigint, n_blocks bigint, n_main bigint"
