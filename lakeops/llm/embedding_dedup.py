@@ -4,12 +4,16 @@ Unit vectors with cosine of at least t lie within d = sqrt(2 - 2t). If two such
 different home cells with centroids c and c', both lie within d of the plane between the cells, so
 that x.c - x.c' <= d |c - c'|. A vector is therefore also sent, as a visitor, to every cell with a
 lower number for which that holds: each pair meets in a cell, and no link is lost.
+
+Beyond `MAX_CELLS` cells, each is divided by centroids of its own, and the same rule holds among its parts for all
+vectors that live in or visit it; so cells grow with the rows, and dealing costs no more products than twice their root.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +60,46 @@ def cells_of(units: np.ndarray, centers: np.ndarray, reach: float) -> list[np.nd
     return [np.concatenate(([h], np.flatnonzero(n[:h]))) for h, n in zip(home, near)]
 
 
+@dataclass
+class Cells:
+    """Centroids of the cells, and of the parts of each where there are more than `MAX_CELLS` of them."""
+
+    centers: np.ndarray
+    parts: list[np.ndarray] | None = None
+
+
+def dealt_to(units: np.ndarray, cells: Cells | None, reach: float) -> Iterator[tuple[int, int, bool, bool]]:
+    """(row, number of the part, whether it lives in the part's cell, and in the part) for all places each vector goes to."""
+    if cells is None:
+        yield from ((r, 0, True, True) for r in range(len(units)))
+        return
+    found = cells_of(units, cells.centers, reach)
+    if cells.parts is None:
+        yield from ((r, int(c), v == 0, True) for r, own in enumerate(found) for v, c in enumerate(own))
+        return
+    most = max(len(p) for p in cells.parts)
+    members: dict[int, list[tuple[int, bool]]] = {}
+    for r, own in enumerate(found):
+        for v, c in enumerate(own):
+            members.setdefault(int(c), []).append((r, v == 0))
+    for c, rows in members.items():
+        for (r, home), own in zip(rows, cells_of(units[[r for r, _ in rows]], cells.parts[c], reach)):
+            yield from ((r, c * most + int(p), home, v == 0) for v, p in enumerate(own))
+
+
+def fit_cells(sample: np.ndarray, wanted: int) -> Cells:
+    """About `wanted` cells; parts have four vectors of the sample each, at least."""
+    centers = fit_centroids(sample, min(MAX_CELLS, wanted))
+    if wanted <= MAX_CELLS:
+        return Cells(centers)
+    home, each = (sample @ centers.T).argmax(axis=1), -(-wanted // len(centers))
+    parts = []
+    for c in range(len(centers)):
+        mine = sample[home == c]
+        parts.append(fit_centroids(mine, max(1, min(each, len(mine) // 4))) if len(mine) else centers[c:c + 1])
+    return Cells(centers, parts)
+
+
 def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """Which rows of a and b have a cosine of at least `threshold`; products near it are summed exactly."""
     products = a @ b.T
@@ -72,11 +116,13 @@ def _compare(threshold: float):
     def compare(group: pa.Table) -> pa.Table:
         rep = group.column("rep").to_numpy()
         n, part = group.column("n").to_numpy(), group.column("part").to_numpy()
-        home = group.column("home").to_numpy(zero_copy_only=False)
+        home, inner = (group.column(c).to_numpy(zero_copy_only=False) for c in ("home", "inner"))
         units = np.frombuffer(b"".join(group.column("unit").to_pylist()), np.float64).reshape(len(rep), -1)
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        hit = linked(units[left], units[right], threshold) & (home[left][:, None] | home[right][None, :])
+        # A pair counts where one of the two lives: in the cell, and in its part.
+        hit = (linked(units[left], units[right], threshold) & (home[left][:, None] | home[right][None, :])
+               & (inner[left][:, None] | inner[right][None, :]))
         if i == j:
             hit &= hit.T
             np.fill_diagonal(hit, False)
@@ -126,7 +172,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = spark.read.parquet(classes_path)
     centers = _fit(classes, sample, cell_rows)
     deal_schema = pa.schema([("label", pa.string()), ("dim", pa.int32()), ("cell", pa.int32()), ("rep", pa.int64()), ("n", pa.int64()),
-                             ("home", pa.bool_()), ("unit", pa.binary())])
+                             ("home", pa.bool_()), ("inner", pa.bool_()), ("unit", pa.binary())])
     reach = math.sqrt(max(0.0, 2 - 2 * threshold))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,20 +184,19 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                 for dim in set(dims):
                     mine = [k for k, d in enumerate(dims) if d == dim]
                     stack = np.stack([units[k] for k in mine])
-                    cells = cells_of(stack, centers[dim], reach) if dim in centers else [np.zeros(1, int)] * len(mine)
-                    out += [(labels[k], dim, int(c), reps[k], ns[k], v == 0, units[k].tobytes())
-                            for k, own in zip(mine, cells) for v, c in enumerate(own)]
+                    out += [(labels[mine[r]], dim, cell, reps[mine[r]], ns[mine[r]], home, inner, units[mine[r]].tobytes())
+                            for r, cell, home, inner in dealt_to(stack, centers.get(dim), reach)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), deal_schema.types)], schema=deal_schema)
 
     (classes.select("label", "dim", "rep", "n", "vec")
-     .mapInArrow(deal, "label string, dim int, cell int, rep bigint, n bigint, home boolean, unit binary").write.parquet(dealt_path))
+     .mapInArrow(deal, "label string, dim int, cell int, rep bigint, n bigint, home boolean, inner boolean, unit binary").write.parquet(dealt_path))
     dealt = spark.read.parquet(dealt_path)
     sizes = dealt.groupBy("label", "dim", "cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")).cast("int")
     placed = (dealt.join(sizes, ["label", "dim", "cell"]).withColumn("part", part)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
               .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")))
-    (placed.select(*MEET, "part", "rep", "n", "home", "unit").groupBy(*MEET)
+    (placed.select(*MEET, "part", "rep", "n", "home", "inner", "unit").groupBy(*MEET)
      .applyInArrow(_compare(threshold), "rep bigint, links bigint, least bigint").write.parquet(links_path))
     links = spark.read.parquet(links_path)
     groups = components(links.select("rep", "least"))
@@ -165,7 +210,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
                           component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
-def _fit(classes: DataFrame, sample: int, cell_rows: int) -> dict[int, np.ndarray]:
+def _fit(classes: DataFrame, sample: int, cell_rows: int) -> dict[int, Cells]:
     """Centroids for each vector length, from a hash sample of at most about `sample` classes."""
     n = classes.count()
     share = max(1, -(-n // sample))
@@ -174,8 +219,7 @@ def _fit(classes: DataFrame, sample: int, cell_rows: int) -> dict[int, np.ndarra
     for unit in unit_rows(picked.column("vec").combine_chunks()):
         drawn.setdefault(len(unit), []).append(unit)
     total = sum(map(len, drawn.values()))
-    return {dim: fit_centroids(np.stack(units), min(MAX_CELLS, max(1, round(n * len(units) / total / cell_rows))))
-            for dim, units in drawn.items()}
+    return {dim: fit_cells(np.stack(units), max(1, round(n * len(units) / total / cell_rows))) for dim, units in drawn.items()}
 
 
 @query("op9_embedding_dedup")

@@ -154,7 +154,9 @@ def test_cut_characters_are_dropped_from_the_text(spark):
     assert texts[1] == "é" * 40 + "a" and texts[2].strip("xèéb") == ""
 
 
-def test_vectors_against_all_pairs(spark):
+@pytest.mark.parametrize("cells", [1024, 3])
+def test_vectors_against_all_pairs(spark, monkeypatch, cells):
+    monkeypatch.setattr(embedding_dedup, "MAX_CELLS", cells)
     rng = np.random.default_rng(5)
     base = rng.normal(size=(40, 16))
     data = []
@@ -168,7 +170,7 @@ def test_vectors_against_all_pairs(spark):
     frame = spark.createDataFrame([(*d, 1, "c") for d in data], "vec_id long, embedding array<double>, label int, n int, cell string")
     for block in (1024, 32):
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in
-               embedding_dedup.near_vectors(frame, cell_rows=50, block_rows=block).collect()}
+               embedding_dedup.near_vectors(frame, cell_rows=50 if cells > 3 else 10, block_rows=block).collect()}
         for (key, *_), (links, least) in zip(data, brute.vector_links(data)):
             assert got[key] == (links, least, key == least), key
 
@@ -257,3 +259,13 @@ def test_variants_below_the_threshold_are_compared_in_blocks(spark, monkeypatch,
     assert [got[k] for k, _ in docs] == brute.near_duplicates(docs)
     if whole > 400:
         assert sum(tested) < 10 * len(docs)
+
+
+def test_cells_grow_beyond_the_first_level(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "MAX_CELLS", 4)
+    units = np.random.default_rng(1).normal(size=(2000, 8))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    cells = embedding_dedup.fit_cells(units, 40)
+    assert len(cells.centers) == 4 and 30 <= sum(map(len, cells.parts)) <= 40
+    lives = [(r, c) for r, c, home, inner in embedding_dedup.dealt_to(units, cells, 0.02) if home and inner]
+    assert [r for r, _ in sorted(lives)] == list(range(2000)) and len({c for _, c in lives}) >= 30
