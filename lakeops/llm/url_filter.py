@@ -62,6 +62,10 @@ def bit_positions(key: Column, bits: int, hashes: int, salt: int) -> list[Column
     return [F.pmod(F.xxhash64(F.lit(salt * 64 + i), key), F.lit(bits)) for i in range(hashes)]
 
 
+class LevelTooLarge(ValueError):
+    """A Bloom filter over `MAX_LEVEL_BYTES`."""
+
+
 def build_level(keys: DataFrame, salt: int, shape: tuple[int, int]) -> Level | None:
     """The Bloom filter of a column `key`; None without keys. Only its words come to the driver."""
     n = keys.count()
@@ -69,13 +73,13 @@ def build_level(keys: DataFrame, salt: int, shape: tuple[int, int]) -> Level | N
         return None
     words, hashes = -(-n * shape[0] // 64), shape[1]
     if words * 8 > MAX_LEVEL_BYTES:
-        raise ValueError(f"a level of {words * 8} bytes is too large to send to every task: {n} keys; "
-                         "give the level before it more bits for each key")
+        raise LevelTooLarge(f"a level of {words * 8} bytes is too large to send to every task: {n} keys")
     at = F.explode(F.array(*bit_positions(F.col("key"), words * 64, hashes, salt)))
     filled = [0] * words
-    for row in (keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
-                .agg(F.bit_or(bit(F.col("at"))).alias("bits")).collect()):
-        filled[row["word"]] = row["bits"]
+    found = (keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+             .agg(F.bit_or(bit(F.col("at"))).alias("bits")).toArrow())
+    for word, bits in zip(found.column("word").to_pylist(), found.column("bits").to_pylist()):
+        filled[word] = bits
     return Level(tuple(filled), hashes, salt)
 
 
@@ -99,16 +103,30 @@ def build_cascade(listed: DataFrame, universe: DataFrame, first: tuple[int, int]
 
     `first`, `later`: bits and hashes for each key. The next level's keys are those of this level's
     other side that pass it. The universe is read again for each even level, without a join of its
-    own: only what passes all levels so far meets the (small) listed side.
+    own: only what passes all levels so far meets the (small) listed side. Where so much passes a level that the next one would be
+    too large, it is built anew with twice the bits, so that any universe will do. Only the listed keys are bound by `MAX_LEVEL_BYTES`:
+    5 million of them or so; more raise.
     """
     listed, universe = listed.select("key").distinct(), universe.select("key")
     levels: list[Level] = []
+    sides: list[tuple[DataFrame, DataFrame]] = []
+    shapes: dict[int, tuple[int, int]] = {0: first}
     inside, outside = listed, universe
     while True:
-        level = build_level(inside, len(levels), later if levels else first)
+        try:
+            level = build_level(inside, len(levels), shapes.get(len(levels), later))
+        except LevelTooLarge:
+            if not levels:
+                raise
+            levels.pop()
+            inside, outside = sides.pop()
+            bits, hashes = shapes.get(len(levels), later)
+            shapes[len(levels)] = (2 * bits, min(2 * hashes, 40))
+            continue
         if level is None:
             return Cascade(tuple(levels))
         levels.append(level)
+        sides.append((inside, outside))
         wrong = outside.where(level.may_hold(F.col("key")))
         if len(levels) == 1:
             wrong = wrong.distinct().join(listed, "key", "left_anti")

@@ -142,3 +142,16 @@ def test_classifier_on_odd_rows(spark):
     assert classifier.score_quality(docs.limit(0), model).count() == 0
     nothing = classifier.train(docs.limit(0), labels.limit(0))
     assert classifier.score_quality(docs, nothing).where("score <> 0.5").count() == 0
+
+
+def test_levels_stay_small_whatever_the_corpus_holds(spark, monkeypatch):
+    """A level that would be too large gets a stronger one before it; too many listed keys raise."""
+    monkeypatch.setattr(url_filter, "MAX_LEVEL_BYTES", 128)
+    universe = spark.range(20_000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    listed = universe.where("key IN ('k1', 'k77', 'k19999')")
+    cascade = url_filter.build_cascade(listed, universe, (4, 1), (2, 1))
+    assert all(8 * len(level.words) <= 128 for level in cascade.levels) and cascade.levels[0].hashes > 1
+    said = universe.select("key", cascade.contains(F.col("key")).alias("is"))
+    assert sorted(r.key for r in said.where("is").collect()) == ["k1", "k19999", "k77"]
+    with pytest.raises(url_filter.LevelTooLarge):
+        url_filter.build_cascade(universe, universe)
