@@ -463,7 +463,8 @@ def repeated_spans(sources: DataFrame, total_bytes: int) -> DataFrame:
         drawn = sorted(r + MARK for r in drawn)
         splitters = [drawn[len(drawn) * i // ranges] for i in range(1, ranges)] if drawn else []
     lists = places.groupBy("doc", "text_hash").agg(F.collect_list("places").alias("lists"))
-    suffixes = (_compressed(sources).join(lists, ["doc", "text_hash"])
+    # Always a shuffled join: with a broadcast one, a task would need two Python workers, and idle ones keep memory.
+    suffixes = (_compressed(sources).join(lists.hint("merge"), ["doc", "text_hash"])
                 .select("doc", "text_hash", "packed", "lists").mapInArrow(_suffixes(splitters), SUFFIX))
     found = _saved(suffixes.groupBy("part").applyInArrow(_compare_range, FOUND), "repeats")
     open_ = found.where("window is not null")

@@ -18,6 +18,7 @@ ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\
 # Distinct units remembered by a worker, about 24 bytes each; beyond, it begins anew.
 MAX_UNITS = 1_000_000
 SLICE_BYTES = 1 << 20
+BATCH = 2048
 # A text of more characters is encoded in parts, cut before a blank between letters or digits: no pre-token, added
 # token or normalised character reaches over such a place.
 PART_CHARS = 1 << 20
@@ -78,7 +79,8 @@ class Encoder:
         self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        # The library's results take a kilobyte each: few at a time.
+        return [e.ids for a in range(0, len(texts), BATCH) for e in self.tokenizer.encode_batch(texts[a:a + BATCH], add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         found = self._whole(texts)
@@ -174,6 +176,7 @@ def encoded_rows(batches: Iterator[pa.RecordBatch], encoder: Encoder, step: int
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
             yield from zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()))
+            release(every=0.5)
     release()
 
 
