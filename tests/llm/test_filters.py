@@ -155,3 +155,60 @@ def test_levels_stay_small_whatever_the_corpus_holds(spark, monkeypatch):
     assert sorted(r.key for r in said.where("is").collect()) == ["k1", "k19999", "k77"]
     with pytest.raises(url_filter.LevelTooLarge):
         url_filter.build_cascade(universe, universe)
+
+
+@pytest.mark.parametrize("size", [1, 17, 400])
+def test_texts_read_part_by_part_give_the_same_features(monkeypatch, size):
+    """Shingles, n-grams and word shapes don't depend on where a text is cut; hashes of words not on where their bytes are."""
+    import random
+
+    import numpy as np
+
+    from lakeops.llm import classifier, hashing
+
+    rng = random.Random(size)
+    texts = ["".join(rng.choice(["a", "Bé", " ", "\n", "word ", "7", ".", "x" * 30, "日 "]) for _ in range(rng.randrange(300))) for _ in range(40)] + ["", " ", "a"]
+    want = [(hashing.shingles(t), classifier.features(t)) for t in texts]
+    words = [hashing.word_hashes(d, *hashing.word_spans(d)) for d in (np.frombuffer(t.encode(), np.uint8) for t in texts)]
+    monkeypatch.setattr(hashing, "PART", size)
+    monkeypatch.setattr(hashing, "SECTION", size)
+    for t, (shingles, features), hashes in zip(texts, want, words):
+        data = np.frombuffer(t.encode(), np.uint8)
+        assert hashing.word_hashes(data, *hashing.word_spans(data)).tolist() == hashes.tolist()
+        assert hashing.shingles(t).tolist() == shingles.tolist() and classifier.features(t).tolist() == features.tolist()
+
+
+def test_features_are_those_of_plain_loops():
+    """The classifier's features from strings and loops, one by one."""
+    import math
+    import re
+
+    import numpy as np
+
+    from lakeops.llm import classifier
+    from lakeops.llm.hashing import mix
+
+    def number(gram, family):
+        return int(mix(np.array([gram * 16 + family], dtype=object).astype(np.uint64) if gram < 1 << 59 else np.array(
+            [(gram * 16 + family) % (1 << 64)], np.uint64))[0]) >> (64 - classifier.BITS)
+
+    def plain(text):
+        data, found = text.encode(), set()
+        for n in (1, 2, 3):
+            for i in range(len(data) - n + 1):
+                found.add(number(int.from_bytes(data[i:i + n], "big"), n))
+        words, shapes = re.findall(rb"[^\x20\x09-\x0D]+", data), []
+        for i, w in enumerate(words):
+            again = 1 if i and words[i - 1] == w else 2 if i > 1 and words[i - 2] == w else 0
+            kind = int(classifier.KIND[w[0]]) * 4 + int(classifier.KIND[w[-1]])
+            shapes.append(((kind * 8) + min(int(math.log2(len(w) + 1)), 7)) * 3 + again + 1)
+        for n in (1, 2, 3):
+            for i in range(len(shapes) - n + 1):
+                gram = 0
+                for s in shapes[i:i + n]:
+                    gram = gram * 512 + s
+                found.add(number(gram, 8 + n))
+        return sorted(found)
+
+    for text in ("", "a", "The the THE, the 12 (x) é. x x\n y x", "one two one  two\tone! " * 3):
+        assert classifier.features(text).tolist() == plain(text)
