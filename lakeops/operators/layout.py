@@ -7,11 +7,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lakeops.operators.skew import range_partitioned, range_slices
+from lakeops.operators.skew import frame_bytes, range_partitioned, range_slices
 from lakeops.session import path_bytes, scratch_dir
 
 TARGET_BYTES = 256 * 1024 * 1024
 
+# Bytes of the rows in memory that one task reads and sorts, at most about. Files are many times smaller than their rows.
+SORTED_BYTES = 256 * 1024 * 1024
+
+
+def sorted_files(df: DataFrame, least: int = 1) -> int:
+    """Into how many files to sort the rows: each is one task's, which holds about `SORTED_BYTES` of them however well they compress."""
+    return max(least, -(-frame_bytes(df) // SORTED_BYTES))
+
 
 def compact(spark: SparkSession, src: str, dst: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """Rewrite many small parquet files as fewer of about `target_bytes`.
@@ -174,7 +182,8 @@ def recluster(spark: SparkSession, path: str, folder: str, cols: Sequence[str],
     Returns folder, files, bytes, depth and whether it was rewritten, for the folders that were looked at. What was looked at is listed
     beside the table (`_layouts`), with the names of its files: a later run, also one with other `cols`, passes over folders that
     haven't changed since, without reading them. Rows to rewrite are written aside first, then replace their folders by a dynamic partition
-    overwrite, which leaves all others alone; if it breaks off, the rows are still in the scratch folder.
+    overwrite, which leaves all others alone; if it breaks off, the rows are still in the scratch folder. Files get `target_bytes` at most, less
+    where their rows would be more than a task should sort.
     """
     table = spark.read.parquet(path)
     listed = scratch_dir(spark, "listed")
@@ -199,7 +208,7 @@ def recluster(spark: SparkSession, path: str, folder: str, cols: Sequence[str],
         aside = scratch_dir(spark, "aside")
         rows.write.parquet(aside)
         still = spark.read.schema(rows.schema).parquet(aside)
-        files = max(1, -(-chosen["bytes"] // target_bytes))
+        files = sorted_files(still, -(-chosen["bytes"] // target_bytes))
         _clustered_within(still, folder, cols, files).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(folder).parquet(path)
     # The files as they are now, of the folders that were looked at.
     seen = _folder_files(spark.read.parquet(path), folder).where(F.coalesce(F.col("folder").isin([n for n in names if n is not None]), F.lit(None in names)))

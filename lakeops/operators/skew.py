@@ -69,13 +69,17 @@ def row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, [size(f.name, f.dataType) for f in df.schema.fields], F.lit(16))
 
 
+def frame_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows take: summed in every task, one number per task moves."""
+    return df.agg(F.sum(row_bytes(df).cast("bigint")).alias("n")).first()["n"] or 0
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast if the frame measures no more than `max_bytes`.
 
     Spark estimates a derived frame by the files below it and would shuffle the other, huge side
-    of its joins. Measuring sums in every task; one number per task moves. Beyond the limit, or
-    with `max_bytes` 0, the choice stays with Spark.
+    of its joins. Beyond the limit, or with `max_bytes` 0, the choice stays with Spark.
     """
-    if max_bytes and (df.agg(F.sum(row_bytes(df).cast("bigint")).alias("n")).first()["n"] or 0) <= max_bytes:
+    if max_bytes and frame_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df

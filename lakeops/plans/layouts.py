@@ -75,22 +75,24 @@ def partition_prune(t: Tables) -> DataFrame:
     return files.read_parquet(t.spark, path).where(F.col("l_returnflag") == "R")
 
 
-def _by_status(t: Tables, path: str) -> None:
-    """Orders in folders by status: those of F in overlapping files, those of O clustered by date."""
+def _by_status(t: Tables, path: str) -> int:
+    """Orders in folders by status: those of F in overlapping files, those of O clustered by date. Returns how many files each."""
     orders = t.read("orders")
-    orders.where("o_orderstatus <> 'O'").repartition(4, "o_orderkey").write.partitionBy("o_orderstatus").parquet(path)
-    dated = layout.cluster_by(orders.where("o_orderstatus = 'O'"), ["o_orderdate"], 4)
+    parts = layout.sorted_files(orders, 4)
+    orders.where("o_orderstatus <> 'O'").repartition(parts, "o_orderkey").write.partitionBy("o_orderstatus").parquet(path)
+    dated = layout.cluster_by(orders.where("o_orderstatus = 'O'"), ["o_orderdate"], parts)
     dated.write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    return parts
 
 
 @query("recluster_rows", "SELECT * FROM orders UNION ALL SELECT * REPLACE ('New' AS o_orderstatus) FROM orders WHERE o_orderstatus = 'F'")
 def recluster_rows(t: Tables) -> DataFrame:
     """All rows are there after folders were clustered, more came, and these were clustered by other columns."""
     path, orders = t.scratch("recluster"), t.read("orders")
-    _by_status(t, path)
+    parts = _by_status(t, path)
     layout.recluster(t.spark, path, "o_orderstatus", ["o_orderdate"])
     fresh = orders.where("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("New"))
-    fresh.repartition(4, "o_orderkey").write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    fresh.repartition(parts, "o_orderkey").write.mode("append").partitionBy("o_orderstatus").parquet(path)
     layout.recluster(t.spark, path, "o_orderstatus", ["o_custkey", "o_orderdate"])
     return files.read_parquet(t.spark, path).select(*orders.columns)
 
@@ -107,7 +109,7 @@ def recluster_folders(t: Tables) -> DataFrame:
         stored.groupBy("folder").agg(F.sort_array(F.collect_set("file")).alias(name)).write.parquet(out)  # a row per folder
         return t.spark.read.parquet(out)
 
-    _by_status(t, path)
+    parts = _by_status(t, path)
     runs = [listed("start")]
     layout.recluster(t.spark, path, "o_orderstatus", ["o_orderdate"], target_bytes=1 << 20)
     depth = layout.overlap_depth(t.spark.read.parquet(path), "o_orderstatus", "o_orderdate").select("folder", (F.col("depth") <= 2).alias("narrow"))
@@ -115,7 +117,7 @@ def recluster_folders(t: Tables) -> DataFrame:
     depth.write.parquet(kept)
     runs.append(listed("first"))
     fresh = orders.where("o_orderstatus = 'F'").withColumn("o_orderstatus", F.lit("New"))
-    fresh.repartition(4, "o_orderkey").write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    fresh.repartition(parts, "o_orderkey").write.mode("append").partitionBy("o_orderstatus").parquet(path)
     runs.append(listed("added"))
     layout.recluster(t.spark, path, "o_orderstatus", ["o_custkey", "o_orderdate"], target_bytes=1 << 20)
     runs.append(listed("second"))

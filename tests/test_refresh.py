@@ -82,6 +82,20 @@ def test_recluster_looks_at_new_folders_only(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2000 + data.where("p = '1'").count()
 
 
+def test_recluster_divides_rows_by_what_they_take_in_memory(spark, tmp_path):
+    """Rows of 260 bytes that compress to almost nothing: a file's bytes say little of what its task has to sort."""
+    path = str(tmp_path / "t")
+    data = spark.range(2_500_000).select("id", (F.col("id") * 7919 % 100_003).alias("k"), F.lit("x" * 200).alias("text"), F.lit("a").alias("p"))
+    data.repartition(4).write.partitionBy("p").parquet(path)
+    report = layout.recluster(spark, path, "p", ["k"]).first()
+    assert report.rewritten and report.bytes < layout.TARGET_BYTES // 4
+    stored = spark.read.parquet(path)
+    sizes = [r["count"] for r in stored.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(sizes) == 2_500_000 and max(sizes) < 1_250_000
+    assert stored.agg(F.sum("id"), F.sum("k")).first() == data.agg(F.sum("id"), F.sum("k")).first()
+    assert layout.overlap_depth(stored, "p", "k").first().depth <= 2
+
+
 def test_ranks_count_the_bounds_reached(spark):
     df = spark.range(100).select(F.col("id").cast("double").alias("x"))
     for bounds in ([], [5.0], [0.0, 10.0, 20.0, 99.0], [float(i) for i in range(0, 100, 7)]):
