@@ -20,6 +20,11 @@ def file_count(t: Tables) -> int:
     return max(t.spark.sparkContext.defaultParallelism, -(-size // layout.TARGET_BYTES))
 
 
+def sorted_count(t: Tables, name: str) -> int:
+    """Files for a table to be sorted into: `file_count`, or more where their rows would be too many for a task to sort."""
+    return layout.sorted_files(t.read(name), file_count(t))
+
+
 @query("compact_rows", "SELECT * FROM lineitem")
 def compact_rows(t: Tables) -> DataFrame:
     small, big = t.scratch("small"), t.scratch("compacted")
@@ -30,30 +35,30 @@ def compact_rows(t: Tables) -> DataFrame:
 @query("zorder_rows", "SELECT * FROM lineitem")
 def zorder_rows(t: Tables) -> DataFrame:
     path = t.scratch("zorder")
-    layout.zorder(_lines(t), ["l_partkey", "l_shipdate"], file_count(t)).write.parquet(path)
+    layout.zorder(_lines(t), ["l_partkey", "l_shipdate"], sorted_count(t, "lineitem")).write.parquet(path)
     return files.read_parquet(t.spark, path)
 
 
 @query("cluster_rows", "SELECT * FROM orders")
 def cluster_rows(t: Tables) -> DataFrame:
     path = t.scratch("clustered")
-    layout.cluster_by(t.read("orders"), ["o_custkey"], file_count(t)).write.parquet(path)
+    layout.cluster_by(t.read("orders"), ["o_custkey"], sorted_count(t, "orders")).write.parquet(path)
     return files.read_parquet(t.spark, path)
 
 
 @query("layout_report")
 def layout_report(t: Tables) -> DataFrame:
     path = t.scratch("clustered")
-    layout.cluster_by(_lines(t), ["l_shipdate"], file_count(t)).write.parquet(path)
+    layout.cluster_by(_lines(t), ["l_shipdate"], sorted_count(t, "lineitem")).write.parquet(path)
     return layout.layout_report(t.spark, path, "l_shipdate")
 
 
 @query("zorder_files", "SELECT count(*) AS rows, true AS by_name, true AS by_date FROM orders")
 def zorder_files(t: Tables) -> DataFrame:
-    """Whether Z-order by a text and a time lets a filter on either skip most of 64 files."""
+    """Whether Z-order by a text and a time lets a filter on either skip most of 64 files or more."""
     path, orders = t.scratch("zorder"), t.read("orders").join(
         t.read("customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
-    layout.zorder(orders, ["c_name", "o_orderdate"], 64).write.parquet(path)
+    layout.zorder(orders, ["c_name", "o_orderdate"], layout.sorted_files(t.read("orders"), 64)).write.parquet(path)
     stored = t.spark.read.parquet(path).select("c_name", "o_orderdate", F.col("_metadata.file_path").alias("file"))
     files_of = lambda hit: F.count_distinct(F.when(hit, F.col("file"))) <= F.count_distinct("file") * 0.4
     return stored.agg(F.count(F.lit(1)).alias("rows"), files_of(F.col("c_name") == "Customer#000000007").alias("by_name"),

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from conftest import SF, rows
 from lakeops.operators import joins, layout, mutate
 from lakeops.operators.rules import RuleViolation
+from lakeops.plans import QUERIES
 from lakeops.session import path_bytes, scratch_dir
 from lakeops.sources import files, tables
 
@@ -125,6 +126,16 @@ def test_zorder_takes_the_whole_text(spark, tmp_path):
     assert files_touched(spark, path, F.col("n").between(100, 150)) <= 24
 
 
+def test_layouts_get_more_files_than_cores_where_tasks_would_sort_too_much(spark, monkeypatch):
+    monkeypatch.setattr(layout, "SORTED_BYTES", 1 << 18, raising=False)
+    for name, table in (("zorder_rows", "lineitem"), ("cluster_rows", "orders")):
+        got, given = QUERIES[name](spark, SF), spark.read.parquet(f"{SF}/{table}.parquet")
+        sizes = [r["count"] for r in got.groupBy(F.col("_metadata.file_path")).count().collect()]
+        most = (1 << 18) // 64  # a row takes more than that
+        assert len(sizes) > spark.sparkContext.defaultParallelism // 2 and max(sizes) < most and sum(sizes) == given.count()
+        assert got.exceptAll(given.select(*got.columns)).isEmpty()
+
+
 def test_publishing_reads_the_table_itself_and_keeps_old_readers(spark, db):
     table = f"{db}.t"
     tables.save_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, v string"), table)
