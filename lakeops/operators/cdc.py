@@ -229,16 +229,17 @@ def scd2_splice(state: DataFrame, batch: DataFrame, keys: Sequence[str], seq: Se
     their predecessor and successor, and the row that opened the predecessor's stretch. Rows known already change nothing.
     """
     names = [*keys, *seq, *[c for c in columns if c not in seq and c not in keys], "_gone"]
-    fresh = _timeline(batch, keys, seq, columns, delete_when)
+    # What several steps read is kept: else each of them would read and shuffle the batch and the state again.
+    fresh = kept_still(_timeline(batch, keys, seq, columns, delete_when))
     at = struct_of(seq)
     ends = fresh.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-    ends = broadcast_if_small(ends, broadcast_bytes)
+    ends = broadcast_if_small(kept_still(ends), broadcast_bytes)
     touched = state.join(ends, _null_safe(state, keys, "_k_"))
     near = touched.groupBy(*[F.col(k).alias(f"_n_{k}") for k in keys]).agg(
         F.max(F.when(at < F.col("_lo"), at)).alias("_before"),
         F.max(F.when((at < F.col("_lo")) & F.col("_opens"), at)).alias("_opener"),
         F.min(F.when(at > F.col("_hi"), at)).alias("_behind"))
-    near = broadcast_if_small(near, broadcast_bytes)
+    near = broadcast_if_small(kept_still(near), broadcast_bytes)
     inside = (at >= F.coalesce("_before", "_lo")) & (at <= F.coalesce("_behind", "_hi"))
     met = touched.join(near, _null_safe(touched, keys, "_n_")).where(inside | at.eqNullSafe(F.col("_opener")))
     old = met.select(*names, F.col("_opens").alias("_opened"), F.col("_end_at").alias("_ended"),
@@ -246,7 +247,7 @@ def scd2_splice(state: DataFrame, batch: DataFrame, keys: Sequence[str], seq: Se
     added = fresh.select(*names, F.lit(None).cast("boolean").alias("_opened"),
                          F.lit(None).cast(state.schema["_end_at"].dataType).alias("_ended"), F.lit(False).alias("_fixed"))
     # Of a row that both have, the state's stays.
-    rows = latest_per_key(old.unionByName(added).withColumn("_known", F.col("_opened").isNotNull()), [*keys, *seq], ["_known"]).drop("_known")
+    rows = kept_still(latest_per_key(old.unionByName(added).withColumn("_known", F.col("_opened").isNotNull()), [*keys, *seq], ["_known"]).drop("_known"))
 
     largest, total = group_extent(rows, keys)
     sliced = largest > max_group_rows
@@ -259,16 +260,33 @@ def scd2_splice(state: DataFrame, batch: DataFrame, keys: Sequence[str], seq: Se
     tracked = F.struct(*[F.col(f"_prev.{c}").alias(c) for c in columns])
     repeats = F.col("_prev").isNotNull() & (F.col("_prev._gone") == F.col("_gone")) & (F.col("_gone") | tracked.eqNullSafe(struct_of(columns)))
     seen = seen.withColumn("_opens", F.when(F.col("_fixed"), F.col("_opened")).otherwise(~repeats)).drop("_prev")
-    # What the last stretch ends with here is what the last one ended with before.
-    tails = rows.where("_opened").groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.max_by("_ended", at).alias("_tail"))
-    opened = _neighbours(seen.where("_opens"), keys, seq, F.struct(F.col(seq[0]).alias("at")), "_next", ahead=True, sliced=sliced)
+    spans = _spans_sliced(seen, rows, keys, seq) if sliced else _spans(seen, keys, seq)
+    changed = ~F.col("_opens").eqNullSafe(F.col("_opened")) | ~F.col("_end_at").eqNullSafe(F.col("_ended"))
+    return spans.where(changed).select(*names, "_opens", "_end_at")
+
+
+def _spans(seen: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """Add `_end_at` to the rows that open a stretch, in windows that share the one shuffle of `_neighbours`.
+
+    What the last stretch ends with here is what the last one ended with before.
+    """
+    of_key = Window.partitionBy(*keys, "_slice")
+    behind = of_key.orderBy(*[F.desc(c) for c in seq]).rowsBetween(Window.unboundedPreceding, -1)
+    following = F.last(F.when(F.col("_opens"), F.struct(F.col(seq[0]).alias("at"))), ignorenulls=True).over(behind)
+    last = F.max(F.when(F.col("_opened"), F.struct(struct_of(seq).alias("at"), F.col("_ended").alias("ended")))).over(of_key)
+    return seen.withColumn("_next", following).withColumn("_last", last).withColumn("_end_at", F.when(
+        F.col("_opens"), F.when(F.col("_next").isNotNull(), F.col("_next.at")).otherwise(F.col("_last.ended"))))
+
+
+def _spans_sliced(seen: DataFrame, rows: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """`_spans` of rows whose keys lie in several slices."""
+    seen = kept_still(seen)
+    tails = rows.where("_opened").groupBy(*[F.col(k).alias(f"_t_{k}") for k in keys]).agg(F.max_by("_ended", struct_of(seq)).alias("_tail"))
+    opened = _neighbours(seen.where("_opens"), keys, seq, F.struct(F.col(seq[0]).alias("at")), "_next", ahead=True, sliced=True)
     opened = (opened.join(tails, _null_safe(opened, keys, "_t_"), "left")
               .withColumn("_end_at", F.when(F.col("_next").isNotNull(), F.col("_next.at")).otherwise(F.col("_tail")))
-              .select(*names, "_opens", "_end_at", "_opened", "_ended"))
-    again = seen.where("NOT _opens").select(*names, "_opens", F.lit(None).cast(state.schema["_end_at"].dataType).alias("_end_at"),
-                                            "_opened", "_ended")
-    changed = ~F.col("_opens").eqNullSafe(F.col("_opened")) | ~F.col("_end_at").eqNullSafe(F.col("_ended"))
-    return opened.unionByName(again).where(changed).select(*names, "_opens", "_end_at")
+              .select(*seen.columns, "_end_at"))
+    return opened.unionByName(seen.where("NOT _opens").withColumn("_end_at", F.lit(None).cast(opened.schema["_end_at"].dataType)))
 
 
 def scd2_state(feed: DataFrame, keys: Sequence[str], seq: Sequence[str], columns: Sequence[str], delete_when: Column | str,

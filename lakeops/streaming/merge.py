@@ -111,7 +111,7 @@ def stream_scd2(stream: DataFrame, path: str, keys: Sequence[str], seq: Sequence
             stored = empty.withColumn("_batch_id", F.lit(0).cast("bigint"))
         else:
             stored = _scd2_rows(spark, path, batch_id, empty)
-        wanted = broadcast_if_small(rows.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct())
+        wanted = broadcast_if_small(kept_still(rows.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()))
         same = reduce(lambda a, b: a & b, [stored[k].eqNullSafe(F.col(f"_k_{k}")) for k in keys])
         state = kept_still(_newest(stored.join(wanted, same, "left_semi"), keys, seq))
         changed = scd2_splice(state, rows, keys, seq, columns, delete_when)

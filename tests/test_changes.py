@@ -319,6 +319,21 @@ def test_late_rows_splice_into_the_history(spark, seed, limit):
     assert cdc.scd2_splice(state, spark.createDataFrame(events[:30], kind), **how).count() == 0
 
 
+@pytest.mark.parametrize("limit", [10**6, 3])
+def test_splices_shuffle_what_they_read_once(spark, limit):
+    """Batch and state are joined once, whatever the later steps are: these read the rows that were kept."""
+    how = {"keys": ["k"], "seq": ["seq"], "columns": ["v"], "delete_when": "op = 'D'", "max_group_rows": limit}
+    kind = "k int, seq int, v string, op string"
+    feed = [(i % 5 or None, i * 7919 % 1009, "ab"[i * i % 7 % 2], "D" if i % 11 == 0 else "U") for i in range(120)]
+    state = mutate.kept_still(cdc.scd2_state(spark.createDataFrame(feed[:60], kind), **how))
+    changed = cdc.scd2_splice(state, spark.createDataFrame(feed[50:], kind), **how)
+    if limit > 120:
+        plan = changed._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and "Join" not in plan and "Aggregate" not in plan
+    state = cdc.scd2_apply(state, spark.createDataFrame(feed[50:], kind), **how)
+    assert rows(cdc.scd2_history(state, ["k"], ["seq"], ["v"])) == rows(cdc.scd2(spark.createDataFrame(feed, kind), **how))
+
+
 def test_a_late_row_changes_its_neighbours_only(spark):
     kind = "k int, seq int, v string, op string"
     how = {"keys": ["k"], "seq": ["seq"], "columns": ["v"], "delete_when": "op = 'D'"}
